@@ -21,33 +21,32 @@ BLOCK_SIZES = 22
 _DAYS_BEFORE_EPOCH = 719_162  # 0001-01-01 to 1970-01-01
 
 
-def _day_number(day: Column) -> Column:
-    return F.unix_date(day) + F.lit(_DAYS_BEFORE_EPOCH)
+def _day_number(day: str) -> str:
+    return f"(unix_date({day}) + {_DAYS_BEFORE_EPOCH})"
 
 
-def _block_id(size: int, index: Column) -> Column:
-    return F.lit(1 << (BLOCK_SIZES - size)) + index
+def _block_id(size: int, index: str) -> str:
+    return f"({1 << (BLOCK_SIZES - size)} + {index})"
 
 
-def _is_odd(index: Column) -> Column:
-    return index.bitwiseAND(F.lit(1)) == 1
-
-
-def covering_blocks(first: Column, last: Column) -> Column:
+def covering_blocks(first: str, last: str) -> Column:
     """Blocks whose disjoint union is ``[first, last]``; empty when the range is."""
-    start, stop = _day_number(first), _day_number(last) + 1
+    start, stop = _day_number(first), f"({_day_number(last)} + 1)"
     blocks = []
     for size in range(BLOCK_SIZES):
         # Whole blocks of this size inside the range: indexes low .. high - 1. A pair
         # of them makes one block of the next size, so only unpaired ends are kept.
-        low = F.shiftright(start + F.lit((1 << size) - 1), size)
-        high = F.shiftright(stop, size)
-        blocks.append(F.when((low < high) & _is_odd(low), _block_id(size, low)))
-        blocks.append(F.when((low < high) & _is_odd(high), _block_id(size, high - 1)))
-    return F.array_compact(F.array(*blocks))
+        low = f"shiftright({start} + {(1 << size) - 1}, {size})"
+        high = f"shiftright({stop}, {size})"
+        unpaired_low = f"{low} < {high} AND {low} & 1 = 1"
+        unpaired_high = f"{low} < {high} AND {high} & 1 = 1"
+        blocks.append(f"CASE WHEN {unpaired_low} THEN {_block_id(size, low)} END")
+        blocks.append(f"CASE WHEN {unpaired_high} THEN {_block_id(size, high)} - 1 END")
+    return F.array_compact(F.expr(f"array({', '.join(blocks)})"))
 
 
-def enclosing_blocks(day: Column) -> Column:
+def enclosing_blocks(day: str) -> Column:
     """The block of every size that ``day`` lies in."""
     number = _day_number(day)
-    return F.array(*[_block_id(size, F.shiftright(number, size)) for size in range(BLOCK_SIZES)])
+    blocks = [_block_id(size, f"shiftright({number}, {size})") for size in range(BLOCK_SIZES)]
+    return F.expr(f"array({', '.join(blocks)})")

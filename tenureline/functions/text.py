@@ -18,11 +18,10 @@ def null_literal(column: str, literal: str = "None") -> Column:
 
 
 def recode(code: Column, mapping: Mapping[str, object], default: object = None) -> Column:
-    """Translate ``code`` through a small fixed mapping; anything else gives ``default``."""
-    by_target: dict[object, list[str]] = {}
-    for source, target in mapping.items():
-        by_target.setdefault(target, []).append(source)
-    translated = F
-    for target, sources in by_target.items():
-        translated = translated.when(code.isin(sources), F.lit(target))
-    return translated.otherwise(F.lit(default))
+    """Translate ``code`` through a small fixed mapping; anything else gives ``default``.
+
+    A literal map reads ``code`` once, where a chain of conditions would repeat it.
+    """
+    pairs = [F.lit(item) for pair in mapping.items() for item in pair]
+    translated = F.try_element_at(F.create_map(*pairs), code)
+    return translated if default is None else F.coalesce(translated, F.lit(default))

@@ -165,8 +165,8 @@ def _pairs_by_block(dense: DataFrame, key: str, ranking: Sequence[str]) -> list[
         .agg(F.count("*").alias("copies"))
         .withColumn("rank", sort_key(*(F.col(name) for name in ranking)))
     )
-    covering = covering_blocks(F.col("left_first_day"), F.col("left_last_day"))
-    enclosing = enclosing_blocks(F.col("right_first_day"))
+    covering = covering_blocks("left_first_day", "left_last_day")
+    enclosing = enclosing_blocks("right_first_day")
     left = _side(folded, "left", key, "rank", "copies").withColumn("block", F.explode(covering))
     right = _side(folded, "right", key, "rank", "copies").withColumn("block", F.explode(enclosing))
     in_order = F.col("left_rank") < F.col("right_rank")

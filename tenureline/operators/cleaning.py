@@ -61,11 +61,11 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str, columns: Sequence[str])
 
 
 def valid_intervals(
-    df: DataFrame, start: str, end: str, status: str, statuses: Collection[str]
+    df: DataFrame, start: str, end: str, code: str, codes: Collection[str] = tuple(STATUS_OF_CODE)
 ) -> DataFrame:
-    """Keep recognised statuses whose end is open or not before the start."""
+    """Keep recognised status codes whose end is open or not before the start."""
     return df.where(
-        F.col(status).isin(list(statuses))
+        trimmed_lower(code).isin(list(codes))
         & (F.col(end).isNull() | (F.col(end) >= F.col(start)))
     )
 
@@ -83,12 +83,9 @@ def typed_subscriptions(subscriptions: DataFrame) -> DataFrame:
 
 def clean_subscriptions(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     """Typed, priced, valid subscriptions; an open end becomes the sentinel day."""
-    valid = valid_intervals(
-        normalise_status(typed_subscriptions(subscriptions), "status_code"),
-        "start_date",
-        "end_date",
-        "resolved_status",
-        STATUS_PRECEDENCE,
+    typed = typed_subscriptions(subscriptions)
+    valid = normalise_status(
+        valid_intervals(typed, "start_date", "end_date", "status_code"), "status_code"
     )
     prices = plans.withColumnRenamed("plan_id", "resolved_plan_id")
     return lookup(valid, prices, "resolved_plan_id", ["monthly_cost"]).select(

@@ -111,8 +111,7 @@ def contained_in_task(segments: DataFrame, df: DataFrame, spec: IntervalTable) -
 
 
 def by_covering_block(df: DataFrame, spec: IntervalTable) -> DataFrame:
-    blocks = covering_blocks(F.col(spec.start), F.col(spec.end))
-    return df.withColumn("block", F.explode(blocks))
+    return df.withColumn("block", F.explode(covering_blocks(spec.start, spec.end)))
 
 
 def contained_by_block(segments: DataFrame, blocks: DataFrame, spec: IntervalTable) -> DataFrame:
@@ -120,7 +119,7 @@ def contained_by_block(segments: DataFrame, blocks: DataFrame, spec: IntervalTab
 
     A segment never crosses a boundary of its key, so its first day decides.
     """
-    probes = segments.withColumn("block", F.explode(enclosing_blocks(F.col("segment_start"))))
+    probes = segments.withColumn("block", F.explode(enclosing_blocks("segment_start")))
     return probes.join(blocks, [spec.key, "block"]).drop("block")
 
 

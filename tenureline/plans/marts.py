@@ -27,21 +27,21 @@ class Marts(NamedTuple):
     dimension: DataFrame
 
 
-def timeline_of(raw: RawTables) -> DataFrame:
-    return resolve_subscriptions(clean_subscriptions(raw.subscriptions, raw.plans))
+def timeline_of(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
+    return resolve_subscriptions(clean_subscriptions(subscriptions, plans))
 
 
-def staged_timeline(raw: RawTables) -> DataFrame:
+def staged_timeline(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     """The timeline has three readers, so it is computed once and stored."""
-    return stage(timeline_of(raw), "timeline")
+    return stage(timeline_of(subscriptions, plans), "timeline")
 
 
-def monthly_revenue(raw: RawTables) -> DataFrame:
-    return mrr_monthly(staged_timeline(raw))
+def monthly_revenue(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
+    return mrr_monthly(staged_timeline(subscriptions, plans))
 
 
 def customer_dimension(raw: RawTables) -> DataFrame:
-    timeline = staged_timeline(raw)
+    timeline = staged_timeline(raw.subscriptions, raw.plans)
     summary = customer_subscription_summary(timeline, raw.plans)
     return dim_customers(clean_customers(raw.customers), summary, mrr_monthly(timeline))
 

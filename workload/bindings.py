@@ -5,26 +5,27 @@ The formulas are fixed in FIXTURES.md; the comparison SQL states them a second t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenureline.functions.dates import reopened_end
 from tenureline.plans.marts import RawTables
 
 # Status code by order key modulo 11.
-STATUS_CODES = [
-    " Active ",
-    "ACTIVE",
-    "active",
-    "pending",
-    "Pending ",
-    "canceled",
-    "CANCELLED",
-    "trial",
-    None,
-    "active",
-    "cancelled",
-]
+STATUS_CODES = """
+    CASE o_orderkey % 11
+        WHEN 0 THEN ' Active '
+        WHEN 1 THEN 'ACTIVE'
+        WHEN 2 THEN 'active'
+        WHEN 3 THEN 'pending'
+        WHEN 4 THEN 'Pending '
+        WHEN 5 THEN 'canceled'
+        WHEN 6 THEN 'CANCELLED'
+        WHEN 7 THEN 'trial'
+        WHEN 9 THEN 'active'
+        WHEN 10 THEN 'cancelled'
+    END
+"""
 
 # The plan price list.
 PLANS_SQL = """
@@ -40,61 +41,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
-
-
-def _subscriptions(orders: DataFrame, customer: Column) -> DataFrame:
-    k = F.col("o_orderkey")
-    start = F.to_date("o_orderdate")
-    code = F
-    for remainder, text in enumerate(STATUS_CODES):
-        code = code.when(k % 11 == remainder, F.lit(text))
-    length = (k * 7919 % 500).cast("int")
-    end = (
-        F.when(k % 13 == 0, F.lit(None).cast("date"))
-        .when(k % 23 == 0, F.date_sub(start, 5))
-        .otherwise(F.date_add(start, length))
-    )
-    return orders.select(
-        _text("sub_", k).alias("subscription_id"),
-        customer.alias("customer_id"),
-        _text("p", k % 4 + 1).alias("plan_id"),
-        code.alias("status_code"),
-        start.alias("subscription_start_date"),
-        end.alias("subscription_end_date"),
+def _subscriptions(orders: DataFrame, customer: str) -> DataFrame:
+    dated = orders.withColumn("start", F.to_date("o_orderdate"))
+    return dated.selectExpr(
+        "'sub_' || o_orderkey AS subscription_id",
+        f"{customer} AS customer_id",
+        "'p' || (o_orderkey % 4 + 1) AS plan_id",
+        f"{STATUS_CODES} AS status_code",
+        "start AS subscription_start_date",
+        """CASE WHEN o_orderkey % 13 = 0 THEN NULL
+                WHEN o_orderkey % 23 = 0 THEN date_sub(start, 5)
+                ELSE date_add(start, CAST(o_orderkey * 7919 % 500 AS INT))
+           END AS subscription_end_date""",
     )
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _subscriptions(table(spark, sf_dir, "orders"), F.col("o_custkey"))
+    return _subscriptions(table(spark, sf_dir, "orders"), "o_custkey")
 
 
 def skewed_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same subscriptions, a third of them belonging to customer 1."""
-    owner = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("bigint"))
-    return _subscriptions(table(spark, sf_dir, "orders"), owner.otherwise(F.col("o_custkey")))
+    owner = "CASE WHEN o_orderkey % 3 = 0 THEN 1L ELSE o_custkey END"
+    return _subscriptions(table(spark, sf_dir, "orders"), owner)
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.col("c_custkey")
-    region = F.col("c_nationkey") % 4
-    return table(spark, sf_dir, "customer").select(
-        c.alias("customer_id"),
-        F.concat(F.lit("  "), "c_name", F.lit(" ")).alias("customer_name"),
-        F.when(c % 97 != 0, F.concat(F.lit(" "), F.upper("c_name"), F.lit("@Example.COM "))).alias(
-            "customer_email"
-        ),
-        F.format_string("2000-01-%02d 10:30:00", c % 28 + 1).alias("signup_at"),
-        F.concat(F.lit('{"seg": "'), "c_mktsegment", F.lit('"}')).alias("metadata_super"),
-        F.when(region == 0, "None")
-        .when(region == 1, " EU ")
-        .when(region == 2, "US")
-        .otherwise(" None ")
-        .alias("region_raw"),
-        F.when(c % 5 == 0, "None")
-        .otherwise(F.concat(F.lit(" "), "c_mktsegment"))
-        .alias("marketing_source_raw"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS customer_id",
+        "'  ' || c_name || ' ' AS customer_name",
+        """CASE WHEN c_custkey % 97 <> 0 THEN ' ' || upper(c_name) || '@Example.COM ' END
+           AS customer_email""",
+        "format_string('2000-01-%02d 10:30:00', c_custkey % 28 + 1) AS signup_at",
+        """'{"seg": "' || c_mktsegment || '"}' AS metadata_super""",
+        """CASE c_nationkey % 4 WHEN 0 THEN 'None' WHEN 1 THEN ' EU ' WHEN 2 THEN 'US'
+                ELSE ' None ' END AS region_raw""",
+        """CASE WHEN c_custkey % 5 = 0 THEN 'None' ELSE ' ' || c_mktsegment END
+           AS marketing_source_raw""",
     )
 
 
@@ -104,19 +87,15 @@ def raw_plans(spark: SparkSession, basic_price: int = 20) -> DataFrame:
 
 def part_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as a large plan list."""
-    return table(spark, sf_dir, "part").select(
-        _text("p", F.col("p_partkey")).alias("plan_id"),
-        F.col("p_name").alias("plan_name"),
-        F.col("p_size").alias("monthly_cost"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "'p' || p_partkey AS plan_id", "p_name AS plan_name", "p_size AS monthly_cost"
     )
 
 
 def supplier_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as a plan list; an account balance may be below zero."""
-    return table(spark, sf_dir, "supplier").select(
-        _text("s", F.col("s_suppkey")).alias("plan_id"),
-        F.col("s_name").alias("plan_name"),
-        F.col("s_acctbal").alias("monthly_cost"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "'s' || s_suppkey AS plan_id", "s_name AS plan_name", "s_acctbal AS monthly_cost"
     )
 
 

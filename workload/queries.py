@@ -27,9 +27,12 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return bindings.raw_subscriptions(spark, sf_dir), bindings.raw_plans(spark)
+
+
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = bindings.raw_tables(spark, sf_dir)
-    return cleaning.clean_subscriptions(raw.subscriptions, raw.plans)
+    return cleaning.clean_subscriptions(*_inputs(spark, sf_dir))
 
 
 def _unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,11 +40,11 @@ def _unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.timeline_of(bindings.raw_tables(spark, sf_dir))
+    return marts.timeline_of(*_inputs(spark, sf_dir))
 
 
 def _staged_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.staged_timeline(bindings.raw_tables(spark, sf_dir))
+    return marts.staged_timeline(*_inputs(spark, sf_dir))
 
 
 def _billable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +88,7 @@ def query_publish_view(spark, sf_dir):
 
 @_query
 def query_publish_table(spark, sf_dir):
-    fact = marts.monthly_revenue(bindings.raw_tables(spark, sf_dir))
+    fact = marts.monthly_revenue(*_inputs(spark, sf_dir))
     return publish_table(fact, fresh_path(spark, "published"), "marts", "mrr_monthly")
 
 
@@ -111,18 +114,15 @@ def normalise_status(spark, sf_dir):
 
 @_query
 def attach_plan_price(spark, sf_dir):
-    raw = bindings.raw_tables(spark, sf_dir)
-    return cleaning.lookup(raw.subscriptions, raw.plans, "plan_id", ["monthly_cost"])
+    subscriptions, plans = _inputs(spark, sf_dir)
+    return cleaning.lookup(subscriptions, plans, "plan_id", ["monthly_cost"])
 
 
 @_query
 def filter_valid_subscriptions(spark, sf_dir):
+    coded = cleaning.normalise_status(bindings.raw_subscriptions(spark, sf_dir), "status_code")
     return cleaning.valid_intervals(
-        cleaning.normalise_status(bindings.raw_subscriptions(spark, sf_dir), "status_code"),
-        "subscription_start_date",
-        "subscription_end_date",
-        "resolved_status",
-        cleaning.STATUS_PRECEDENCE,
+        coded, "subscription_start_date", "subscription_end_date", "status_code"
     )
 
 
@@ -253,7 +253,7 @@ def prorate(spark, sf_dir):
 
 @_query
 def mrr_monthly(spark, sf_dir):
-    return marts.monthly_revenue(bindings.raw_tables(spark, sf_dir))
+    return marts.monthly_revenue(*_inputs(spark, sf_dir))
 
 
 @_query
@@ -281,8 +281,8 @@ def check_unique(spark, sf_dir):
 
 @_query
 def check_relationships(spark, sf_dir):
-    raw = bindings.raw_tables(spark, sf_dir)
-    return checks.relationships(raw.subscriptions, "plan_id", raw.plans, "plan_id")
+    subscriptions, plans = _inputs(spark, sf_dir)
+    return checks.relationships(subscriptions, "plan_id", plans, "plan_id")
 
 
 @_query
@@ -294,25 +294,23 @@ def check_accepted_values(spark, sf_dir):
     )
 
 
-def _monthly_of_unresolved(spark, sf_dir, basic_price=20):
+def _months_of_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Unresolved intervals of one customer are unbounded, so months are combined
     # map-side and only then shuffled.
-    cleaned = cleaning.clean_subscriptions(
-        bindings.raw_subscriptions(spark, sf_dir), bindings.raw_plans(spark, basic_price)
-    )
-    billable = revenue.billable_intervals(bindings.as_timeline(cleaned))
+    billable = revenue.billable_intervals(_unresolved(spark, sf_dir))
     return revenue.prorated_months(billable, revenue.revenue_horizon(billable))
 
 
 @_query
 def check_negative_mrr(spark, sf_dir):
-    raw = bindings.raw_tables(spark, sf_dir)._replace(plans=bindings.raw_plans(spark, -20))
-    return checks.violates(marts.monthly_revenue(raw), checks.negative("mrr_amount"))
+    subscriptions, plans = bindings.raw_subscriptions(spark, sf_dir), bindings.raw_plans(spark, -20)
+    fact = marts.monthly_revenue(subscriptions, plans)
+    return checks.violates(fact, checks.negative("mrr_amount"))
 
 
 @_query
 def check_active_days(spark, sf_dir):
-    fact = revenue.monthly_totals(_monthly_of_unresolved(spark, sf_dir))
+    fact = revenue.monthly_totals(_months_of_unresolved(spark, sf_dir))
     return checks.violates(fact, F.col("active_days_in_month") > F.col("days_in_month"))
 
 
@@ -346,7 +344,7 @@ def check_unexpected_status(spark, sf_dir):
 
 @_query
 def check_duplicate_customer_month(spark, sf_dir):
-    months = _monthly_of_unresolved(spark, sf_dir)
+    months = _months_of_unresolved(spark, sf_dir)
     return checks.unique_combination(months, ["customer_id", "revenue_month"])
 
 
@@ -369,7 +367,7 @@ def check_overlaps(spark, sf_dir):
 @_query
 def check_report(spark, sf_dir):
     raw = bindings.raw_tables(spark, sf_dir)
-    timeline = marts.staged_timeline(raw)
+    timeline = marts.staged_timeline(raw.subscriptions, raw.plans)
     cleaned_customers = cleaning.clean_customers(raw.customers)
     by_customer = stage(
         summary.customer_subscription_summary(timeline, raw.plans), "customer_summary"
