@@ -162,11 +162,12 @@ def _winners_of_light_keys(df: DataFrame, spec: IntervalTable, partitions: int |
 
 def _winners_of_dense_keys(df: DataFrame, spec: IntervalTable, partitions: int | None) -> DataFrame:
     # Only the best interval of a block can win in it. Blocks per key are bounded by
-    # the calendar, so from here on a hot key is no larger than its history is long.
+    # the calendar, so from here on a hot key is no larger than its history is long,
+    # and its candidates may be gathered by key for the ranking and what follows.
     blocks = top1(by_covering_block(df, spec), [spec.key, "block"], spec.preference)
     segments = atomic_segments(df, spec.key, spec.start, spec.end)
-    winners = pick_winner(contained_by_block(segments, blocks, spec), spec)
-    return _clustered(winners, spec.key, partitions)
+    candidates = contained_by_block(segments, blocks, spec)
+    return pick_winner(_clustered(candidates, spec.key, partitions), spec)
 
 
 def winning_segments(
