@@ -35,5 +35,5 @@ def inclusive_days(first: str | Column, last: str | Column) -> Column:
 
 
 def months_between(first: Column, last: Column) -> Column:
-    """First days of all months from ``first`` to ``last``; needs ``first <= last``."""
-    return F.sequence(month_start(first), month_start(last), F.expr(ONE_MONTH))
+    """Month starts from ``first`` to ``last``, both month starts; ``first <= last``."""
+    return F.sequence(first, last, F.expr(ONE_MONTH))

@@ -83,13 +83,12 @@ def distinct_boundaries(df: DataFrame, key: str, start: str, end: str) -> DataFr
     return interval_boundaries(df, key, start, end).dropDuplicates()
 
 
-def atomic_segments(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Stretches between consecutive boundaries, gaps included."""
+def segments_between(boundaries: DataFrame, key: str) -> DataFrame:
+    """Stretches between consecutive boundaries; repeated boundaries give none."""
     following = F.lead("boundary_date").over(Window.partitionBy(key).orderBy("boundary_date"))
     return (
-        distinct_boundaries(df, key, start, end)
-        .withColumn("next_boundary_date", following)
-        .where(F.col("next_boundary_date").isNotNull())
+        boundaries.withColumn("next_boundary_date", following)
+        .where("next_boundary_date > boundary_date")
         .select(
             key,
             F.col("boundary_date").alias("segment_start"),
@@ -98,6 +97,11 @@ def atomic_segments(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     )
 
 
+def atomic_segments(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Segments of all keys, gaps included; boundaries are made distinct map-side."""
+    return segments_between(distinct_boundaries(df, key, start, end), key)
+
+
 # -- candidates and winners --------------------------------------------------------
 
 
@@ -139,9 +143,7 @@ def segment_candidates(
     columns = [spec.key, *SEGMENT, *(c for c in df.columns if c != spec.key)]
     parts = []
     if light is not None:
-        near = _clustered(light, spec.key, None)
-        segments = atomic_segments(near, spec.key, spec.start, spec.end)
-        parts.append(contained_in_task(segments, near, spec).select(columns))
+        parts.append(_candidates_of_light_keys(light, spec, None).select(columns))
     if dense is not None:
         segments = atomic_segments(dense, spec.key, spec.start, spec.end)
         blocks = by_covering_block(dense, spec)
@@ -153,11 +155,13 @@ def pick_winner(candidates: DataFrame, spec: IntervalTable) -> DataFrame:
     return top1(candidates, [spec.key, *SEGMENT], spec.preference)
 
 
-def _winners_of_light_keys(df: DataFrame, spec: IntervalTable, partitions: int | None) -> DataFrame:
-    # Clustered once; boundaries, segments, join and ranking all reuse it.
+def _candidates_of_light_keys(
+    df: DataFrame, spec: IntervalTable, partitions: int | None
+) -> DataFrame:
+    # Clustered once; boundaries, segments, join and what follows all reuse it.
     near = _clustered(df, spec.key, partitions)
-    segments = atomic_segments(near, spec.key, spec.start, spec.end)
-    return pick_winner(contained_in_task(segments, near, spec), spec)
+    boundaries = interval_boundaries(near, spec.key, spec.start, spec.end)
+    return contained_in_task(segments_between(boundaries, spec.key), near, spec)
 
 
 def _winners_of_dense_keys(df: DataFrame, spec: IntervalTable, partitions: int | None) -> DataFrame:
@@ -181,7 +185,8 @@ def winning_segments(
     columns = [spec.key, *SEGMENT, *spec.payload]
     parts = []
     if light is not None:
-        parts.append(_winners_of_light_keys(light, spec, partitions).select(columns))
+        candidates = _candidates_of_light_keys(light, spec, partitions)
+        parts.append(pick_winner(candidates, spec).select(columns))
     if dense is not None:
         parts.append(_winners_of_dense_keys(dense, spec, partitions).select(columns))
     return _union(parts)

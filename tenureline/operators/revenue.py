@@ -67,19 +67,9 @@ def apply_horizon(billable: DataFrame, horizon: DataFrame) -> DataFrame:
     )
 
 
-def interval_months(
-    closed: DataFrame, start: str = "resolved_start_date", end: str = "effective_end_date"
-) -> DataFrame:
-    """One row per interval and month it touches, generated from the interval itself.
-
-    Intervals that start after their end (open ones starting after the horizon) earn
-    nothing; they go before the generator, which needs an ascending range.
-    """
-    touched = (
-        closed.where(F.col(start) <= F.col(end))
-        .withColumn("revenue_month", F.explode(months_between(F.col(start), F.col(end))))
-    )
-    return touched.select(
+def _unfold(intervals: DataFrame, months: Column, start: str, end: str) -> DataFrame:
+    unfolded = intervals.withColumn("revenue_month", F.explode(months))
+    return unfolded.select(
         "customer_id",
         "revenue_month",
         F.last_day("revenue_month").alias("month_end"),
@@ -90,6 +80,35 @@ def interval_months(
     )
 
 
+def interval_months(
+    closed: DataFrame, start: str = "resolved_start_date", end: str = "effective_end_date"
+) -> DataFrame:
+    """One row per interval and month it touches, generated from the interval itself.
+
+    Intervals that start after their end (open ones starting after the horizon) earn
+    nothing; they go before the generator, which needs an ascending range.
+    """
+    earning = closed.where(F.col(start) <= F.col(end))
+    return _unfold(earning, months_between(month_start(start), month_start(end)), start, end)
+
+
+def edge_months(
+    closed: DataFrame, start: str = "resolved_start_date", end: str = "effective_end_date"
+) -> DataFrame:
+    """The first and the last month of each interval, once if they are the same."""
+    earning = closed.where(F.col(start) <= F.col(end))
+    edges = F.array_distinct(F.array(month_start(start), month_start(end)))
+    return _unfold(earning, edges, start, end)
+
+
+def inner_months(
+    closed: DataFrame, start: str = "resolved_start_date", end: str = "effective_end_date"
+) -> DataFrame:
+    """The months strictly between the first and the last one of each interval."""
+    first, last = F.add_months(month_start(start), 1), F.add_months(month_start(end), -1)
+    return _unfold(closed.where(first <= last), months_between(first, last), start, end)
+
+
 def clip_overlap(
     months: DataFrame, start: str = "resolved_start_date", end: str = "effective_end_date"
 ) -> DataFrame:
@@ -128,17 +147,32 @@ def prorated_months(billable: DataFrame, horizon: DataFrame) -> DataFrame:
     return prorate(clip_overlap(interval_months(apply_horizon(billable, horizon))))
 
 
-def mrr_monthly(timeline: DataFrame, clustered: bool = False) -> DataFrame:
-    """Customer-month revenue. Reads the timeline twice, so pass a stored one.
+def mrr_monthly(timeline: DataFrame) -> DataFrame:
+    """Customer-month revenue of any timeline; overlapping intervals add up."""
+    billable = billable_intervals(timeline)
+    return monthly_totals(prorated_months(billable, revenue_horizon(billable)))
+
+
+def mrr_monthly_of_resolved(timeline: DataFrame, clustered: bool = False) -> DataFrame:
+    """The same for a timeline without overlaps, which is read three times.
 
-    Unless the timeline is already ``clustered`` by customer, its intervals are
-    shuffled before they unfold into months, which moves several times fewer rows
-    than shuffling the months. (Resolved intervals per customer are few.)
+    A month strictly inside an interval belongs to that interval alone, so it needs
+    neither a shuffle nor an aggregation. Only first and last months can be shared:
+    for them the intervals are shuffled by customer (unless they are ``clustered``
+    already), then unfolded and added up in place.
     """
     billable = billable_intervals(timeline)
-    horizon = revenue_horizon(billable)
-    near = billable if clustered else billable.repartition("customer_id")
-    return monthly_totals(prorated_months(near, horizon))
+    closed = apply_horizon(billable, revenue_horizon(billable))
+    near = closed if clustered else closed.repartition("customer_id")
+    shared = monthly_totals(prorate(clip_overlap(edge_months(near))))
+    own = prorate(clip_overlap(inner_months(closed))).select(
+        "customer_id",
+        "revenue_month",
+        "active_days_in_month",
+        "days_in_month",
+        F.round("prorated_mrr_amount", 2).alias("mrr_amount"),
+    )
+    return shared.unionByName(own)
 
 
 def lifetime_value(fact: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tenureline.operators.cleaning import clean_customers, clean_subscriptions
 from tenureline.operators.intervals import resolve_subscriptions
-from tenureline.operators.revenue import dim_customers, mrr_monthly
+from tenureline.operators.revenue import dim_customers, mrr_monthly_of_resolved
 from tenureline.operators.summary import customer_subscription_summary
 from tenureline.sources.publish import publish_table, publish_view, stage
 
@@ -37,13 +37,13 @@ def staged_timeline(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
 
 
 def monthly_revenue(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    return mrr_monthly(staged_timeline(subscriptions, plans))
+    return mrr_monthly_of_resolved(staged_timeline(subscriptions, plans))
 
 
 def customer_dimension(raw: RawTables) -> DataFrame:
     timeline = staged_timeline(raw.subscriptions, raw.plans)
     summary = customer_subscription_summary(timeline, raw.plans)
-    return dim_customers(clean_customers(raw.customers), summary, mrr_monthly(timeline))
+    return dim_customers(clean_customers(raw.customers), summary, mrr_monthly_of_resolved(timeline))
 
 
 def build_marts(raw: RawTables, root: str, buckets: int | None = None) -> Marts:
@@ -72,7 +72,11 @@ def build_marts(raw: RawTables, root: str, buckets: int | None = None) -> Marts:
         "customer_subscription_summary",
     )
     fact = publish_table(
-        mrr_monthly(timeline, clustered=True), root, "marts", "mrr_monthly", **bucketing
+        mrr_monthly_of_resolved(timeline, clustered=True),
+        root,
+        "marts",
+        "mrr_monthly",
+        **bucketing,
     )
     dimension = publish_table(
         dim_customers(customers, summary, fact), root, "marts", "customers", **bucketing

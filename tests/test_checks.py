@@ -10,7 +10,7 @@ from frames import plans, subscriptions, timeline
 from tenureline.operators import checks
 from tenureline.operators.cleaning import STATUS_OF_CODE, clean_subscriptions
 from tenureline.operators.intervals import resolve_subscriptions
-from tenureline.operators.revenue import mrr_monthly
+from tenureline.operators.revenue import mrr_monthly, mrr_monthly_of_resolved
 from tenureline.plans import marts, quality
 from workload import bindings
 
@@ -108,5 +108,6 @@ def test_invariants_of_the_marts(spark):
     before = days(cleaned, "start_date", "end_date").distinct().count()
     after = days(line, "resolved_start_date", "resolved_end_date")
     assert after.count() == before == after.distinct().count()
-    fact = mrr_monthly(line)
+    fact = mrr_monthly_of_resolved(line)
+    assert rows_of(fact) == rows_of(mrr_monthly(line))
     assert fact.where("active_days_in_month NOT BETWEEN 1 AND days_in_month").count() == 0

@@ -20,6 +20,7 @@ from tenureline.operators.revenue import (
     month_spine,
     month_windows,
     mrr_monthly,
+    mrr_monthly_of_resolved,
     revenue_horizon,
 )
 from tenureline.operators.summary import customer_subscription_summary
@@ -178,10 +179,11 @@ def test_islands_follow_every_attribute(spark):
 
 class TestMonthlyRevenue:
     def fact(self, spark, *rows):
-        return [
-            (r.customer_id, str(r.revenue_month), r.active_days_in_month, r.days_in_month, r.mrr_amount)
-            for r in mrr_monthly(timeline(spark, *rows)).orderBy("customer_id", "revenue_month").collect()
-        ]
+        line = timeline(spark, *rows)
+        found = [(*r[:1], str(r[1]), *r[2:]) for r in rows_of(mrr_monthly(line))]
+        assert rows_of(mrr_monthly_of_resolved(line)) == rows_of(mrr_monthly(line))
+        assert rows_of(mrr_monthly_of_resolved(line, True)) == rows_of(mrr_monthly(line))
+        return sorted(found)
 
     def test_mid_month_cancellation(self, spark):
         row = (10, "s", "basic", "cancelled", "2024-01-10", "2024-01-20", "31.00", True)
@@ -206,6 +208,27 @@ class TestMonthlyRevenue:
             (2, "2024-02-01", 10, 29, 10.0),
         ]
 
+    def test_months_inside_an_interval(self, spark):
+        assert self.fact(
+            spark,
+            (1, "a", "basic", "active", "2023-12-31", "2024-03-30", "31.00", True),
+            (1, "b", "pro", "active", "2024-03-31", "2024-04-30", "62.00", True),
+        ) == [
+            (1, "2023-12-01", 1, 31, 1.0),
+            (1, "2024-01-01", 31, 31, 31.0),
+            (1, "2024-02-01", 29, 29, 31.0),
+            (1, "2024-03-01", 31, 31, 32.0),
+            (1, "2024-04-01", 30, 30, 62.0),
+        ]
+
+    def test_overlapping_intervals_add_up(self, spark):
+        line = timeline(
+            spark,
+            (1, "a", "basic", "active", "2024-01-01", "2024-03-31", "31.00", True),
+            (1, "b", "pro", "active", "2024-02-01", "2024-02-29", "62.00", True),
+        )
+        assert [r[2:] for r in rows_of(mrr_monthly(line))][1] == (58, 29, 93.0)
+
     def test_open_interval_after_the_horizon_earns_nothing(self, spark):
         closed = (1, "a", "basic", "active", "2024-01-01", "2024-01-10", "31.00", True)
         same_month = (2, "b", "basic", "active", "2024-01-20", None, "31.00", True)

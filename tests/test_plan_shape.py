@@ -58,10 +58,11 @@ def test_months_are_generated_and_not_joined(spark, cleaned):
     assert "Join" not in plan.replace("BroadcastHashJoin", "")
 
 
-def test_fact_is_shuffled_before_months_unfold(cleaned):
-    plan = plan_of(revenue.mrr_monthly(bindings.as_timeline(cleaned)))
-    assert plan.index("Generate explode(sequence") < plan.index("REPARTITION_BY_COL")
+def test_fact_shuffles_intervals_and_not_months(cleaned):
+    plan = plan_of(revenue.mrr_monthly_of_resolved(bindings.as_timeline(cleaned)))
     assert "hashpartitioning(customer_id, revenue_month" not in plan
+    shared, own = plan.split("Generate explode(sequence", 1)
+    assert shared.count("REPARTITION_BY_COL") == 1 and "Exchange" not in own.split("Subquery")[0]
 
 
 def test_row_checks_share_one_scan(spark):

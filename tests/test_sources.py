@@ -4,7 +4,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 
 from conftest import SMALL, plan_of, rows_of
-from tenureline.operators.revenue import lifetime_value, mrr_monthly
+from tenureline.operators.revenue import lifetime_value, mrr_monthly_of_resolved
 from tenureline.plans import marts
 from tenureline.sources import extracts, schemas
 from tenureline.sources.publish import publish_table, publish_view, scratch_dir, stage
@@ -73,7 +73,7 @@ def test_bucketed_marts_need_no_further_shuffle(spark, tmp_path):
     built = marts.build_marts(raw, str(tmp_path), buckets=4)
     assert "Exchange hashpartitioning" not in plan_of(built.timeline.groupBy("customer_id").count())
     assert "Exchange hashpartitioning" not in plan_of(built.summary)
-    assert "hashpartitioning" not in plan_of(mrr_monthly(built.timeline, clustered=True))
+    assert "hashpartitioning" not in plan_of(mrr_monthly_of_resolved(built.timeline, clustered=True))
     assert "hashpartitioning" not in plan_of(lifetime_value(built.fact))
     assert rows_of(built.timeline) == rows_of(marts.timeline_of(raw.subscriptions, raw.plans))
     again = marts.build_marts(raw, str(tmp_path), buckets=4)

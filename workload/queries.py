@@ -294,13 +294,6 @@ def check_accepted_values(spark, sf_dir):
     )
 
 
-def _months_of_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Unresolved intervals of one customer are unbounded, so months are combined
-    # map-side and only then shuffled.
-    billable = revenue.billable_intervals(_unresolved(spark, sf_dir))
-    return revenue.prorated_months(billable, revenue.revenue_horizon(billable))
-
-
 @_query
 def check_negative_mrr(spark, sf_dir):
     subscriptions, plans = bindings.raw_subscriptions(spark, sf_dir), bindings.raw_plans(spark, -20)
@@ -310,7 +303,7 @@ def check_negative_mrr(spark, sf_dir):
 
 @_query
 def check_active_days(spark, sf_dir):
-    fact = revenue.monthly_totals(_months_of_unresolved(spark, sf_dir))
+    fact = revenue.mrr_monthly(_unresolved(spark, sf_dir))
     return checks.violates(fact, F.col("active_days_in_month") > F.col("days_in_month"))
 
 
@@ -344,7 +337,8 @@ def check_unexpected_status(spark, sf_dir):
 
 @_query
 def check_duplicate_customer_month(spark, sf_dir):
-    months = _months_of_unresolved(spark, sf_dir)
+    billable = revenue.billable_intervals(_unresolved(spark, sf_dir))
+    months = revenue.prorated_months(billable, revenue.revenue_horizon(billable))
     return checks.unique_combination(months, ["customer_id", "revenue_month"])
 
 
@@ -372,7 +366,7 @@ def check_report(spark, sf_dir):
     by_customer = stage(
         summary.customer_subscription_summary(timeline, raw.plans), "customer_summary"
     )
-    fact = stage(revenue.mrr_monthly(timeline), "mrr_monthly")
+    fact = stage(revenue.mrr_monthly_of_resolved(timeline), "mrr_monthly")
     dimension = stage(
         revenue.dim_customers(cleaned_customers, by_customer, fact), "customers"
     )
