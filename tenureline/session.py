@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Small inputs still use all cores: merge shuffle partitions only below this size.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
         .config("spark.sql.session.timeZone", "UTC")
         # Recording the Python call site of every expression costs more than planning.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
