@@ -9,6 +9,9 @@ per size, and every date lies in exactly one block of each size. Hence
 
 which turns "point in range" into an equality join on (key, block). The block also
 splits a key: rows of one hot key spread over as many join keys as it has blocks.
+
+A range is also the union of two windows of 2^k days that may overlap and start on any
+day. They are fewer than the blocks, and as good when only the best range matters.
 """
 
 from __future__ import annotations
@@ -50,3 +53,16 @@ def enclosing_blocks(day: str) -> Column:
     number = _day_number(day)
     blocks = [_block_id(size, f"shiftright({number}, {size})") for size in range(BLOCK_SIZES)]
     return F.expr(f"array({', '.join(blocks)})")
+
+
+def window_days(first: str, last: str) -> Column:
+    """Length of the two windows of a range: the largest power of two that fits.
+
+    Half of that, should the logarithm of a power of two fall short, covers it as well.
+    """
+    return F.expr(f"shiftleft(1, CAST(floor(log2(datediff({last}, {first}) + 1)) AS INT))")
+
+
+def window_starts(first: str, last: str, days: str) -> Column:
+    """First days of the one or two windows whose union is ``[first, last]``."""
+    return F.expr(f"array_distinct(array({first}, date_sub({last}, {days} - 1)))")

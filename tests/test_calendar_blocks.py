@@ -5,7 +5,13 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from tenureline.functions.calendar_blocks import BLOCK_SIZES, covering_blocks, enclosing_blocks
+from tenureline.functions.calendar_blocks import (
+    BLOCK_SIZES,
+    covering_blocks,
+    enclosing_blocks,
+    window_days,
+    window_starts,
+)
 
 
 def random_ranges(count: int):
@@ -56,3 +62,19 @@ def test_few_blocks_per_range(spark):
 def test_inverted_range_has_no_blocks(spark):
     df = spark.createDataFrame([(date(2024, 1, 2), date(2024, 1, 1))], "first date, last date")
     assert df.select(F.size(covering_blocks("first", "last"))).first()[0] == 0
+
+
+def test_windows_cover_exactly_the_range(spark):
+    powers = [(date(2024, 1, 1), date(2024, 1, 1) + timedelta(days=2**k - 1)) for k in range(20)]
+    df = spark.createDataFrame(random_ranges(300) + powers, "first date, last date")
+    windows = df.withColumn("days", window_days("first", "last")).withColumn(
+        "starts", window_starts("first", "last", "days")
+    )
+    low, high = F.array_min("starts"), F.date_add(F.array_max("starts"), F.col("days") - 1)
+    wrong = windows.where(
+        (low != F.col("first"))
+        | (high != F.col("last"))
+        | (F.datediff(F.array_max("starts"), low) > F.col("days"))
+        | (F.size("starts") > 2)
+    )
+    assert wrong.collect() == []
