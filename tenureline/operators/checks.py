@@ -32,7 +32,9 @@ def unique(df: DataFrame, column: str) -> DataFrame:
     return counts.where("n_records > 1")
 
 
-def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+def relationships(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str
+) -> DataFrame:
     """Non-null child keys without a parent, one row per child row.
 
     Only the two key columns take part; a skewed child key is split by adaptive
@@ -43,6 +45,19 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     return keys.join(parents, "from_field", "left_anti")
 
 
+def orphan_counts(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str
+) -> DataFrame:
+    """The same, one row per key with its number of child rows; counted before joining."""
+    counts = (
+        child.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("from_field"))
+        .agg(F.count("*").alias("n_records"))
+    )
+    parents = parent.select(F.col(parent_column).alias("from_field"))
+    return counts.join(parents, "from_field", "left_anti")
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Values outside the list, with counts; nulls are left to the null check."""
     outside = violates(df, ~F.col(column).isin(list(values)))
@@ -110,7 +125,7 @@ def overlapping_pairs(
     light, dense = route_by_density(intervals, key, dense_rows)
     parts = []
     if light is not None:
-        parts.append(_pairs_in_task(light.repartition(key), key, ranking))
+        parts.append(_pairs_in_task(light, key, ranking))
     if dense is not None:
         parts.extend(_pairs_by_block(dense, key, ranking))
     return reduce(DataFrame.unionByName, parts).select(
@@ -139,20 +154,20 @@ def _share_a_day() -> Column:
     )
 
 
-def _pairs_in_task(near: DataFrame, key: str, ranking: Sequence[str]) -> DataFrame:
+def _pairs_in_task(light: DataFrame, key: str, ranking: Sequence[str]) -> DataFrame:
     """For light keys: only rows that start before an earlier row ended are paired."""
     ordered = Window.partitionBy(key).orderBy(*nulls_last(ranking))
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    numbered = near.withColumns(
+    numbered = light.withColumns(
         {
             "position": F.row_number().over(ordered),
             "reached": F.max("last_day").over(earlier),
         }
     )
     late = numbered.where(F.col("first_day") <= F.col("reached"))
-    pairs = _side(numbered, "left", key, "position").join(_side(late, "right", key, "position"), key)
+    left, right = _side(numbered, "left", key, "position"), _side(late, "right", key, "position")
     in_order = F.col("left_position") < F.col("right_position")
-    return pairs.where(in_order & _share_a_day()).select(key, *_PAIR_COLUMNS)
+    return left.join(right, key).where(in_order & _share_a_day()).select(key, *_PAIR_COLUMNS)
 
 
 def _pairs_by_block(dense: DataFrame, key: str, ranking: Sequence[str]) -> list[DataFrame]:
@@ -211,12 +226,20 @@ def count_rows(name: str, offending: DataFrame) -> DataFrame:
     )
 
 
+def count_records(name: str, offending: DataFrame) -> DataFrame:
+    """For offending rows that each stand for ``n_records`` rows."""
+    total = F.coalesce(F.sum("n_records"), F.lit(0)).alias("failing_rows")
+    return offending.agg(total).select(F.lit(name).alias("check_name"), "failing_rows")
+
+
 def run_checks(
     row_checks: Sequence[tuple[DataFrame, Mapping[str, Column]]],
     other_checks: Mapping[str, DataFrame],
+    grouped_checks: Mapping[str, DataFrame],
 ) -> DataFrame:
     """One row per check: name, number of failing rows, passed or not."""
     counts = [count_violations(df, predicates) for df, predicates in row_checks]
     counts += [count_rows(name, offending) for name, offending in other_checks.items()]
+    counts += [count_records(name, offending) for name, offending in grouped_checks.items()]
     report = reduce(DataFrame.unionByName, counts)
     return report.withColumn("passed", F.col("failing_rows") == 0)

@@ -38,7 +38,11 @@ def test_unique_ignores_nulls(raw):
 
 
 def test_relationships_ignore_nulls(spark, raw):
-    assert rows_of(checks.relationships(raw, "plan_id", plans(spark), "plan_id")) == [("lost",)]
+    twice = raw.unionByName(raw)
+    found = checks.relationships(twice, "plan_id", plans(spark), "plan_id")
+    assert rows_of(found) == [("lost",), ("lost",)]
+    counted = checks.orphan_counts(twice, "plan_id", plans(spark), "plan_id")
+    assert rows_of(counted) == [("lost", 2)]
 
 
 def test_accepted_values_ignore_nulls(raw):
@@ -52,7 +56,8 @@ def test_row_predicates(spark, raw):
     unexpected = checks.unexpected_code("status_code", list(STATUS_OF_CODE))
     assert checks.violates(raw, unexpected).count() == 2
     loss = plans(spark, [("x", "X", -1.0), ("y", "Y", 0.0), ("z", "Z", None)])
-    assert [r.plan_id for r in checks.violates(loss, checks.negative("monthly_cost")).collect()] == ["x"]
+    found = checks.violates(loss, checks.negative("monthly_cost"))
+    assert [r.plan_id for r in found.collect()] == ["x"]
 
 
 def test_groups(raw):
@@ -80,7 +85,8 @@ def test_touching_open_intervals_overlap(spark):
         (2, "d", "basic", "active", "2024-01-01", "2024-01-02", "31.00", True),
         (2, "e", "basic", "active", "2024-01-03", None, "31.00", True),
     )
-    found = {(r.left_subscription_id, r.right_subscription_id) for r in checks.overlapping_pairs(line).collect()}
+    pairs = checks.overlapping_pairs(line).collect()
+    found = {(r.left_subscription_id, r.right_subscription_id) for r in pairs}
     assert found == {("a", "b"), ("c", "a")}
 
 

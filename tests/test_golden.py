@@ -257,8 +257,8 @@ class TestMonthlyRevenue:
 
     def test_spine_longer_than_a_hundred_months(self, spark):
         row = (1, "a", "basic", "active", "2000-01-15", "2024-12-31", "31.00", True)
-        windows = month_windows(month_spine(revenue_horizon(billable_intervals(timeline(spark, row)))))
-        rows = rows_of(windows)
+        horizon = revenue_horizon(billable_intervals(timeline(spark, row)))
+        rows = rows_of(month_windows(month_spine(horizon)))
         assert len(rows) == 300
         assert (day("2000-02-01"), day("2000-02-29"), 29) in rows
 
@@ -296,9 +296,11 @@ class TestSummaryAndDimension:
             RAW_CUSTOMERS,
         )
         customers = clean_customers(raw)
-        line = timeline(spark, (1, "a", "basic", "active", "2024-01-01", "2024-01-31", "31.00", True))
+        row = (1, "a", "basic", "active", "2024-01-01", "2024-01-31", "31.00", True)
+        line = timeline(spark, row)
         summary = customer_subscription_summary(line, plans(spark))
-        ann, other = dim_customers(customers, summary, mrr_monthly(line)).orderBy("customer_id").collect()
+        dimension = dim_customers(customers, summary, mrr_monthly(line))
+        ann, other = dimension.orderBy("customer_id").collect()
         assert (ann.customer_name, ann.customer_email, ann.region) == ("Ann", "a@x.com", None)
         assert ann.marketing_source == "none" and ann.total_lifetime_value == 31.0
         assert other.region == "" and other.total_lifetime_value == 0.0

@@ -6,6 +6,7 @@ import pytest
 
 from conftest import SMALL, plan_of
 from tenureline.operators import checks, cleaning, intervals, revenue
+from tenureline.plans import marts
 from tenureline.plans.quality import row_predicates
 from workload import bindings
 from workload.queries import queries
@@ -20,7 +21,8 @@ def cleaned(spark):
 
 def test_scan_reads_only_the_needed_columns(spark):
     plan = plan_of(queries()["clean_subscriptions"](spark, SMALL))
-    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
+    needed = "struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>"
+    assert f"ReadSchema: {needed}" in plan
 
 
 def test_light_keys_are_shuffled_once_per_side(cleaned):
@@ -31,7 +33,8 @@ def test_light_keys_are_shuffled_once_per_side(cleaned):
 
 
 def test_winner_is_cut_before_ranking(cleaned):
-    assert "WindowGroupLimit" in plan_of(intervals.winning_segments(cleaned, intervals.SUBSCRIPTIONS))
+    winners = intervals.winning_segments(cleaned, intervals.SUBSCRIPTIONS)
+    assert "WindowGroupLimit" in plan_of(winners)
 
 
 def test_dense_keys_never_meet_on_the_key_alone(cleaned):
@@ -39,7 +42,8 @@ def test_dense_keys_never_meet_on_the_key_alone(cleaned):
     winners = intervals._winners_of_dense_keys(cleaned, intervals.SUBSCRIPTIONS, None)
     plan = plan_of(winners)
     lines = [line.strip(" :+-") for line in plan.splitlines()]
-    shuffles = [at for at, line in enumerate(lines) if line.startswith("Exchange hashpartitioning")]
+    exchange = "Exchange hashpartitioning"
+    shuffles = [at for at, line in enumerate(lines) if line.startswith(exchange)]
     below = {lines[at]: lines[at + 1].split(" ")[0].split("(")[0] for at in shuffles}
     assert len(shuffles) >= 4
     for shuffle, child in below.items():
@@ -69,3 +73,9 @@ def test_row_checks_share_one_scan(spark):
     raw = bindings.raw_subscriptions(spark, SMALL)
     plan = plan_of(checks.count_violations(raw, row_predicates()["raw_subscriptions"]))
     assert plan.count("FileScan") == 1
+
+
+def test_overlap_check_uses_the_bucketing_of_the_timeline(spark, tmp_path):
+    built = marts.build_marts(bindings.raw_tables(spark, SMALL), str(tmp_path), buckets=4)
+    plan = plan_of(checks.overlapping_pairs(built.timeline))
+    assert "hashpartitioning" not in plan

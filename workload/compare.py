@@ -8,7 +8,7 @@ from collections import Counter
 from datetime import datetime
 
 import duckdb
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -82,7 +82,8 @@ def main() -> None:
         duckdb_seconds = time.time() - started
         verdict = difference(mine, other) or ("ok" if name in sql else "no sql")
         rows = sum(mine[1].values())
-        print(f"{name:34} {rows:8} {spark_seconds:6.2f}s {duckdb_seconds:6.2f}s {verdict}", flush=True)
+        seconds = f"{spark_seconds:6.2f}s {duckdb_seconds:6.2f}s"
+        print(f"{name:34} {rows:8} {seconds} {verdict}", flush=True)
 
 
 if __name__ == "__main__":
