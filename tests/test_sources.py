@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from py4j.protocol import Py4JJavaError
 
@@ -79,3 +81,13 @@ def test_bucketed_marts_need_no_further_shuffle(spark, tmp_path):
     assert rows_of(built.timeline) == rows_of(marts.timeline_of(raw.subscriptions, raw.plans))
     again = marts.build_marts(raw, str(tmp_path), buckets=4)
     assert again.dimension.count() == raw.customers.count()
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    def session(**settings):
+        return SimpleNamespace(conf=settings)
+
+    shared = {"spark.checkpoint.dir": "hdfs:///shared/", "spark.master": "yarn"}
+    assert scratch_dir(session(**shared)) == "hdfs:///shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session(**{"spark.master": "yarn"}))
