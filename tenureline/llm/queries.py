@@ -8,7 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, near_vectors, ngram_join, packing, pii, topk
+from . import bpe, chat, langid, licenses, near_vectors, ngram_join, packing, pii, topk, urlfilter
+
+#: Rules of the URL filter: host and path prefix, verdict.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+#: A conversation whose texts hold the template's control strings.
+CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +33,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", n_tokens.alias("n_tokens"), digest("ids").alias("ids_sha256"), digest("bytes").alias("decoded_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
+    found = langid.identified(docs.select("doc_id", "held_out", "text"), docs.where("NOT held_out AND doc_id IS NOT NULL"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judged(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
@@ -38,6 +53,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(pieces, capacity=2048)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.scanned(docs.select(licenses.document_path().alias("path"), "text"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
+    return chat.conversations_of(*chat.formatted(turns.unionByName(extra)))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents"), size=5, percent=75)
 
@@ -47,7 +73,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_byte_bpe, op5_top_k, op6_packing, op9_ngram_join, op10_near_vectors)
+    f.__name__: f for f in (op1_pii, op2_byte_bpe, op3_language_id, op4_url_filter, op5_top_k, op6_packing, op7_license_scan, op8_chat_format, op9_ngram_join, op10_near_vectors)
 }
 
 ORACLE_SQL: dict[str, str] = {}
