@@ -1,16 +1,19 @@
 """Documents whose sets of word n-grams are similar by Jaccard, by vertical partitioning.
 
 1. Documents with equal sets form a class; a class is known by a 64-bit digest of its set.
-2. A global order of the n-grams puts those that recur often last. Two sets of similarity t share
-   an n-gram among the first n - ceil(t n) + 1 of each; so only those entries are shuffled. The
-   order is cut into fragments, and a fragment finds the classes that share an entry (a bucket).
+2. A global order of the n-grams (by hash) puts those that recur often last. Two sets of similarity
+   t share an n-gram among the first n - ceil(t n) + 1 of each; so only those entries are shuffled,
+   and all others of the region, the first 1 - t of the order. The order is cut into fragments, and
+   a fragment finds the classes that share an entry (a bucket). An n-gram of the region that no
+   other class has is missing from every partner: of two similar classes the smaller one is strong,
+   with few such n-grams. Only strong classes and their partners stay in buckets.
 3. Candidate pairs come from the buckets. The sets of the candidates are cut into segments by
    n-gram, the overlap of a pair is counted in every segment apart, and the counts are summed.
-4. Buckets of thousands of near copies are not turned into all their pairs: two rounds link every
-   member with a pivot; then only members of different components are paired, which is exact,
-   since a link within a component changes no component. There a parity map of each set (bit i
-   is the parity of its n-grams that hash to i) rules pairs out: two maps differ in at most as
-   many bits as their sets differ in n-grams.
+4. Buckets of thousands of near copies are not turned into all their pairs: every member is
+   first paired with two pivots of its bucket; then only members of different components are
+   paired, which is exact, since a link within a component changes no component.
+5. A parity map of each set (bit i is the parity of its n-grams that hash to i) rules pairs out
+   before their sets are read: two maps differ in at most as many bits as the sets do in n-grams.
 
 The order only steers cost: any order that all tasks share gives the same links. Counted are
 n-grams that recur within a block of documents, over all documents; the most frequent
@@ -26,26 +29,33 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
 from .staging import stored
+from .vectors import small_batches
 
 #: Most frequent n-grams that the order knows by count; 16 bytes each in the broadcast.
 FREQUENT = 200_000
 #: n-grams of a block of documents, within which recurrence is counted.
-BLOCK_NGRAMS = 1_000_000
+BLOCK_NGRAMS = 500_000
 #: A block counts an n-gram that so many of its documents have.
 RECURRENT = 4
-#: Prefix entries of a fragment, and bytes of text that are hashed at once.
-FRAGMENT_ENTRIES, SLICE_BYTES = 1_000_000, 1_000_000
-#: Segments that a candidate's set is cut into, and longs of its parity map.
-SEGMENTS, MAP_LONGS = 8, 8
+#: Prefix entries of a fragment, entries packed at once, and bytes of text hashed at once.
+FRAGMENT_ENTRIES, BLOCK_ENTRIES, SLICE_BYTES = 500_000, 250_000, 500_000
+#: Segments that a candidate's set is cut into; longs of a parity map, and those used within buckets.
+SEGMENTS, MAP_LONGS, BUCKET_LONGS = 2, 8, 4
 #: Bits of the map of candidate classes: a fixed size; more classes cost reading, not results.
-MAP_BITS, MAP_CHUNK_BITS = 1 << 27, 1 << 13
-PIVOT_ROUNDS = 2
-_ENTRY = np.dtype([("h", "<u8"), ("c", "<i8"), ("n", "<i4")])
+MAP_BITS, MAP_CHUNK_BITS = 1 << 25, 1 << 13
+#: Pivots of a bucket, and n-grams per class whose buckets have pivots, about.
+PIVOTS, PIVOT_NGRAMS = 2, 16
+#: An entry: n-gram, class, set size, n-grams of the set in the region; -1 - that outside it.
+_ENTRY = np.dtype([("h", "<u8"), ("c", "<i8"), ("n", "<i4"), ("r", "<i4")])
+#: Texts sent to Python at once.
+TEXT_ROWS = 1000
+#: Entries of one stored row of buckets.
+CHUNK_ENTRIES = 100_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -129,28 +139,36 @@ def _digest(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _parity(grams: np.ndarray) -> np.ndarray:
+    """The first longs fold all n-grams into few bits, the rest into all bits."""
+    place = (grams >> np.uint64(32)).astype(np.int64)
+    few, many = ((np.bincount(place % (64 * n), minlength=64 * n) & 1).astype(bool) for n in (BUCKET_LONGS, MAP_LONGS))
+    return np.packbits(np.concatenate([few, many])).view(np.int64)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
 def _classes(size: int):
-    """Task: rows (0, doc_id, set size, class), and (1, n-gram, recurrences in a block, null)."""
+    """Task: rows (0, doc_id, set size, class, parity map), and (1, n-gram, recurrences in a block)."""
 
     def counted(block: list[np.ndarray]) -> pa.RecordBatch:
         grams, counts = np.unique(np.concatenate(block), return_counts=True)
         often = counts >= RECURRENT
         n = int(often.sum())
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(n, np.int8)), pa.array(_signed(grams[often])), pa.array(counts[often].astype(np.int32)), pa.nulls(n, pa.int64())],
-            names=["kind", "id", "n", "class"],
+            [pa.array(np.ones(n, np.int8)), pa.array(_signed(grams[often])), pa.array(counts[often].astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))],
+            names=["kind", "id", "n", "class", "map"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, block, held, seen = NgramSets(size), [], 0, set()
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, maps = [], [], []
             for _, grams in sets.of(batch.column(1)):
                 sizes.append(len(grams))
+                maps.append(_parity(grams))
                 classes.append(_digest(grams))
                 if len(grams) and classes[-1] not in seen:
                     seen.add(classes[-1])
@@ -160,8 +178,8 @@ def _classes(size: int):
                     yield counted(block)
                     block, held, seen = [], 0, set()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(sizes), np.int8)), batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64())],
-                names=["kind", "id", "n", "class"],
+                [pa.array(np.zeros(len(sizes), np.int8)), batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(maps, pa.list_(pa.int64()))],
+                names=["kind", "id", "n", "class", "map"],
             )
         if block:
             yield counted(block)
@@ -173,14 +191,21 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def least_overlap(m, n, percent: int):
+    """The smallest intersection of similar sets of these sizes."""
+    return -(-percent * (m + n) // (100 + percent))
+
+
 def _entries(size: int, percent: int, frequent, fragments: int):
     """Task: a row (fragment, packed entries) per block of documents and fragment."""
+    edge = (1 << 64) * (100 - percent) // 100
 
-    def packed(block: list[tuple[np.ndarray, np.ndarray, int, int]]) -> pa.RecordBatch:
+    def packed(block: list[tuple]) -> pa.RecordBatch:
         out = np.empty(sum(len(x[0]) for x in block), _ENTRY)
         out["h"] = np.concatenate([x[0] for x in block])
         out["c"] = np.concatenate([np.full(len(x[0]), x[2]) for x in block])
         out["n"] = np.concatenate([np.full(len(x[0]), x[3]) for x in block])
+        out["r"] = np.concatenate([x[4] for x in block])
         place = np.concatenate([x[1] for x in block])
         order = np.argsort(place, kind="stable")
         out, place = out[order], place[order]
@@ -203,12 +228,17 @@ def _entries(size: int, percent: int, frequent, fragments: int):
                 if len(grams_of):
                     at = np.minimum(np.searchsorted(grams_of, grams), len(grams_of) - 1)
                     count = np.where(grams_of[at] == grams, counts_of[at], 0)
-                n = len(grams)
-                first = grams[np.argsort(count, kind="stable")[: prefix_length(n, percent)]]
-                place = (first >> np.uint64(32)).astype(np.int64) * fragments >> 32
-                block.append((first, place, own, n))
+                n, region = len(grams), (grams < np.uint64(edge)) & (count == 0)
+                r = int(region.sum())
+                order = np.argsort(count, kind="stable")
+                first = order[: max(prefix_length(n, percent), r)]
+                inside, first = region[first], grams[first]
+                # equal cuts of the region; what lies beyond is spread over a few more fragments
+                near = ((first >> np.uint64(32)).astype(np.int64) * fragments) // (edge >> 32)
+                place = np.where(inside, np.minimum(near, fragments - 1), fragments + (_mixed(first) % np.uint64(fragments // 4 + 1)).astype(np.int64))
+                block.append((first, place, own, n, np.where(inside, r, -1 - r)))
                 held += len(first)
-                if held >= FRAGMENT_ENTRIES:
+                if held >= BLOCK_ENTRIES:
                     yield packed(block)
                     block, held, seen = [], 0, set()
         if block:
@@ -218,20 +248,60 @@ def _entries(size: int, percent: int, frequent, fragments: int):
 
 
 def _buckets(percent: int):
-    """Group: entries of n-grams that two classes of fitting sizes share."""
+    """Group: entries of n-grams that two classes of fitting sizes share, as packed rows, and per
+    class its size, the n-grams of its region, and how many of these are shared here."""
+    names = ["entries", "class", "n", "region", "shared"]
 
     def run(table: pa.Table) -> pa.Table:
-        entries = np.unique(np.concatenate([np.frombuffer(x, _ENTRY) for x in table.column("entries").to_pylist()]))
+        entries = np.concatenate([np.frombuffer(x.as_buffer(), _ENTRY) for x in table.column("entries")])
         entries = entries[np.lexsort((entries["c"], entries["n"], entries["h"]))]
+        again = (entries["h"][1:] == entries["h"][:-1]) & (entries["c"][1:] == entries["c"][:-1])
+        entries = entries[np.concatenate([[True], ~again])]
         h, n = entries["h"], entries["n"].astype(np.int64)
         # the next larger set of the bucket is not too large: both may have a partner
         fits = (h[1:] == h[:-1]) & (100 * n[:-1] >= percent * n[1:])
         keep = np.concatenate([fits, [False]]) | np.concatenate([[False], fits])
         entries = entries[keep]
-        return pa.table(
-            [pa.array(_signed(entries["h"])), pa.array(np.ascontiguousarray(entries["c"])), pa.array(np.ascontiguousarray(entries["n"]))],
-            names=["h", "class", "n"],
-        )
+        h = entries["h"]
+        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[: len(h)])
+        cuts = starts[np.searchsorted(starts, np.arange(CHUNK_ENTRIES, len(h), CHUNK_ENTRIES)) - 1] if len(h) else starts
+        chunks = [x.tobytes() for x in np.split(entries, np.unique(cuts[cuts > 0])) if len(x)]
+        c, first, which = np.unique(entries["c"], return_index=True, return_inverse=True)
+        region = entries["r"][first].astype(np.int64)
+        shared = np.bincount(which, entries["r"] >= 0, len(c)).astype(np.int32)
+        k = len(chunks)
+        columns = [
+            pa.array(chunks + [None] * len(c), pa.binary()),
+            *(pa.concat_arrays([pa.nulls(k, kind), pa.array(x, kind)]) for x, kind in (
+                (c, pa.int64()), (entries["n"][first], pa.int32()), (np.where(region < 0, -1 - region, region), pa.int32()), (shared, pa.int32())
+            )),
+        ]
+        return pa.table(columns, names=names)
+
+    return run
+
+
+def _strong_buckets(percent: int, strong):
+    """Task: bucket rows (h, class, n) of strong classes and of larger classes in their buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = strong.value
+        for batch in batches:
+            for chunk in batch.column(0).to_pylist():
+                x = np.frombuffer(chunk, _ENTRY)
+                at = _bit(np.ascontiguousarray(x["c"])).astype(np.int64)
+                is_strong = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+                # by size within a bucket: the largest strong class up to each entry
+                n, rows = x["n"].astype(np.int64), np.arange(len(x))
+                start = np.flatnonzero(np.concatenate([[True], x["h"][1:] != x["h"][:-1]]))
+                bucket = np.repeat(start, np.diff(np.append(start, len(x))))
+                last = np.maximum.accumulate(np.where(is_strong, rows, -1))
+                partner = (last >= bucket) & (100 * n[np.maximum(last, 0)] >= percent * n)
+                keep = is_strong | partner
+                kept = keep & (np.add.reduceat(keep.astype(np.int64), start)[np.searchsorted(start, bucket)] > 1)
+                x = x[kept]
+                columns = [pa.array(_signed(x["h"])), pa.array(np.ascontiguousarray(x["c"])), pa.array(np.ascontiguousarray(x["n"]))]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "class", "n"])
 
     return run
 
@@ -263,12 +333,12 @@ def _class_map(classes: DataFrame) -> np.ndarray:
 
 
 def _segments(size: int, wanted):
-    """Task: the sets of wanted classes, cut by n-gram into segments; segment -1 is the parity map."""
+    """Task: the sets of wanted classes, cut by n-gram into segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, sets, seen = wanted.value, NgramSets(size), set()
         for batch in batches:
-            classes, places, grams_out = [], [], []
+            classes, places, grams_out, held = [], [], [], 0
             for _, grams in sets.of(batch.column(0)):
                 if not len(grams):
                     continue
@@ -277,19 +347,16 @@ def _segments(size: int, wanted):
                 if own in seen or not bits[bit >> 3] >> (7 - (bit & 7)) & 1:
                     continue
                 seen.add(own)
-                parity = np.bincount((grams >> np.uint64(32)).astype(np.int64) % (64 * MAP_LONGS), minlength=64 * MAP_LONGS) & 1
-                classes.append(own)
-                places.append(-1)
-                grams_out.append(np.packbits(parity.astype(bool)).view(np.int64))
-                cuts = np.searchsorted(grams >> np.uint64(61), np.arange(SEGMENTS + 1).astype(np.uint64))
+                cuts = np.searchsorted(grams >> np.uint64(63), np.arange(SEGMENTS + 1).astype(np.uint64))
                 for i in range(SEGMENTS):
                     if cuts[i] < cuts[i + 1]:
                         classes.append(own)
                         places.append(i)
                         grams_out.append(_signed(grams[cuts[i] : cuts[i + 1]]))
-                if len(grams_out) >= 4000:
+                held += len(grams)
+                if held >= BLOCK_ENTRIES:
                     yield _segment_batch(classes, places, grams_out)
-                    classes, places, grams_out = [], [], []
+                    classes, places, grams_out, held = [], [], [], 0
             if classes:
                 yield _segment_batch(classes, places, grams_out)
 
@@ -322,39 +389,82 @@ def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select(pick("d", "c").alias("a"), pick("c", "d").alias("b"), pick("dn", "cn").alias("na"), pick("cn", "dn").alias("nb")).distinct()
 
 
+def _strong(classes: DataFrame, percent: int) -> DataFrame:
+    """Classes that can be the smaller one of a similar pair."""
+    return classes.where(F.col("n") - F.col("lone") >= F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent) - 1e-6)).select("class")
+
+
+def _is_in(key: Column, keys: DataFrame) -> Column:
+    """Whether a long may be among ``keys``, by a map of fixed size; never false for one that is."""
+    held = keys.sparkSession.sparkContext.broadcast(_class_map(keys))
+
+    def run(x: pa.Array) -> pa.Array:
+        at = _bit(x.to_numpy().astype(np.int64)).astype(np.int64)
+        return pa.array((held.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
+
+    return F.arrow_udf(run, "boolean")(key)
+
+
+def _apart(left: str, right: str, longs: int) -> Column:
+    return reduce(operator.add, (F.bit_count(F.col(f"{left}{i}").bitwiseXOR(F.col(f"{right}{i}"))) for i in range(longs)))
+
+
+def _near(apart: Column, m: str, n: str, percent: int) -> Column:
+    """Similar sets differ in at most (100 - percent) / (100 + percent) of their summed sizes."""
+    return F.lit(100 + percent) * apart <= F.lit(100 - percent) * (F.col(m) + F.col(n))
+
+
+def _plausible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs that the full parity maps and the n-grams without partner allow."""
+    least = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent) - 1e-6)
+    enough = (F.col("na") - F.col("xu") >= least) & (F.col("nb") - F.col("yu") >= least)
+    of = lambda key, name: maps.select(F.col("class").alias(key), F.col("lone").alias(f"{name}u"), *(F.col("map")[BUCKET_LONGS + i].alias(f"{name}{i}") for i in range(MAP_LONGS)))
+    both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
+    return both.where(enough & _near(_apart("x", "y", MAP_LONGS), "na", "nb", percent)).select("a", "b", "na", "nb")
+
+
 def _pivot_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
     """Every member with the bucket's pivot; one global priority keeps the pairs few."""
-    priority = F.struct(F.xxhash64(F.col("class"), F.lit(turn)).alias("priority"), "class", "n", "component")
+    priority = F.struct(F.xxhash64(F.col("class"), F.lit(turn)).alias("priority"), "class", "n")
     pivots = buckets.groupBy("h").agg(F.min(priority).alias("pivot"))
-    pairs = buckets.join(pivots, "h").where(F.col("component") != F.col("pivot.component"))
+    pairs = buckets.join(pivots, "h")
     return _ordered(pairs.select(F.col("class").alias("c"), F.col("n").alias("cn"), F.col("pivot.class").alias("d"), F.col("pivot.n").alias("dn")), percent)
 
 
-def _crossing_pairs(buckets: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that lie in different components and that parity maps allow;
+def _crossing_pairs(buckets: DataFrame, links: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket that lie in different components and that small parity maps allow;
     members of the largest component of a bucket are only paired with the rest."""
-    maps = segments.where("segment = -1").select("class", *(F.col("grams")[i].alias(f"m{i}") for i in range(MAP_LONGS)))
-    buckets = buckets.join(maps, "class")
+    labels = connected_components(links).select(F.col("node").alias("class"), "component")
+    labelled = buckets.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    bucket = Window.partitionBy("h")
+    ends = labelled.withColumn("lo", F.min("component").over(bucket)).withColumn("hi", F.max("component").over(bucket))
+    mixed = stored(ends.where("lo != hi").drop("lo", "hi"), "mixed")
+    # an n-gram that only the own component has is missing from every partner outside
+    counts = mixed.groupBy("class").agg(F.count("*").alias("crossing"))
+    maps = stored(maps.join(counts, "class").withColumn("lone", F.col("region") - F.col("crossing")), "maps")
+    hot = mixed.where(_is_in(F.col("class"), _strong(maps, percent))).select("h")
+    mixed = mixed.where(_is_in(F.col("h"), hot))
+    buckets = mixed.join(maps.select("class", *(F.col("map")[i].alias(f"m{i}") for i in range(BUCKET_LONGS))), "class")
     sizes = buckets.groupBy("h", "component").agg(F.count("*").alias("size"))
     major = sizes.groupBy("h").agg(F.max(F.struct("size", "component")).alias("major"))
     minor = buckets.join(major, "h").where(F.col("component") != F.col("major.component"))
-    minor = minor.select("h", F.col("class").alias("c"), F.col("n").alias("cn"), F.col("component").alias("cc"), *(F.col(f"m{i}").alias(f"c{i}") for i in range(MAP_LONGS)))
-    others = buckets.select("h", F.col("class").alias("d"), F.col("n").alias("dn"), F.col("component").alias("dc"), *(F.col(f"m{i}").alias(f"d{i}") for i in range(MAP_LONGS)))
+    side = lambda rows, name: rows.select(
+        "h", F.col("class").alias(name), F.col("n").alias(f"{name}n"), F.col("component").alias(f"{name}c"), *(F.col(f"m{i}").alias(f"{name}{i}") for i in range(BUCKET_LONGS))
+    )
     fitting = F.lit(100) * F.least("cn", "dn") >= F.lit(percent) * F.greatest("cn", "dn")
-    apart = reduce(operator.add, (F.bit_count(F.col(f"c{i}").bitwiseXOR(F.col(f"d{i}"))) for i in range(MAP_LONGS)))
-    # similar sets differ in at most (100 - percent) / (100 + percent) of their summed sizes
-    near = F.lit(100 + percent) * apart <= F.lit(100 - percent) * (F.col("cn") + F.col("dn"))
-    return _ordered(minor.join(others, "h").where((F.col("cc") != F.col("dc")) & fitting & near), percent)
+    near = _near(_apart("c", "d", BUCKET_LONGS), "cn", "dn", percent)
+    pairs = _ordered(side(minor, "c").join(side(buckets, "d"), "h").where((F.col("cc") != F.col("dc")) & fitting & near), percent)
+    return _plausible(pairs, maps, percent)
 
 
-def _mixed_buckets(buckets: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Buckets that still hold several components, with the component of every member."""
-    if links is None:
-        return buckets.withColumn("component", F.col("class"))
-    labels = connected_components(links).select(F.col("node").alias("class"), "component")
-    labelled = buckets.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    mixed = labelled.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    return labelled.join(mixed.select("h"), "h", "left_semi")
+def _verified(pairs: DataFrame, text: DataFrame, size: int, percent: int) -> DataFrame:
+    """The links among ``pairs``; only the sets of their classes are read."""
+    spark = pairs.sparkSession
+    classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    wanted = spark.sparkContext.broadcast(_class_map(classes))
+    segments = text.mapInArrow(_segments(size, wanted), "class long, segment int, grams array<long>")
+    segments = stored(segments.dropDuplicates(["class", "segment"]), "segments")
+    return stored(_linked(pairs, segments, percent).select("a", "b"), "found")
 
 
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -367,9 +477,19 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
     part and gets the component of its group, null where the group has no other id; an empty
     table gives an empty table; other columns are ignored.
     """
+    with small_batches(docs.sparkSession, TEXT_ROWS):
+        rows, links = _classes_and_links(docs.select("doc_id", "text"), size, percent)
+    labels = connected_components(links).select(F.col("node").alias("class"), "component")
+    rows = rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    out = rows.join(least, "component", "left")
+    return out.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def _classes_and_links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(doc_id, n_shingles, class)``, and links between classes that connect all that are similar."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    first = stored(docs.mapInArrow(_classes(size), "kind byte, id long, n int, class long"), "classes")
+    first = stored(docs.mapInArrow(_classes(size), "kind byte, id long, n int, class long, map array<long>"), "classes")
     rows = first.where("kind = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class"))
 
     often = first.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(FREQUENT).toPandas()
@@ -380,26 +500,21 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
 
     text = docs.select("text")
     entries = text.mapInArrow(_entries(size, percent, frequent, fragments), "fragment int, entries binary")
-    buckets = entries.groupBy("fragment").applyInArrow(_buckets(percent), "h long, class long, n int")
-    buckets = stored(buckets, "buckets")
-
-    wanted = spark.sparkContext.broadcast(_class_map(buckets.select("class").distinct()))
-    segments = text.mapInArrow(_segments(size, wanted), "class long, segment int, grams array<long>")
-    segments = stored(segments.dropDuplicates(["class", "segment"]), "segments")
-
-    links, tried = None, None
-    for turn in range(PIVOT_ROUNDS + 1):
-        mixed = _mixed_buckets(buckets, links)
-        pairs = _pivot_pairs(mixed, turn, percent) if turn < PIVOT_ROUNDS else _crossing_pairs(mixed, segments, percent)
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(_linked(pairs, segments, percent).select("a", "b"), "found")
-        links = found if links is None else links.unionByName(found)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-
-    labels = connected_components(links).select(F.col("node").alias("class"), "component")
-    rows = rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
-    out = rows.join(least, "component", "left")
-    return out.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    shared = entries.groupBy("fragment").applyInArrow(_buckets(percent), "entries binary, class long, n int, region int, shared int")
+    shared = stored(shared, "shared")
+    lone = shared.where("entries IS NULL").groupBy("class").agg(F.max("n").alias("n"), F.max("region").alias("region"), (F.max("region") - F.sum("shared")).alias("lone"))
+    strong = spark.sparkContext.broadcast(_class_map(_strong(lone, percent)))
+    with small_batches(spark, 8):
+        buckets = shared.where("entries IS NOT NULL").select("entries").mapInArrow(_strong_buckets(percent, strong), "h long, class long, n int")
+        buckets = stored(buckets, "buckets")
+    maps = first.where("kind = 0 AND n > 0").select("class", "map").dropDuplicates(["class"])
+    maps = stored(maps.join(buckets.select("class").distinct(), "class", "left_semi").join(lone, "class"), "maps")
+
+    # a set of n has n (100 - percent) / 100 n-grams in the region, evenly spread by hash
+    some = buckets.where(F.expr(f"h >= 0 AND CAST(h AS DOUBLE) * n < {float(PIVOT_NGRAMS << 64)}"))
+    pairs = reduce(DataFrame.unionByName, (_pivot_pairs(some, turn, percent) for turn in range(PIVOTS))).distinct()
+    tried = stored(_plausible(pairs, maps, percent), "pairs")
+    links = _verified(tried, text, size, percent)
+    pairs = _crossing_pairs(buckets, links, maps, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = stored(pairs, "pairs")
+    return rows, links.unionByName(_verified(pairs, text, size, percent))
