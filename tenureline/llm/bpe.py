@@ -32,7 +32,7 @@ TEXT_LEAF, BYTES_LEAF, IDS_LEAF = 4096, 48, 4096
 #: Characters that an alternative of the pattern may look at beyond the end of its match.
 LOOK_AHEAD = 2
 #: Pretokens that a Python worker remembers.
-MEMO = 800_000
+MEMO = 500_000
 
 
 def read_ranks(path: str) -> bytes:
