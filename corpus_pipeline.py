@@ -9,14 +9,21 @@ from pyspark.sql import functions as F
 from tenureline.llm import langid, ngram_join, packing, pii
 from tenureline.llm.staging import stored
 
+#: Rows sent to Python at once: texts are long, and the tasks of an executor share its memory.
+ARROW_ROWS = 1000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; where ``lang`` is null, the predicted one fills it.
 
     Texts that are null, have no letter, or are nearer to noise than to any language go.
     """
+    _small_batches(spark)
     found = langid.identified(docs, docs.where(~langid.held_out() & F.col("doc_id").isNotNull()))
     return found.where("NOT rejected").withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
 
@@ -27,6 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are told apart by their place in the stored table, so repeated rows and rows without
     doc_id are documents like any other; documents without words are all kept.
     """
+    _small_batches(spark)
     placed = docs.withColumn("place", F.monotonically_increasing_id())
     groups = ngram_join.similar_documents(placed.select(F.col("place").alias("doc_id"), "text"), size=5, percent=75)
     rows = groups.join(placed.select(F.col("place").alias("doc_id"), F.col("doc_id").alias("own_id")), "doc_id")
@@ -37,11 +45,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span of personal data replaced by its kind; ``n_chars`` follows the new text."""
+    _small_batches(spark)
     return docs.withColumn("text", pii.without_spans()).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences of 2048 tokens."""
+    _small_batches(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(packing.tokenised_pieces(docs, path, capacity=2048, end_id=0, keep_ids=False), capacity=2048)
 
