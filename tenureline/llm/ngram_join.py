@@ -47,11 +47,13 @@ FRAGMENT_ENTRIES, BLOCK_ENTRIES, SLICE_BYTES = 500_000, 250_000, 500_000
 #: Segments that a candidate's set is cut into; longs of a parity map, and those used within buckets.
 SEGMENTS, MAP_LONGS, BUCKET_LONGS = 2, 8, 4
 #: Bits of the map of candidate classes: a fixed size; more classes cost reading, not results.
-MAP_BITS, MAP_CHUNK_BITS = 1 << 25, 1 << 13
+MAP_BITS, MAP_CHUNK_BITS = 1 << 25, 1 << 16
 #: Pivots of a bucket, and n-grams per class whose buckets have pivots, about.
 PIVOTS, PIVOT_NGRAMS = 2, 16
 #: An entry: n-gram, class, set size, n-grams of the set in the region; -1 - that outside it.
-_ENTRY = np.dtype([("h", "<u8"), ("c", "<i8"), ("n", "<i4"), ("r", "<i4")])
+#: Within a fragment the low half of the n-gram's hash is kept: n-grams taken for one another add
+#: candidates, and lose none.
+_ENTRY = np.dtype([("h", "<u4"), ("c", "<i8"), ("n", "<i4"), ("r", "<i4")])
 #: Texts sent to Python at once.
 TEXT_ROWS = 1000
 #: Entries of one stored row of buckets.
@@ -202,7 +204,7 @@ def _entries(size: int, percent: int, frequent, fragments: int):
 
     def packed(block: list[tuple]) -> pa.RecordBatch:
         out = np.empty(sum(len(x[0]) for x in block), _ENTRY)
-        out["h"] = np.concatenate([x[0] for x in block])
+        out["h"] = np.concatenate([x[0] for x in block]) & np.uint64(0xFFFFFFFF)
         out["c"] = np.concatenate([np.full(len(x[0]), x[2]) for x in block])
         out["n"] = np.concatenate([np.full(len(x[0]), x[3]) for x in block])
         out["r"] = np.concatenate([x[4] for x in block])
@@ -250,7 +252,7 @@ def _entries(size: int, percent: int, frequent, fragments: int):
 def _buckets(percent: int):
     """Group: entries of n-grams that two classes of fitting sizes share, as packed rows, and per
     class its size, the n-grams of its region, and how many of these are shared here."""
-    names = ["entries", "class", "n", "region", "shared"]
+    names = ["fragment", "entries", "class", "n", "region", "shared"]
 
     def run(table: pa.Table) -> pa.Table:
         entries = np.concatenate([np.frombuffer(x.as_buffer(), _ENTRY) for x in table.column("entries")])
@@ -271,6 +273,7 @@ def _buckets(percent: int):
         shared = np.bincount(which, entries["r"] >= 0, len(c)).astype(np.int32)
         k = len(chunks)
         columns = [
+            pa.array(np.full(k + len(c), table.column("fragment")[0].as_py(), np.int32)),
             pa.array(chunks + [None] * len(c), pa.binary()),
             *(pa.concat_arrays([pa.nulls(k, kind), pa.array(x, kind)]) for x, kind in (
                 (c, pa.int64()), (entries["n"][first], pa.int32()), (np.where(region < 0, -1 - region, region), pa.int32()), (shared, pa.int32())
@@ -287,7 +290,7 @@ def _strong_buckets(percent: int, strong):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = strong.value
         for batch in batches:
-            for chunk in batch.column(0).to_pylist():
+            for fragment, chunk in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x = np.frombuffer(chunk, _ENTRY)
                 at = _bit(np.ascontiguousarray(x["c"])).astype(np.int64)
                 is_strong = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
@@ -300,7 +303,7 @@ def _strong_buckets(percent: int, strong):
                 keep = is_strong | partner
                 kept = keep & (np.add.reduceat(keep.astype(np.int64), start)[np.searchsorted(start, bucket)] > 1)
                 x = x[kept]
-                columns = [pa.array(_signed(x["h"])), pa.array(np.ascontiguousarray(x["c"])), pa.array(np.ascontiguousarray(x["n"]))]
+                columns = [pa.array((fragment << 32) + x["h"].astype(np.int64)), pa.array(np.ascontiguousarray(x["c"])), pa.array(np.ascontiguousarray(x["n"]))]
                 yield pa.RecordBatch.from_arrays(columns, names=["h", "class", "n"])
 
     return run
@@ -326,7 +329,7 @@ def _class_map(classes: DataFrame) -> np.ndarray:
     """One bit for each class, of a fixed size."""
     chunks = classes.mapInArrow(_bits, "chunk int, bit long").groupBy("chunk").applyInArrow(_chunk, "chunk int, bits binary")
     out = np.zeros(MAP_BITS // 8, np.uint8)
-    for row in chunks.toLocalIterator():
+    for row in chunks.collect():
         at = row["chunk"] * MAP_CHUNK_BITS // 8
         out[at : at + MAP_CHUNK_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
     return out
@@ -500,18 +503,18 @@ def _classes_and_links(docs: DataFrame, size: int, percent: int) -> tuple[DataFr
 
     text = docs.select("text")
     entries = text.mapInArrow(_entries(size, percent, frequent, fragments), "fragment int, entries binary")
-    shared = entries.groupBy("fragment").applyInArrow(_buckets(percent), "entries binary, class long, n int, region int, shared int")
+    shared = entries.groupBy("fragment").applyInArrow(_buckets(percent), "fragment int, entries binary, class long, n int, region int, shared int")
     shared = stored(shared, "shared")
     lone = shared.where("entries IS NULL").groupBy("class").agg(F.max("n").alias("n"), F.max("region").alias("region"), (F.max("region") - F.sum("shared")).alias("lone"))
     strong = spark.sparkContext.broadcast(_class_map(_strong(lone, percent)))
     with small_batches(spark, 8):
-        buckets = shared.where("entries IS NOT NULL").select("entries").mapInArrow(_strong_buckets(percent, strong), "h long, class long, n int")
+        buckets = shared.where("entries IS NOT NULL").select("fragment", "entries").mapInArrow(_strong_buckets(percent, strong), "h long, class long, n int")
         buckets = stored(buckets, "buckets")
     maps = first.where("kind = 0 AND n > 0").select("class", "map").dropDuplicates(["class"])
     maps = stored(maps.join(buckets.select("class").distinct(), "class", "left_semi").join(lone, "class"), "maps")
 
     # a set of n has n (100 - percent) / 100 n-grams in the region, evenly spread by hash
-    some = buckets.where(F.expr(f"h >= 0 AND CAST(h AS DOUBLE) * n < {float(PIVOT_NGRAMS << 64)}"))
+    some = buckets.where(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") * F.col("n") < float((PIVOT_NGRAMS << 32) * 100 // (100 - percent)))
     pairs = reduce(DataFrame.unionByName, (_pivot_pairs(some, turn, percent) for turn in range(PIVOTS))).distinct()
     tried = stored(_plausible(pairs, maps, percent), "pairs")
     links = _verified(tried, text, size, percent)
