@@ -155,7 +155,7 @@ def learned(docs: DataFrame) -> tuple[list[str], list[tuple[np.ndarray, np.ndarr
     """Languages, their n-gram counts and rejection limits, from documents (doc_id, text, lang)."""
     spark = docs.sparkSession
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("doc_id", F.lit(3)).alias("hash"))
-    sizes = {row["lang"]: row["n"] or 0 for row in known.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).toLocalIterator()}
+    sizes = {row["lang"]: row["n"] or 0 for row in known.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
     languages = sorted(lang for lang, n in sizes.items() if n)
     if not languages:
         return [], [], {}
@@ -176,7 +176,7 @@ def learned(docs: DataFrame) -> tuple[list[str], list[tuple[np.ndarray, np.ndarr
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[2] for r in rows], pa.float64())], names=["lang", "nats"])
 
     held = sample.where(draw >= 1 - HELD_BACK).select("text").mapInArrow(calibrate, "lang string, nats double")
-    reached = held.where("nats IS NOT NULL").groupBy("lang").agg(F.percentile_approx("nats", CALIBRATED, 10_000).alias("nats")).toLocalIterator()
+    reached = held.where("nats IS NOT NULL").groupBy("lang").agg(F.percentile_approx("nats", CALIBRATED, 10_000).alias("nats")).collect()
     usual = {row["lang"]: row["nats"] for row in reached}
     noise = {lang: -np.log(KneserNey(*x).uniform) for lang, x in zip(languages, arrays, strict=True)}
     return languages, arrays, {lang: float(max(usual[lang], (usual[lang] + noise[lang]) / 2)) for lang in usual if lang in noise}

@@ -81,7 +81,7 @@ def scanned(files: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, th
     present = F.array_intersect(_words(F.col("text")), F.array(*map(F.lit, vocabulary)))
     total = F.lit("")  # no word is empty: this entry counts the files
     seen = files.select(F.explode(F.array_append(F.coalesce(F.array_remove(present, ""), F.array().cast("array<string>")), total)).alias("word"))
-    counts = {row["word"]: row["n"] for row in seen.groupBy("word").agg(F.count("*").alias("n")).toLocalIterator()}
+    counts = {row["word"]: row["n"] for row in seen.groupBy("word").agg(F.count("*").alias("n")).collect()}
     n = counts.get("", 0)
     idf = {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
     unseen = math.log(1 + n) + 1

@@ -26,7 +26,7 @@ from .staging import stored
 from .texts import slices
 
 #: Words that a Python worker remembers.
-MEMO = 600_000
+MEMO = 400_000
 #: Pieces of one length ranked in one task.
 RANKED_ROWS = 50_000
 #: A word that the pretokeniser cuts once, before its tail of punctuation: ASCII letters and
@@ -184,7 +184,7 @@ def packed(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     rows = rows.withColumn("own", F.row_number().over(group.orderBy("packing_row")) - 1)
     rows = rows.join(counts.drop("n"), ["length", "packing_group"]).withColumn("packing_rank", F.col("before") + F.col("own"))
 
-    histogram = {int(row[0]): row[1] for row in fixed.groupBy("length").agg(F.count("*")).toLocalIterator()}
+    histogram = {int(row[0]): row[1] for row in fixed.groupBy("length").agg(F.count("*")).collect()}
     if histogram and not 1 <= min(histogram) <= max(histogram) <= capacity:
         raise ValueError("lengths must be from 1 to the capacity")
     slots = np.array(sorted(Plan(histogram, capacity).slots), np.int64).reshape(-1, 4)

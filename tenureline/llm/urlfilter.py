@@ -144,7 +144,7 @@ def judged(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     score = _scorer(spark.sparkContext.broadcast(difference))
     step = F.floor(F.greatest(F.lit(-WIDEST), F.least(F.lit(WIDEST), score("url"))) * STEPS)
     steps = ruled.where("held").select("says", step.alias("step")).groupBy("says", "step").count()
-    threshold = calibrated_threshold([tuple(row) for row in steps.toLocalIterator()])
+    threshold = calibrated_threshold([tuple(row) for row in steps.collect()])
     rows = rows.withColumn("score", score("url"))
     method = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return rows.select("page_id", "host", "path", "rule", F.coalesce("says", method).alias("verdict"), "score")
