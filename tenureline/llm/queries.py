@@ -76,4 +76,79 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_byte_bpe, op3_language_id, op4_url_filter, op5_top_k, op6_packing, op7_license_scan, op8_chat_format, op9_ngram_join, op10_near_vectors)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+_TOP_K = f"""
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+        FROM embeddings WHERE vec_id IS NOT NULL AND {_USABLE}),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 20"""
+
+#: The template of chat.rendered: its control strings, and the escape after their first character.
+_CHAT = r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+    rendered AS (
+        SELECT *, 13 + length(regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g'))
+                     + length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g')) AS chars
+        FROM turns)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(chars) AS BIGINT) AS formatted_chars
+    FROM rendered GROUP BY conv_id"""
+
+#: Groups under links (a, b) of nodes: the smallest node that links reach.
+_REACHED = """
+    reached(node, root) AS (
+        SELECT node, node FROM nodes
+        UNION
+        SELECT reached.node, b FROM reached JOIN links ON a = root),
+    grouped AS (SELECT node, min(root) AS component FROM reached GROUP BY node)"""
+
+_NGRAMS = f"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+        FROM documents),
+    grams AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+            ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS gram
+        FROM words),
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    shared AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+        FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+    nodes AS (SELECT DISTINCT doc_id AS node FROM documents),
+    {_REACHED}
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component AS component_id
+    FROM documents d LEFT JOIN sizes USING (doc_id) JOIN grouped ON node = d.doc_id"""
+
+_NEAR_VECTORS = f"""
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+        WHERE label IS NOT NULL AND {_USABLE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id <> y.vec_id
+        WHERE list_cosine_similarity(x.v, y.v) >= 0.93),
+    nodes AS (SELECT vec_id AS node FROM embeddings),
+    {_REACHED}
+    SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component AS component_id, vec_id = component AS kept
+    FROM embeddings JOIN grouped ON node = vec_id"""
+
+#: Where SQL has no form (spans, tokens, language and URL models, packing, TF-IDF rounding),
+#: tests/llm compares with brute force, a library or held-out documents.
+ORACLE_SQL: dict[str, str] = {
+    "op5_top_k": _TOP_K,
+    "op8_chat_format": _CHAT,
+    "op9_ngram_join": _NGRAMS,
+    "op10_near_vectors": _NEAR_VECTORS,
+}
