@@ -12,6 +12,7 @@ from tenureline.functions.calendar_blocks import covering_blocks, enclosing_bloc
 from tenureline.functions.dates import closed_end
 from tenureline.functions.ranking import nulls_last, sort_key
 from tenureline.operators.density import DENSE_ROWS, route_by_density
+from tenureline.operators.revenue import apply_horizon, revenue_horizon
 
 
 def violates(df: DataFrame, predicate: Column) -> DataFrame:
@@ -123,9 +124,7 @@ def overlapping_pairs(
     )
     ranking = ["first_day", "last_day", *(f"order_{at}" for at in range(len(order))), "end_date"]
     light, dense = route_by_density(intervals, key, dense_rows)
-    parts = []
-    if light is not None:
-        parts.append(_pairs_in_task(light, key, ranking))
+    parts = [_pairs_in_task(light, key, ranking)]
     if dense is not None:
         parts.extend(_pairs_by_block(dense, key, ranking))
     return reduce(DataFrame.unionByName, parts).select(
@@ -205,6 +204,18 @@ def _pairs_by_block(dense: DataFrame, key: str, ranking: Sequence[str]) -> list[
     ]
 
 
+# -- horizon ------------------------------------------------------------------------
+
+
+def opens_after_horizon(billable: DataFrame) -> DataFrame:
+    """Open billable intervals that start after the day at which open ones are cut.
+
+    They earn nothing, so the monthly fact has no row for them; here they are listed.
+    """
+    closed = apply_horizon(billable, revenue_horizon(billable))
+    return closed.where(F.col("resolved_start_date") > F.col("effective_end_date"))
+
+
 # -- report -------------------------------------------------------------------------
 
 

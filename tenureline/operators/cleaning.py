@@ -81,12 +81,15 @@ def typed_subscriptions(subscriptions: DataFrame) -> DataFrame:
     )
 
 
+def valid_subscriptions(subscriptions: DataFrame) -> DataFrame:
+    """The rows of ``clean_subscriptions`` before they meet the plans."""
+    typed = typed_subscriptions(subscriptions)
+    return valid_intervals(typed, "start_date", "end_date", "status_code")
+
+
 def clean_subscriptions(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     """Typed, priced, valid subscriptions; an open end becomes the sentinel day."""
-    typed = typed_subscriptions(subscriptions)
-    valid = normalise_status(
-        valid_intervals(typed, "start_date", "end_date", "status_code"), "status_code"
-    )
+    valid = normalise_status(valid_subscriptions(subscriptions), "status_code")
     prices = plans.withColumnRenamed("plan_id", "resolved_plan_id")
     return lookup(valid, prices, "resolved_plan_id", ["monthly_cost"]).select(
         "resolved_subscription_id",

@@ -19,13 +19,9 @@ from tenureline.sources.publish import stage
 # looking each one up by calendar block.
 DENSE_ROWS = 512
 
-# Limit for broadcasting the dense keys. Beyond it every key takes the spread route,
-# which needs no key list.
-MAX_BROADCAST_KEYS = 200_000
-
 
 class Routed(NamedTuple):
-    light: DataFrame | None  # every key has at most ``dense_rows`` rows
+    light: DataFrame  # every key has at most ``dense_rows`` rows
     dense: DataFrame | None  # keys of any size
 
 
@@ -33,15 +29,16 @@ def route_by_density(
     df: DataFrame,
     key: str,
     dense_rows: int = DENSE_ROWS,
-    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    counted: DataFrame | None = None,
 ) -> Routed:
-    """Count rows per key (combined map-side) and split ``df`` at ``dense_rows``."""
-    sizes = df.groupBy(key).agg(F.count("*").alias("key_rows"))
+    """Count rows per key (combined map-side) and split ``df`` at ``dense_rows``.
+
+    ``counted`` has as many rows per key as ``df`` and is cheaper to read, such as the rows
+    before a lookup. How the dense keys meet ``df`` is left to Spark: it broadcasts them when
+    they are measured to be few, and else shuffles by key, as the light route does anyway.
+    """
+    sizes = (df if counted is None else counted).groupBy(key).agg(F.count("*").alias("key_rows"))
     dense_keys = stage(sizes.where(F.col("key_rows") > dense_rows).select(key), "dense_keys")
-    found = dense_keys.count()
-    if found == 0:
+    if dense_keys.isEmpty():
         return Routed(df, None)
-    if found > max_broadcast_keys:
-        return Routed(None, df)
-    keys = F.broadcast(dense_keys)
-    return Routed(df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"))
+    return Routed(df.join(dense_keys, key, "left_anti"), df.join(dense_keys, key, "left_semi"))

@@ -6,7 +6,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from tenureline.operators.cleaning import clean_customers, clean_subscriptions
+from tenureline.operators.cleaning import (
+    clean_customers,
+    clean_subscriptions,
+    valid_subscriptions,
+)
+from tenureline.operators.density import DENSE_ROWS
 from tenureline.operators.intervals import resolve_subscriptions
 from tenureline.operators.revenue import dim_customers, mrr_monthly_of_resolved
 from tenureline.operators.summary import customer_subscription_summary
@@ -27,8 +32,16 @@ class Marts(NamedTuple):
     dimension: DataFrame
 
 
-def timeline_of(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    return resolve_subscriptions(clean_subscriptions(subscriptions, plans))
+def timeline_of(
+    subscriptions: DataFrame,
+    plans: DataFrame,
+    dense_rows: int = DENSE_ROWS,
+    partitions: int | None = None,
+) -> DataFrame:
+    """The resolved timeline; rows per customer are counted before they meet the plans."""
+    cleaned = clean_subscriptions(subscriptions, plans)
+    counted = valid_subscriptions(subscriptions).select("customer_id")
+    return resolve_subscriptions(cleaned, dense_rows, partitions, counted)
 
 
 def staged_timeline(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
@@ -46,8 +59,16 @@ def customer_dimension(raw: RawTables) -> DataFrame:
     return dim_customers(clean_customers(raw.customers), summary, mrr_monthly_of_resolved(timeline))
 
 
-def build_marts(raw: RawTables, root: str, buckets: int | None = None) -> Marts:
-    """Rebuild everything under ``root``.
+def build_marts(
+    raw: RawTables,
+    root: str,
+    buckets: int | None = None,
+    dense_rows: int = DENSE_ROWS,
+    prefix: str = "",
+) -> Marts:
+    """Rebuild everything under ``root``; databases are named ``prefix`` and the layer.
+
+    The extracts are read once and stored as Parquet in the staging layer.
 
     Timeline, fact and dimension are stored bucketed by customer. The timeline is
     resolved in that partitioning already, so its one shuffle serves the bucketed
@@ -56,14 +77,16 @@ def build_marts(raw: RawTables, root: str, buckets: int | None = None) -> Marts:
     spark = raw.subscriptions.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucketing = {"bucket_by": "customer_id", "buckets": buckets}
-
-    cleaned = clean_subscriptions(raw.subscriptions, raw.plans)
+    raw = RawTables(
+        *(publish_table(df, root, "staging", name) for name, df in raw._asdict().items())
+    )
     customers = publish_view(clean_customers(raw.customers), "intermediate", "customers_enriched")
     timeline = publish_table(
-        resolve_subscriptions(cleaned, partitions=buckets),
+        timeline_of(raw.subscriptions, raw.plans, dense_rows, buckets),
         root,
         "intermediate",
         "subscriptions_resolved",
+        database=f"{prefix}intermediate",
         **bucketing,
     )
     summary = publish_view(
@@ -76,9 +99,15 @@ def build_marts(raw: RawTables, root: str, buckets: int | None = None) -> Marts:
         root,
         "marts",
         "mrr_monthly",
+        database=f"{prefix}marts",
         **bucketing,
     )
     dimension = publish_table(
-        dim_customers(customers, summary, fact), root, "marts", "customers", **bucketing
+        dim_customers(customers, summary, fact),
+        root,
+        "marts",
+        "customers",
+        database=f"{prefix}marts",
+        **bucketing,
     )
     return Marts(customers, timeline, summary, fact, dimension)

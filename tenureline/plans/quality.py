@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tenureline.operators import checks
 from tenureline.operators.cleaning import STATUS_OF_CODE, STATUS_PRECEDENCE
+from tenureline.operators.revenue import billable_intervals
 from tenureline.plans.marts import Marts, RawTables
 
 # Columns that must be present, be unique, or refer to another table.
@@ -107,5 +108,8 @@ def check_report(raw: RawTables, marts: Marts) -> DataFrame:
         1,
         "open_billable_interval_count",
     )
+    others["open_after_horizon"] = checks.opens_after_horizon(
+        billable_intervals(marts.timeline)
+    )
     others["overlaps"] = checks.overlapping_pairs(marts.timeline)
     return checks.run_checks(row_checks, others, orphans)

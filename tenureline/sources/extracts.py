@@ -16,8 +16,14 @@ _DIALECT = {
 
 
 def read_extract(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """Read without inference; a wrong header or a malformed row fails the read."""
-    settings = {**_DIALECT, "enforceSchema": False, "mode": "FAILFAST", **options}
+    """Read without inference; a wrong header or a malformed row fails the read.
+
+    Every column is parsed even if few are used, else malformed rows could pass unseen.
+    Fields with line breaks need ``multiLine=True``, which makes a file unsplittable.
+    """
+    settings = {
+        **_DIALECT, "enforceSchema": False, "mode": "FAILFAST", "columnPruning": False, **options
+    }
     return spark.read.schema(schema).options(**settings).csv(path)
 
 

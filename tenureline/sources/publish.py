@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The checkpoint folder of the session: set by ``setCheckpointDir`` or ``spark.checkpoint.dir``.
 
-    Only a local master may go without that setting and use a folder of its own.
+    Only a local master may go without either and use a folder of its own.
     """
+    chosen = spark.sparkContext.getCheckpointDir()
+    if chosen:
+        return chosen.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
@@ -51,22 +54,27 @@ def publish_table(
     name: str,
     bucket_by: str | None = None,
     buckets: int | None = None,
+    database: str | None = None,
 ) -> DataFrame:
     """Rebuild ``<root>/<layer>/<name>`` in full and read it back.
 
     With ``bucket_by`` the table is bucketed in the session catalog, so later joins,
-    windows and aggregations on that column need no shuffle.
+    windows and aggregations on that column need no shuffle. The catalog has one table of a
+    name per database, ``layer`` unless ``database`` names another: pipelines with roots of
+    their own need databases of their own.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{layer}/{name}"
     if bucket_by is None:
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{root.rstrip('/')}/{layer}'")
+    table = f"`{database or layer}`.`{name}`"
+    location = f"{root.rstrip('/')}/{layer}".replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database or layer}` LOCATION '{location}'")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # One task per bucket, hence one file per bucket. No exchange is added when the
     # relation already arrives in this partitioning.
     clustered = df.repartition(buckets, bucket_by)
     writer = clustered.write.mode("overwrite").format("parquet").option("path", path)
-    writer.bucketBy(buckets, bucket_by).saveAsTable(f"`{layer}`.`{name}`")
-    return spark.table(f"`{layer}`.`{name}`")
+    writer.bucketBy(buckets, bucket_by).saveAsTable(table)
+    return spark.table(table)

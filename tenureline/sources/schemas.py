@@ -31,7 +31,7 @@ RAW_PLANS = T.StructType(
     [
         T.StructField("plan_id", T.StringType()),
         T.StructField("plan_name", T.StringType()),
-        T.StructField("monthly_cost", T.IntegerType()),
+        T.StructField("monthly_cost", T.DecimalType(18, 2)),
     ]
 )
 
@@ -43,7 +43,7 @@ RESOLVED_TIMELINE = T.StructType(
         T.StructField("resolved_status", T.StringType()),
         T.StructField("resolved_start_date", T.DateType()),
         T.StructField("resolved_end_date", T.DateType()),
-        T.StructField("monthly_cost", T.DecimalType(10, 2)),
+        T.StructField("monthly_cost", T.DecimalType(18, 2)),
         T.StructField("is_billable", T.BooleanType()),
     ]
 )

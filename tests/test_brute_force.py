@@ -112,19 +112,38 @@ def test_one_customer_with_a_third_of_all_rows(spark):
         assert rows_of(resolve_subscriptions(cleaned, dense_rows)) == expected
 
 
-def test_too_many_dense_keys_to_broadcast(spark, monkeypatch):
-    from tenureline.operators import density, intervals
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_light_keys_stay_light_beside_many_dense_ones(spark, monkeypatch, broadcast):
+    """However many keys are dense, and whether or not they can be broadcast."""
+    from tenureline.operators import checks, density, intervals
 
     rows = many_intervals(300, 20)
     cleaned = spark.createDataFrame(rows, CLEANED)
-
-    def crowded(df, key, dense_rows):
-        routed = density.route_by_density(df, key, dense_rows, max_broadcast_keys=3)
-        assert routed.light is None
+    sizes = {r[0]: r[1] for r in cleaned.groupBy("customer_id").count().collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    limit = sorted(sizes.values())[len(sizes) // 4]
+    seen = []
+
+    def watched(df, key, dense_rows, *more):
+        routed = density.route_by_density(df, key, dense_rows, *more)
+        seen.append({r[0] for r in routed.light.select(key).distinct().collect()})
         return routed
 
-    monkeypatch.setattr(intervals, "route_by_density", crowded)
-    assert rows_of(resolve_subscriptions(cleaned, 4)) == expected_timeline(rows)
+    monkeypatch.setattr(intervals, "route_by_density", watched)
+    monkeypatch.setattr(checks, "route_by_density", watched)
+    try:
+        assert rows_of(resolve_subscriptions(cleaned, limit)) == expected_timeline(rows)
+        timeline = cleaned.selectExpr(
+            "*", "start_date AS resolved_start_date", "end_date AS resolved_end_date"
+        )
+        every = rows_of(checks.overlapping_pairs(timeline, dense_rows=10_000))
+        assert rows_of(checks.overlapping_pairs(timeline, dense_rows=limit)) == every
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    light = {key for key, n in sizes.items() if key is not None and n <= limit}
+    assert light and light < {key for key in sizes if key is not None}
+    assert seen[0] == seen[2] == light
 
 
 def test_candidates_are_the_containing_intervals(spark):

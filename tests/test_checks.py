@@ -94,7 +94,7 @@ def test_report_names_and_counts(spark, tmp_path):
     raw_tables = bindings.raw_tables(spark, SMALL)
     built = marts.build_marts(raw_tables, str(tmp_path / "marts"), buckets=4)
     report = {r.check_name: r for r in quality.check_report(raw_tables, built).collect()}
-    assert len(report) == 25 + 6 + 6 + 1 + 9
+    assert len(report) == 25 + 6 + 6 + 1 + 10
     assert not report["raw_end_before_start"].passed
     assert not report["relationships_raw_subscriptions_plan_id"].passed
     for name in ("overlaps", "invalid_ranges", "active_days", "unique_dimension_customer_id"):

@@ -8,6 +8,7 @@ from conftest import SMALL, plan_of
 from tenureline.operators import checks, cleaning, intervals, revenue
 from tenureline.plans import marts
 from tenureline.plans.quality import row_predicates
+from tenureline.sources import publish
 from workload import bindings
 from workload.queries import queries
 
@@ -79,3 +80,18 @@ def test_overlap_check_uses_the_bucketing_of_the_timeline(spark, tmp_path):
     built = marts.build_marts(bindings.raw_tables(spark, SMALL), str(tmp_path), buckets=4)
     plan = plan_of(checks.overlapping_pairs(built.timeline))
     assert "hashpartitioning" not in plan
+
+
+def test_rows_are_counted_before_they_meet_the_plans(spark, monkeypatch):
+    from tenureline.operators import density
+    from tenureline.plans import marts
+
+    counted = []
+
+    def watched(df, name):
+        counted.append(plan_of(df))
+        return publish.stage(df, name)
+
+    monkeypatch.setattr(density, "stage", watched)
+    marts.timeline_of(bindings.raw_subscriptions(spark, SMALL), bindings.raw_plans(spark))
+    assert len(counted) == 1 and "Join" not in counted[0]

@@ -41,6 +41,29 @@ def test_bad_value_or_header_fails(spark, tmp_path, text):
         extracts.read_extract(spark, str(path), schemas.RAW_PLANS).collect()
 
 
+def test_decimal_prices_load(spark, tmp_path):
+    path = tmp_path / "plans.csv"
+    path.write_text("plan_id,plan_name,monthly_cost\nbasic,Basic,31.00\npro,Pro,62\nx,X,19.99\n")
+    prices = extracts.read_extract(spark, str(path), schemas.RAW_PLANS).select("monthly_cost")
+    assert [str(row[0]) for row in prices.collect()] == ["31.00", "62.00", "19.99"]
+
+
+def test_malformed_rows_fail_although_their_columns_are_not_read(spark, tmp_path):
+    path = tmp_path / "plans.csv"
+    path.write_text("plan_id,plan_name,monthly_cost\np1,Basic,dear\np2\n")
+    df = extracts.read_extract(spark, str(path), schemas.RAW_PLANS)
+    for read in (df.select("plan_id").collect, df.count):
+        with pytest.raises(Py4JJavaError, match="FAILED_READ_FILE"):
+            read()
+
+
+def test_line_breaks_in_fields_need_the_option(spark, tmp_path):
+    lines = spark.createDataFrame([("p1", 'two\nlines, "quoted"', 5)], "plan_id string, plan_name string, monthly_cost int")
+    path = extracts.write_extract(lines, str(tmp_path / "plans"))
+    back = extracts.read_extract(spark, path, schemas.RAW_PLANS, multiLine=True)
+    assert rows_of(back) == [("p1", 'two\nlines, "quoted"', 5)]
+
+
 def test_extract_round_trip(spark, tmp_path):
     customers = bindings.raw_customers(spark, SMALL)
     path = extracts.write_extract(customers, str(tmp_path / "customers"))
@@ -48,9 +71,10 @@ def test_extract_round_trip(spark, tmp_path):
 
 
 def test_scratch_folder_follows_the_session(spark):
+    chosen = spark.sparkContext.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        assert scratch_dir(spark) == configured.rstrip("/")
+    if chosen or configured:
+        assert scratch_dir(spark) == (chosen or configured).rstrip("/")
 
 
 def test_stage_reads_from_files(spark):
@@ -70,6 +94,14 @@ def test_table_is_rebuilt_in_full(spark, tmp_path):
     assert again.count() == 2
 
 
+def test_roots_may_hold_quotes_and_databases_keep_pipelines_apart(spark, tmp_path):
+    numbers = spark.range(5).withColumnRenamed("id", "n")
+    layers = {"bucket_by": "n", "buckets": 2}
+    one = publish_table(numbers, f"{tmp_path}/it's", "lay", "t", database="one_lay", **layers)
+    two = publish_table(numbers.limit(2), f"{tmp_path}/two", "lay", "t", database="two_lay", **layers)
+    assert (one.count(), two.count(), spark.table("one_lay.t").count()) == (5, 2, 5)
+
+
 def test_bucketed_marts_need_no_further_shuffle(spark, tmp_path):
     raw = bindings.raw_tables(spark, SMALL)
     built = marts.build_marts(raw, str(tmp_path), buckets=4)
@@ -84,10 +116,12 @@ def test_bucketed_marts_need_no_further_shuffle(spark, tmp_path):
 
 
 def test_a_cluster_must_name_its_shared_folder():
-    def session(**settings):
-        return SimpleNamespace(conf=settings)
+    def session(chosen=None, **settings):
+        context = SimpleNamespace(getCheckpointDir=lambda: chosen)
+        return SimpleNamespace(conf=settings, sparkContext=context)
 
     shared = {"spark.checkpoint.dir": "hdfs:///shared/", "spark.master": "yarn"}
     assert scratch_dir(session(**shared)) == "hdfs:///shared"
+    assert scratch_dir(session("hdfs:///set/later", **shared)) == "hdfs:///set/later"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(session(**{"spark.master": "yarn"}))

@@ -117,3 +117,12 @@ def as_timeline(cleaned: DataFrame) -> DataFrame:
         "monthly_cost",
         "is_billable",
     )
+
+
+def late_starters_open(timeline: DataFrame) -> DataFrame:
+    """The timeline with every end before 1998, and later starters open: they open after it."""
+    last = F.lit("1997-12-31").cast("date")
+    closed = F.least(F.coalesce("resolved_end_date", last), last)
+    return timeline.withColumn(
+        "resolved_end_date", F.when(F.col("resolved_start_date") <= last, closed)
+    )

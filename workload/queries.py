@@ -98,6 +98,19 @@ def publish_marts(spark, sf_dir):
     return marts.build_marts(bindings.raw_tables(spark, sf_dir), root).dimension
 
 
+@_query
+def publish_marts_fact(spark, sf_dir):
+    root = fresh_path(spark, "marts")
+    return marts.build_marts(bindings.raw_tables(spark, sf_dir), root, prefix="of_fact_").fact
+
+
+@_query
+def publish_marts_timeline(spark, sf_dir):
+    root = fresh_path(spark, "marts")
+    raw = bindings.raw_tables(spark, sf_dir)
+    return marts.build_marts(raw, root, prefix="of_timeline_").timeline
+
+
 
 # -- cleaning ------------------------------------------------------------------------
 
@@ -358,6 +371,12 @@ def check_overlaps(spark, sf_dir):
     return checks.overlapping_pairs(_unresolved(spark, sf_dir))
 
 
+@_query
+def check_open_after_horizon(spark, sf_dir):
+    timeline = bindings.late_starters_open(_unresolved(spark, sf_dir))
+    return checks.opens_after_horizon(revenue.billable_intervals(timeline))
+
+
 @_query
 def check_report(spark, sf_dir):
     raw = bindings.raw_tables(spark, sf_dir)
