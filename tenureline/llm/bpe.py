@@ -172,7 +172,7 @@ def encoded(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pretokens = Pretokens(pattern)
-        memo = kept(("pretokens", rank_path), lambda: Memo(BytePairs(rank_file.value)))
+        memo = kept("bpe", ("pretokens", rank_path), lambda: Memo(BytePairs(rank_file.value)))
         for part in slices(batches):
             ids = [b"".join(map(memo.__getitem__, pretokens.of(text))) for text in strings(part.column("text"))]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
@@ -185,7 +185,7 @@ def decoded(ids: DataFrame, rank_path: str) -> DataFrame:
     rank_file = ids.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = kept(("tokens", rank_path), lambda: BytePairs(rank_file.value)).tokens
+        tokens = kept("bpe", ("tokens", rank_path), lambda: BytePairs(rank_file.value)).tokens
         for part in slices(batches):
             out = [
                 None if x is None else decoded_bytes([tokens[i] for i in memoryview(x).cast("I")]) for x in part.column("ids").to_pylist()

@@ -14,9 +14,13 @@ from typing import Any
 _NAME = "_llm_kept_between_tasks"
 
 
-def kept(key: object, make: Callable[[], Any]) -> Any:
-    """The worker's object for ``key``, made on first use."""
-    held = sys.modules.setdefault(_NAME, types.ModuleType(_NAME)).__dict__.setdefault("held", {})
-    if key not in held:
-        held[key] = make()
-    return held[key]
+def kept(operator: str, key: object, make: Callable[[], Any]) -> Any:
+    """The worker's object for ``key``, made on first use. Those of one operator are held at a
+    time: a worker that turns to another one gives their memory back."""
+    held = sys.modules.setdefault(_NAME, types.ModuleType(_NAME)).__dict__
+    if held.get("operator") != operator:
+        held |= {"operator": operator, "objects": {}}
+    objects = held["objects"]
+    if key not in objects:
+        objects[key] = make()
+    return objects[key]

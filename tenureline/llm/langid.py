@@ -109,7 +109,7 @@ class Identifier:
     """All languages: the n-grams of any of them in one sorted array, with every log-probability."""
 
     def __init__(self, languages: list[str], grams: list[tuple[np.ndarray, np.ndarray]], limits: dict[str, float] | None = None):
-        self.languages, self.limits, self.letters = languages, limits or {}, kept("letters", Letters)
+        self.languages, self.limits, self.letters = languages, limits or {}, kept("langid", "letters", Letters)
         self.models = [KneserNey(*x) for x in grams]
         self.keys = np.unique(np.concatenate([x[0] for x in grams])) if grams else np.zeros(0, np.int64)
         self.logs = self._logs(self.keys)
@@ -141,7 +141,7 @@ class Identifier:
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    letters = kept("letters", Letters)
+    letters = kept("langid", "letters", Letters)
     for part in slices(batches):
         by_lang: dict[str, list[np.ndarray]] = {}
         for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .kept import kept
 from .staging import stored
 from .vectors import small_batches
 
@@ -165,7 +166,7 @@ def _classes(size: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, block, held, seen = NgramSets(size), [], 0, set()
+        sets, block, held, seen = kept("ngrams", size, lambda: NgramSets(size)), [], 0, set()
         for batch in batches:
             sizes, classes, maps = [], [], []
             for _, grams in sets.of(batch.column(1)):
@@ -220,7 +221,7 @@ def _entries(size: int, percent: int, frequent, fragments: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_of, counts_of = frequent.value
-        sets, block, held, seen = NgramSets(size), [], 0, set()
+        sets, block, held, seen = kept("ngrams", size, lambda: NgramSets(size)), [], 0, set()
         for batch in batches:
             for _, grams in sets.of(batch.column(0)):
                 if not len(grams) or (own := _digest(grams)) in seen:
@@ -339,7 +340,7 @@ def _segments(size: int, wanted):
     """Task: the sets of wanted classes, cut by n-gram into segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, sets, seen = wanted.value, NgramSets(size), set()
+        bits, sets, seen = wanted.value, kept("ngrams", size, lambda: NgramSets(size)), set()
         for batch in batches:
             classes, places, grams_out, held = [], [], [], 0
             for _, grams in sets.of(batch.column(0)):
@@ -438,7 +439,9 @@ def _crossing_pairs(buckets: DataFrame, links: DataFrame, maps: DataFrame, perce
     """All pairs of a bucket that lie in different components and that small parity maps allow;
     members of the largest component of a bucket are only paired with the rest."""
     labels = connected_components(links).select(F.col("node").alias("class"), "component")
-    labelled = buckets.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    few = [F.col("map")[i].alias(f"m{i}") for i in range(BUCKET_LONGS)]
+    known = maps.join(labels, "class", "left").select("class", F.coalesce("component", "class").alias("component"), *few)
+    labelled = buckets.join(known, "class")
     bucket = Window.partitionBy("h")
     ends = labelled.withColumn("lo", F.min("component").over(bucket)).withColumn("hi", F.max("component").over(bucket))
     mixed = stored(ends.where("lo != hi").drop("lo", "hi"), "mixed")
@@ -446,8 +449,7 @@ def _crossing_pairs(buckets: DataFrame, links: DataFrame, maps: DataFrame, perce
     counts = mixed.groupBy("class").agg(F.count("*").alias("crossing"))
     maps = stored(maps.join(counts, "class").withColumn("lone", F.col("region") - F.col("crossing")), "maps")
     hot = mixed.where(_is_in(F.col("class"), _strong(maps, percent))).select("h")
-    mixed = mixed.where(_is_in(F.col("h"), hot))
-    buckets = mixed.join(maps.select("class", *(F.col("map")[i].alias(f"m{i}") for i in range(BUCKET_LONGS))), "class")
+    buckets = mixed.where(_is_in(F.col("h"), hot))
     sizes = buckets.groupBy("h", "component").agg(F.count("*").alias("size"))
     major = sizes.groupBy("h").agg(F.max(F.struct("size", "component")).alias("major"))
     minor = buckets.join(major, "h").where(F.col("component") != F.col("major.component"))

@@ -73,7 +73,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = kept(("words", tokenizer_path), lambda: Words(tokenizer_path))
+        words = kept("packing", tokenizer_path, lambda: Words(tokenizer_path))
         for part in slices(batches):
             rows = []
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
