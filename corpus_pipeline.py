@@ -10,7 +10,7 @@ from tenureline.llm import langid, ngram_join, packing, pii
 from tenureline.llm.staging import stored
 
 #: Rows sent to Python at once: texts are long, and the tasks of an executor share its memory.
-ARROW_ROWS = 1000
+ARROW_ROWS = 500
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
