@@ -11,6 +11,8 @@ import types
 from collections.abc import Callable
 from typing import Any
 
+import pyarrow as pa
+
 _NAME = "_llm_kept_between_tasks"
 
 
@@ -20,6 +22,7 @@ def kept(operator: str, key: object, make: Callable[[], Any]) -> Any:
     held = sys.modules.setdefault(_NAME, types.ModuleType(_NAME)).__dict__
     if held.get("operator") != operator:
         held |= {"operator": operator, "objects": {}}
+        pa.default_memory_pool().release_unused()
     objects = held["objects"]
     if key not in objects:
         objects[key] = make()

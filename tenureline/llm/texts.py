@@ -15,6 +15,7 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(0, batch.num_rows, ROWS):
             yield batch.slice(i, ROWS)
+    pa.default_memory_pool().release_unused()
 
 
 def strings(column: pa.Array) -> list[str]:
