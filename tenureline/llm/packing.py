@@ -26,7 +26,7 @@ from .staging import stored
 from .texts import slices
 
 #: Words that a Python worker remembers.
-MEMO = 250_000
+MEMO = 400_000
 #: Pieces of one length ranked in one task.
 RANKED_ROWS = 50_000
 #: A word that the pretokeniser cuts once, before its tail of punctuation: ASCII letters and
