@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenureline.sources.publish import stage
+from tenureline.sources.publish import fresh_path, remove, stage_at
 
 # Above about this many rows, comparing all intervals of a key costs more than
 # looking each one up by calendar block.
@@ -37,8 +37,11 @@ def route_by_density(
     before a lookup. How the dense keys meet ``df`` is left to Spark: it broadcasts them when
     they are measured to be few, and else shuffles by key, as the light route does anyway.
     """
+    spark = df.sparkSession
     sizes = (df if counted is None else counted).groupBy(key).agg(F.count("*").alias("key_rows"))
-    dense_keys = stage(sizes.where(F.col("key_rows") > dense_rows).select(key), "dense_keys")
+    path = fresh_path(spark, "dense_keys")
+    dense_keys = stage_at(sizes.where(F.col("key_rows") > dense_rows).select(key), path)
     if dense_keys.isEmpty():
+        remove(spark, path)
         return Routed(df, None)
     return Routed(df.join(dense_keys, key, "left_anti"), df.join(dense_keys, key, "left_semi"))

@@ -15,7 +15,7 @@ from tenureline.operators.density import DENSE_ROWS
 from tenureline.operators.intervals import resolve_subscriptions
 from tenureline.operators.revenue import dim_customers, mrr_monthly_of_resolved
 from tenureline.operators.summary import customer_subscription_summary
-from tenureline.sources.publish import publish_table, publish_view, stage
+from tenureline.sources.publish import publish_table, publish_view, scratch, stage
 
 
 class RawTables(NamedTuple):
@@ -81,14 +81,15 @@ def build_marts(
         *(publish_table(df, root, "staging", name) for name, df in raw._asdict().items())
     )
     customers = publish_view(clean_customers(raw.customers), "intermediate", "customers_enriched")
-    timeline = publish_table(
-        timeline_of(raw.subscriptions, raw.plans, dense_rows, buckets),
-        root,
-        "intermediate",
-        "subscriptions_resolved",
-        database=f"{prefix}intermediate",
-        **bucketing,
-    )
+    with scratch(spark):
+        timeline = publish_table(
+            timeline_of(raw.subscriptions, raw.plans, dense_rows, buckets),
+            root,
+            "intermediate",
+            "subscriptions_resolved",
+            database=f"{prefix}intermediate",
+            **bucketing,
+        )
     summary = publish_view(
         customer_subscription_summary(timeline, raw.plans),
         "intermediate",

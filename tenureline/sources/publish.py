@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session: set by ``setCheckpointDir`` or ``spark.checkpoint.dir``.
@@ -26,16 +31,41 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/tenureline/{name}-{uuid.uuid4().hex}"
+    folder = _SCRATCH.get() or f"{scratch_dir(spark)}/tenureline"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside the block ends with it.
+
+    Results are lazy and read what was staged, so write them inside the block too.
+    """
+    path = fresh_path(spark, "scratch")
+    before = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(before)
+        remove(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Compute once, store as Parquet in the shared folder, go on from the files.
 
     For a relation with several readers. It cuts the lineage, so a lost executor costs
-    a re-read and not a recomputation.
+    a re-read and not a recomputation. The files stay until the enclosing ``scratch`` ends.
     """
-    path = fresh_path(df.sparkSession, name)
+    return stage_at(df, fresh_path(df.sparkSession, name))
+
+
+def stage_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -8,7 +9,7 @@ from py4j.protocol import Py4JJavaError
 from conftest import SMALL, plan_of, rows_of
 from tenureline.operators.revenue import lifetime_value, mrr_monthly_of_resolved
 from tenureline.plans import marts
-from tenureline.sources import extracts, schemas
+from tenureline.sources import extracts, publish, schemas
 from tenureline.sources.publish import publish_table, publish_view, scratch_dir, stage
 from workload import bindings
 
@@ -82,6 +83,19 @@ def test_stage_reads_from_files(spark):
     assert staged.count() == 10 and "FileScan parquet" in plan_of(staged)
 
 
+def test_staged_folders_end_with_their_scratch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "scratch_dir", lambda spark: str(tmp_path))
+    raw = bindings.raw_tables(spark, SMALL)
+    marts.timeline_of(raw.subscriptions, raw.plans).count()
+    assert list((tmp_path / "tenureline").iterdir()) == []
+    with publish.scratch(spark) as folder:
+        fact = publish.publish_table(
+            marts.monthly_revenue(raw.subscriptions, raw.plans), str(tmp_path), "marts", "mrr"
+        )
+        assert len(list(Path(folder).iterdir())) == 1
+    assert list((tmp_path / "tenureline").iterdir()) == [] and fact.count() > 0
+
+
 def test_view_is_named_after_its_layer(spark):
     publish_view(spark.range(3), "intermediate", "numbers")
     assert spark.table("intermediate__numbers").count() == 3
