@@ -46,17 +46,33 @@ def relationships(
     return keys.join(parents, "from_field", "left_anti")
 
 
-def orphan_counts(
-    child: DataFrame, column: str, parent: DataFrame, parent_column: str
-) -> DataFrame:
-    """The same, one row per key with its number of child rows; counted before joining."""
-    counts = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("from_field"))
-        .agg(F.count("*").alias("n_records"))
-    )
-    parents = parent.select(F.col(parent_column).alias("from_field"))
-    return counts.join(parents, "from_field", "left_anti")
+def counts_by_key(sources: Sequence[tuple[DataFrame, str, Mapping[str, Column]]]) -> DataFrame:
+    """Rows per value of a key that many tables share, one column per named condition.
+
+    All tables are counted in one shuffle of counts combined map-side, which then answers
+    uniqueness and references between any of them. Null is a value of its own.
+    """
+    names = [name for _, _, conditions in sources for name in conditions]
+    parts = [
+        df.select(
+            F.col(column).alias("key_value"),
+            *[conditions.get(name, F.lit(False)).alias(name) for name in names],
+        )
+        for df, column, conditions in sources
+    ]
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy("key_value").agg(*[F.count_if(name).alias(name) for name in names])
+
+
+def repeated(count: str) -> Column:
+    """Of ``counts_by_key``: how many values but null occur more than once."""
+    return F.count_if(F.col("key_value").isNotNull() & (F.col(count) > 1))
+
+
+def orphans(child: str, parent: str) -> Column:
+    """Of ``counts_by_key``: how many child rows have a value that no parent has; null has none."""
+    lost = F.col("key_value").isNotNull() & (F.col(parent) == 0)
+    return F.coalesce(F.sum(F.when(lost, F.col(child))), F.lit(0))
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
@@ -204,6 +220,61 @@ def _pairs_by_block(dense: DataFrame, key: str, ranking: Sequence[str]) -> list[
     ]
 
 
+def overlap_counts(
+    df: DataFrame,
+    key: str = "customer_id",
+    start: str = "resolved_start_date",
+    end: str = "resolved_end_date",
+) -> DataFrame:
+    """How many pairs ``overlapping_pairs`` has per key, without forming them.
+
+    In the order of the pairs, the left ones of an interval are all that come before it. So of
+    the n intervals of a key, each one meets those that start until it ends, less those up to
+    itself: the sum of that over all of them is counted from starts and ends per day, which the
+    calendar bounds. Intervals that end before they start are counted apart: they pair with
+    those that hold both of their days.
+    """
+    intervals = df.where(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
+        F.col(key), F.col(start).alias("first_day"), closed_end(end).alias("last_day")
+    )
+    proper = intervals.where("first_day <= last_day")
+    ends = "struct(first_day AS day, 1 AS starts), struct(last_day AS day, 0 AS starts)"
+    per_day = (
+        proper.select(key, F.expr(f"inline(array({ends}))"))
+        .groupBy(key, "day")
+        .agg(
+            F.sum("starts").cast("decimal(19,0)").alias("starts"),
+            F.count_if(F.col("starts") == 0).cast("decimal(19,0)").alias("ends"),
+        )
+    )
+    by_day = Window.partitionBy(key).orderBy("day")
+    begun = F.sum("starts").over(by_day.rowsBetween(Window.unboundedPreceding, 0))
+    n = F.sum("starts")
+    between_proper = (
+        per_day.withColumn("begun", begun)
+        .groupBy(key)
+        .agg((F.sum(F.col("ends") * F.col("begun")) - n * (n + 1) / 2).cast("long").alias("pairs"))
+    )
+    blocks = proper.select(
+        key, "first_day", F.explode(covering_blocks("first_day", "last_day")).alias("block")
+    )
+    holders = blocks.groupBy(key, "block", "first_day").agg(F.count("*").alias("n_proper"))
+    inverted = intervals.where("last_day < first_day").groupBy(
+        key, F.col("first_day").alias("from_day"), F.col("last_day").alias("to_day")
+    )
+    enclosed = inverted.agg(F.count("*").alias("n_inverted")).withColumn(
+        "block", F.explode(enclosing_blocks("from_day"))
+    )
+    with_inverted = (
+        enclosed.join(holders, [key, "block"])
+        .where("first_day <= to_day")
+        .groupBy(key)
+        .agg(F.sum(F.col("n_inverted") * F.col("n_proper")).alias("pairs"))
+    )
+    both = between_proper.unionByName(with_inverted).groupBy(key)
+    return both.agg(F.sum("pairs").alias("n_records")).where("n_records > 0")
+
+
 # -- horizon ------------------------------------------------------------------------
 
 
@@ -219,38 +290,38 @@ def opens_after_horizon(billable: DataFrame) -> DataFrame:
 # -- report -------------------------------------------------------------------------
 
 
-def count_violations(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
-    """Violations of many row predicates, counted in one pass over ``df``."""
-    counts = df.agg(*[F.count_if(predicate).alias(name) for name, predicate in predicates.items()])
+def as_report(counts: DataFrame) -> DataFrame:
+    """One row of counts as one row per check."""
     rows = F.array(
         *[
             F.struct(F.lit(name).alias("check_name"), F.col(f"`{name}`").alias("failing_rows"))
-            for name in predicates
+            for name in counts.columns
         ]
     )
     return counts.select(F.inline(rows))
 
 
+def count_violations(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
+    """Violations of many row predicates, counted in one pass over ``df``."""
+    violated = [F.count_if(predicate).alias(name) for name, predicate in predicates.items()]
+    return as_report(df.agg(*violated))
+
+
+def count_by_key(counted: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
+    """Totals over ``counts_by_key``, one row per check."""
+    return as_report(counted.agg(*[total.alias(name) for name, total in totals.items()]))
+
+
 def count_rows(name: str, offending: DataFrame) -> DataFrame:
-    return offending.agg(F.count("*").alias("failing_rows")).select(
-        F.lit(name).alias("check_name"), "failing_rows"
-    )
+    return as_report(offending.agg(F.count("*").alias(name)))
 
 
 def count_records(name: str, offending: DataFrame) -> DataFrame:
     """For offending rows that each stand for ``n_records`` rows."""
-    total = F.coalesce(F.sum("n_records"), F.lit(0)).alias("failing_rows")
-    return offending.agg(total).select(F.lit(name).alias("check_name"), "failing_rows")
+    return as_report(offending.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias(name)))
 
 
-def run_checks(
-    row_checks: Sequence[tuple[DataFrame, Mapping[str, Column]]],
-    other_checks: Mapping[str, DataFrame],
-    grouped_checks: Mapping[str, DataFrame],
-) -> DataFrame:
+def report(counts: Sequence[DataFrame]) -> DataFrame:
     """One row per check: name, number of failing rows, passed or not."""
-    counts = [count_violations(df, predicates) for df, predicates in row_checks]
-    counts += [count_rows(name, offending) for name, offending in other_checks.items()]
-    counts += [count_records(name, offending) for name, offending in grouped_checks.items()]
-    report = reduce(DataFrame.unionByName, counts)
-    return report.withColumn("passed", F.col("failing_rows") == 0)
+    rows = reduce(DataFrame.unionByName, counts)
+    return rows.withColumn("passed", F.col("failing_rows") == 0)

@@ -72,11 +72,40 @@ def row_predicates() -> dict[str, dict[str, Column]]:
     return predicates
 
 
+def _keyed_checks(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Uniqueness and references, of all tables that share a key at a time."""
+    open_billable = F.col("resolved_end_date").isNull() & F.col("is_billable")
+    keys: dict[str, list[tuple[str, str]]] = {}
+    for child, column, _, key in REFERENCES:
+        keys.setdefault(key, []).append((child, column))
+    for table, column in UNIQUE.items():
+        if (table, column) not in keys.setdefault(column, []):
+            keys[column].append((table, column))
+    counts = []
+    for key, uses in keys.items():
+        conditions = {table: {table: F.lit(True)} for table, _ in uses}
+        totals = {
+            f"unique_{table}_{column}": checks.repeated(table)
+            for table, column in uses
+            if UNIQUE.get(table) == column
+        } | {
+            f"relationships_{child}_{column}": checks.orphans(child, parent)
+            for child, column, parent, parent_key in REFERENCES
+            if parent_key == key
+        }
+        if key == "customer_id":
+            conditions["timeline"]["open_billable"] = open_billable
+            totals["multiple_open_billable"] = F.count_if(F.col("open_billable") > 1)
+        sources = [(tables[table], column, conditions[table]) for table, column in uses]
+        counts.append(checks.count_by_key(checks.counts_by_key(sources), totals))
+    return counts
+
+
 def check_report(raw: RawTables, marts: Marts) -> DataFrame:
     """Every declared check with its number of failing rows.
 
-    Row checks of one table share a single scan of it. References are counted per key
-    before they are joined, so no child row is shuffled.
+    Row checks of one table share a single scan of it; checks on a key share one shuffle of
+    counts per key value. Overlaps are counted per day, no pair is formed.
     """
     tables = {
         "raw_customers": raw.customers,
@@ -84,32 +113,20 @@ def check_report(raw: RawTables, marts: Marts) -> DataFrame:
         "raw_plans": raw.plans,
         **marts._asdict(),
     }
-    row_checks = [(tables[name], predicates) for name, predicates in row_predicates().items()]
+    counts = [
+        checks.count_violations(tables[name], predicates)
+        for name, predicates in row_predicates().items()
+    ]
+    counts += _keyed_checks(tables)
     others = {
-        f"unique_{table}_{column}": checks.unique(tables[table], column)
-        for table, column in UNIQUE.items()
+        "accepted_values_timeline_resolved_status": checks.accepted_values(
+            marts.timeline, "resolved_status", list(STATUS_PRECEDENCE)
+        ),
+        "duplicate_customer_month": checks.unique_combination(
+            marts.fact, ["customer_id", "revenue_month"]
+        ),
+        "open_after_horizon": checks.opens_after_horizon(billable_intervals(marts.timeline)),
     }
-    orphans = {
-        f"relationships_{child}_{column}": checks.orphan_counts(
-            tables[child], column, tables[parent], parent_column
-        )
-        for child, column, parent, parent_column in REFERENCES
-    }
-    others["accepted_values_timeline_resolved_status"] = checks.accepted_values(
-        marts.timeline, "resolved_status", list(STATUS_PRECEDENCE)
-    )
-    others["duplicate_customer_month"] = checks.unique_combination(
-        marts.fact, ["customer_id", "revenue_month"]
-    )
-    others["multiple_open_billable"] = checks.count_above(
-        marts.timeline,
-        F.col("resolved_end_date").isNull() & F.col("is_billable"),
-        ["customer_id"],
-        1,
-        "open_billable_interval_count",
-    )
-    others["open_after_horizon"] = checks.opens_after_horizon(
-        billable_intervals(marts.timeline)
-    )
-    others["overlaps"] = checks.overlapping_pairs(marts.timeline)
-    return checks.run_checks(row_checks, others, orphans)
+    counts += [checks.count_rows(name, offending) for name, offending in others.items()]
+    counts.append(checks.count_records("overlaps", checks.overlap_counts(marts.timeline)))
+    return checks.report(counts)

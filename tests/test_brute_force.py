@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from datetime import date, timedelta
 from itertools import combinations
 
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 
 from conftest import rows_of
 from frames import CLEANED
-from tenureline.operators.checks import overlapping_pairs
+from tenureline.operators.checks import overlap_counts, overlapping_pairs
 from tenureline.operators.intervals import SUBSCRIPTIONS, resolve_subscriptions, segment_candidates
 from workload.bindings import as_timeline
 
@@ -182,4 +183,6 @@ def test_overlapping_pairs_with_copies_and_inverted_ranges(spark, dense_rows):
     ]
     df = as_timeline(spark.createDataFrame(cleaned, CLEANED))
     rows = [tuple(r) for r in df.collect()]
-    assert rows_of(overlapping_pairs(df, dense_rows=dense_rows)) == expected_pairs(rows)
+    pairs = expected_pairs(rows)
+    assert rows_of(overlapping_pairs(df, dense_rows=dense_rows)) == pairs
+    assert rows_of(overlap_counts(df)) == sorted(Counter(pair[0] for pair in pairs).items())

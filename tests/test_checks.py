@@ -41,8 +41,10 @@ def test_relationships_ignore_nulls(spark, raw):
     twice = raw.unionByName(raw)
     found = checks.relationships(twice, "plan_id", plans(spark), "plan_id")
     assert rows_of(found) == [("lost",), ("lost",)]
-    counted = checks.orphan_counts(twice, "plan_id", plans(spark), "plan_id")
-    assert rows_of(counted) == [("lost", 2)]
+    sources = [(twice, "plan_id", {"child": F.lit(True)}), (plans(spark), "plan_id", {"parent": F.lit(True)})]
+    counted = checks.counts_by_key(sources)
+    totals = {"lost": checks.orphans("child", "parent"), "twice": checks.repeated("child")}
+    assert rows_of(checks.count_by_key(counted, totals)) == [("lost", 2), ("twice", 2)]
 
 
 def test_accepted_values_ignore_nulls(raw):

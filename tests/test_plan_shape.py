@@ -76,6 +76,12 @@ def test_row_checks_share_one_scan(spark):
     assert plan.count("FileScan") == 1
 
 
+def test_report_counts_keys_together_and_forms_no_pairs(spark):
+    plan = plan_of(queries()["check_report"](spark, SMALL))
+    assert plan.count("FileScan") <= 25 and plan.count("Exchange ") <= 28
+    assert plan.count("Join") == 1 and "NestedLoop" not in plan
+
+
 def test_overlap_check_uses_the_bucketing_of_the_timeline(spark, tmp_path):
     built = marts.build_marts(bindings.raw_tables(spark, SMALL), str(tmp_path), buckets=4)
     plan = plan_of(checks.overlapping_pairs(built.timeline))
@@ -88,10 +94,10 @@ def test_rows_are_counted_before_they_meet_the_plans(spark, monkeypatch):
 
     counted = []
 
-    def watched(df, name):
+    def watched(df, path):
         counted.append(plan_of(df))
-        return publish.stage(df, name)
+        return publish.stage_at(df, path)
 
-    monkeypatch.setattr(density, "stage", watched)
+    monkeypatch.setattr(density, "stage_at", watched)
     marts.timeline_of(bindings.raw_subscriptions(spark, SMALL), bindings.raw_plans(spark))
     assert len(counted) == 1 and "Join" not in counted[0]

@@ -111,7 +111,6 @@ def publish_marts_timeline(spark, sf_dir):
     return marts.build_marts(raw, root, prefix="of_timeline_").timeline
 
 
-
 # -- cleaning ------------------------------------------------------------------------
 
 
@@ -167,6 +166,12 @@ def segment_candidates(spark, sf_dir):
     return intervals.segment_candidates(_cleaned(spark, sf_dir), SPEC)
 
 
+@_query
+def segment_candidates_by_block(spark, sf_dir):
+    """The candidates as dense keys get them: every key above the limit of rows."""
+    return intervals.segment_candidates(_cleaned(spark, sf_dir), SPEC, dense_rows=0)
+
+
 @_query
 def pick_winner(spark, sf_dir):
     return intervals.winning_segments(_cleaned(spark, sf_dir), SPEC)
@@ -371,6 +376,14 @@ def check_overlaps(spark, sf_dir):
     return checks.overlapping_pairs(_unresolved(spark, sf_dir))
 
 
+@_query
+def check_overlap_counts(spark, sf_dir):
+    cleaned = cleaning.clean_subscriptions(
+        bindings.skewed_subscriptions(spark, sf_dir), bindings.raw_plans(spark)
+    )
+    return checks.overlap_counts(bindings.as_timeline(cleaned))
+
+
 @_query
 def check_open_after_horizon(spark, sf_dir):
     timeline = bindings.late_starters_open(_unresolved(spark, sf_dir))
