@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 
+from .kept import give_back
+
 #: Rows handed on at once; a batch of long texts stays one batch of references to Arrow memory.
 ROWS = 512
 
@@ -15,7 +17,7 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(0, batch.num_rows, ROWS):
             yield batch.slice(i, ROWS)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def strings(column: pa.Array) -> list[str]:
