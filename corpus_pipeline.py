@@ -11,6 +11,8 @@ from tenureline.llm.staging import stored
 
 #: Rows sent to Python at once: texts are long, and the tasks of an executor share its memory.
 ARROW_ROWS = 500
+#: Words whose ids a worker remembers: fewer than alone, as workers hold memory of earlier stages.
+REMEMBERED_WORDS = 200_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -53,7 +55,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Pieces of documents with their places in sequences of 2048 tokens."""
     _small_batches(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.packed(packing.tokenised_pieces(docs, path, capacity=2048, end_id=0, keep_ids=False), capacity=2048)
+    pieces = packing.tokenised_pieces(docs, path, capacity=2048, end_id=0, keep_ids=False, remembered=REMEMBERED_WORDS)
+    return packing.packed(pieces, capacity=2048)
 
 
 STAGES = [

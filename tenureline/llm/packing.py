@@ -25,7 +25,7 @@ from .kept import kept
 from .staging import stored
 from .texts import slices
 
-#: Words that a Python worker remembers.
+#: Words that a Python worker remembers, unless told otherwise.
 MEMO = 400_000
 #: Pieces of one length ranked in one task.
 RANKED_ROWS = 50_000
@@ -40,11 +40,12 @@ class Words(dict):
     The tokeniser ignores the case of A-Z and drops blanks, so a text may be cut at spaces.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = MEMO):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__({b"": b""})
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
 
@@ -57,23 +58,24 @@ class Words(dict):
         return ids
 
     def ids(self, text: str | None) -> bytes:
-        if len(self) > MEMO:
+        if len(self) > self.remembered:
             self.clear()
         words = (text or "").encode().lower().replace(b"\n", b" ").split(b" ")
         return b"".join(map(self.__getitem__, filter(None, words)))
 
 
-def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, keep_ids: bool = True) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, keep_ids: bool = True, remembered: int = MEMO) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])``: every document's ids and ``end_id``.
 
     Only documents longer than ``capacity`` are cut. ``ids`` are packed little-endian 32-bit
-    integers. A null or empty text has ``end_id`` alone.
+    integers. A null or empty text has ``end_id`` alone. ``remembered`` words per Python worker
+    are encoded once; it trades memory for time.
     """
     end = int(end_id).to_bytes(4, "little")
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = kept("packing", tokenizer_path, lambda: Words(tokenizer_path))
+        words = kept("packing", (tokenizer_path, remembered), lambda: Words(tokenizer_path, remembered))
         for part in slices(batches):
             rows = []
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
