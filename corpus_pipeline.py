@@ -33,11 +33,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that of the smallest doc_id, null last.
 
-    Rows are told apart by their place in the stored table, so repeated rows and rows without
-    doc_id are documents like any other; documents without words are all kept.
+    Rows are told apart by their place, stored with them, since a scan may be split anew each time;
+    so repeated rows and rows without doc_id are documents like any other; documents without words
+    are all kept.
     """
     _small_batches(spark)
-    placed = docs.withColumn("place", F.monotonically_increasing_id())
+    placed = stored(docs.withColumn("place", F.monotonically_increasing_id()), "placed")
     groups = ngram_join.similar_documents(placed.select(F.col("place").alias("doc_id"), "text"), size=5, percent=75)
     rows = groups.join(placed.select(F.col("place").alias("doc_id"), F.col("doc_id").alias("own_id")), "doc_id")
     first = F.struct(F.col("own_id").isNull().alias("no_id"), "own_id", F.col("doc_id").alias("place"))

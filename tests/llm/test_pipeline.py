@@ -42,6 +42,31 @@ def test_stages(spark):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SMALL).select("doc_id", "ids_crc32").collect())) == sorted(map(tuple, inputs[-1].select("doc_id", "ids_crc32").collect()))
 
 
+def test_places_outlast_another_split_of_the_scan(spark, monkeypatch, tmp_path):
+    data = [(i, f"word{i} of many in text {i} here" if i % 2 else "the same six words as before", "en", "s", 30) for i in range(200)]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(16).write.parquet(str(tmp_path / "docs"))
+    similar = corpus_pipeline.ngram_join.similar_documents
+
+    def slots(n):
+        # the split of a scan follows the slots registered at that moment
+        spark.conf.set("spark.sql.files.minPartitionNum", str(n))
+
+    def cluster_shrinks(*args, **kwargs):
+        out = similar(*args, **kwargs)
+        slots(1)
+        return out
+
+    monkeypatch.setattr(corpus_pipeline.ngram_join, "similar_documents", cluster_shrinks)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    slots(16)
+    try:
+        kept = corpus_pipeline.near_duplicates(spark, spark.read.parquet(str(tmp_path / "docs")), SMALL).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(r["doc_id"] for r in kept) == [0, *range(1, 200, 2)]
+
+
 def test_no_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
