@@ -37,7 +37,8 @@ _TAILED = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[
 class Words(dict):
     """Packed ids of words by a tokeniser whose pretokens end at blanks: encoded once per word.
 
-    The tokeniser ignores the case of A-Z and drops blanks, so a text may be cut at spaces.
+    The tokeniser ignores the case of A-Z and drops blanks, so a text may be cut at spaces. Only
+    its special tokens are found by case: a word that has one in any case keeps its own.
     """
 
     def __init__(self, path: str, remembered: int = MEMO):
@@ -47,7 +48,8 @@ class Words(dict):
         super().__init__({b"": b""})
         self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [x.content.encode().lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, special)) or rb"(?!)")
 
     def __missing__(self, word: bytes) -> bytes:
         if cut := _TAILED.fullmatch(word):
@@ -60,7 +62,10 @@ class Words(dict):
     def ids(self, text: str | None) -> bytes:
         if len(self) > self.remembered:
             self.clear()
-        words = (text or "").encode().lower().replace(b"\n", b" ").split(b" ")
+        raw = (text or "").encode().replace(b"\n", b" ")
+        words = (lowered := raw.lower()).split(b" ")
+        if self.special.search(lowered):
+            words = [own if self.special.search(word) else word for word, own in zip(words, raw.split(b" "), strict=True)]
         return b"".join(map(self.__getitem__, filter(None, words)))
 
 

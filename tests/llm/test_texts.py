@@ -101,6 +101,13 @@ def test_packing_places_every_piece(corpus, no_documents):
     assert packing.packed(packing.tokenised_pieces(no_documents, WORD_PATH)).collect() == []
 
 
+def test_special_tokens_are_those_of_the_library():
+    words, library = packing.Words(WORD_PATH), Tokenizer.from_file(WORD_PATH)
+    texts = ["x <|endoftext|> y", "<|startoftext|>", "X<|endoftext|>Y.\nZ", "<|ENDOFTEXT|> <|StartOfText|>", "a<|ENDOFTEXT|>b<|endoftext|>C", "<|endoftext|> <|ENDOFTEXT|> <|endoftext|>", "no<|endoftext |>", "<|endoftext|><|startoftext|>!"]
+    for text in [*texts, *reversed(texts)]:
+        assert list(struct.unpack(f"<{len(words.ids(text)) // 4}I", words.ids(text))) == library.encode(text, add_special_tokens=False).ids, text
+
+
 def plain_best_fit(lengths, capacity):
     """The same method, one document at a time."""
     bins, large = [], sorted(x for x in lengths if 3 * x > capacity)
