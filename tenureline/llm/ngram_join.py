@@ -79,7 +79,8 @@ class NgramSets:
         self.base = np.uint64(0x9E3779B97F4A7C15 | 1)
         self.inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
         self.powers = self.inverses = np.ones(1, np.uint64)
-        self.kind = np.arange(256, dtype=np.uint8)
+        # 0 is a blank, so every other byte has one more than its own code
+        self.kind = np.arange(1, 257, dtype=np.uint16)
         self.kind[65:91] += 32
         self.kind[[9, 10, 11, 12, 13, 32]] = 0
 

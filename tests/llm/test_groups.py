@@ -80,6 +80,15 @@ def test_ngram_join_cases(corpus, no_documents):
     assert ngram_join.similar_documents(no_documents).collect() == []
 
 
+def test_nul_is_a_letter_of_words(spark):
+    texts = ["a\0b c d e f", "a b c d e f", "\0 b c d e", "b c d e", "a\0 b c d e", "a b c d e", "\0\0 b c d e"]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_documents(spark.createDataFrame(rows(texts), DOCUMENTS)).collect()}
+    sets = {i: plain_sets(t) for i, t in enumerate(texts)}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    groups = joined(links, sets)
+    assert got == {i: (len(sets[i]), groups[i]) for i in sets}
+
+
 def vectors(spark):
     draw = np.random.default_rng(2)
     base = draw.normal(size=(25, 16))
