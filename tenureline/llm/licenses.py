@@ -1,23 +1,36 @@
-"""License scan: TF-IDF cosine of lines to templates, then inheritance along directories.
-
-Every line of a file is a header candidate. Words are runs of a-z and 0-9, lower-cased; a word
-weighs term frequency x idf, with document frequencies over all files; a word that no template
-has counts as one that no file has. A line whose cosine to a template reaches the threshold gives
-the file that license. A line can only reach it with a word of a template's prefix, its heaviest
-words such that the rest alone stays below; other lines are never expanded.
-
-A file half of whose words lie in license lines is a licence file: its license holds for its
+"""License scan: TF-IDF cosine of headers and files to templates, then inheritance along directories.
+
+Header candidates are the runs of 1 to ``HEADER_LINES`` consecutive lines of a file (lines without
+words do not count); they are compared with the notices ``TEMPLATES``. Whole files are compared
+with the licence texts ``TEXTS``. Words are runs of a-z and 0-9, lower-cased; a word weighs term
+frequency x idf, with document frequencies over all files; a word that no template of the kind has
+counts as one that no file has. A candidate whose cosine to a template reaches the threshold has
+that license.
+
+Only candidates that can reach it are expanded; no other is lost:
+- a header needs a word of a template's prefix, its heaviest words such that the rest alone stays
+  below; a file needs one of a licence text's prefix, its rarest words of that kind, and as much
+  of the text's weight in the words they share;
+- the weights of a run's words, each occurrence apart, bound its cosine from above by sums over
+  its lines; and a run whose first or last line shares no word is never better than without it.
+
+A file is a licence file if it matches as a whole, or if half of its words lie in license lines:
+lines that match alone, and runs that no run overlapping them surpasses. Its license holds for its
 directory. A file without a license of its own takes that of the nearest directory above it.
 Only DataFrame functions.
 """
 
 from __future__ import annotations
 
+import json
 import math
+import operator
 from collections import Counter
 from collections.abc import Mapping
+from functools import reduce
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .staging import stored
@@ -31,7 +44,11 @@ TEMPLATES = {
     "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
     "All-Rights-Reserved": ["All rights reserved."],
 }
+#: Full licence texts, with which whole files are compared: one file each, named by its license.
+TEXTS = {p.stem: [p.read_text("utf-8")] for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
 THRESHOLD = 0.75
+#: Lines of the longest header candidate.
+HEADER_LINES = 8
 _APART = "[^a-z0-9]+"
 
 
@@ -46,65 +63,144 @@ def _template_words(text: str) -> list[str]:
     return plain.split()
 
 
-def _weighted(templates: Mapping[str, list[str]], idf: Mapping[str, float], threshold: float):
-    """Rows (license, template, word, weight as part of a unit vector), and the prefix words."""
-    rows, prefix = [], set()
-    for license_, texts in templates.items():
-        for k, text in enumerate(texts):
-            weights = {w: n * idf[w] for w, n in Counter(_template_words(text)).items()}
-            norm = math.sqrt(sum(x * x for x in weights.values()))
-            rows += [(license_, k, w, x / norm) for w, x in sorted(weights.items())]
-            rest = 0.0
-            for w, x in sorted(weights.items(), key=lambda item: (item[1], item[0])):
-                rest += (x / norm) ** 2
-                # a little room for rounding
-                if math.sqrt(rest) >= threshold * (1 - 1e-9):
-                    prefix.add(w)
-    return rows, sorted(prefix)
-
-
-def scanned(files: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+class _Templates:
+    """Templates of one kind: ``rows`` (license, template, word, weight as part of a unit vector),
+    ``idf`` of their words, and ``prefix``, words of which every match has one.
+
+    What is left beside the prefix are the lightest words, or with ``rare`` the most common ones.
+    """
+
+    def __init__(self, templates: Mapping[str, list[str]], counts: Mapping[str, int], threshold: float, rare: bool = False):
+        n = counts.get("", 0)
+        vocabulary = sorted({w for texts in templates.values() for text in texts for w in _template_words(text)})
+        self.idf = {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
+        self.unseen = math.log(1 + n) + 1
+        # a little room for rounding
+        self.low = (threshold - 1e-6) * (1 - 1e-9)
+        self.threshold, self.rows, prefix = threshold, [], set()
+        for license_, texts in templates.items():
+            for k, text in enumerate(texts):
+                weights = {w: n * self.idf[w] for w, n in Counter(_template_words(text)).items()}
+                norm = math.sqrt(sum(x * x for x in weights.values()))
+                self.rows += [(license_, k, w, x / norm) for w, x in sorted(weights.items())]
+                rest = 0.0
+                for w, x in sorted(weights.items(), key=lambda item: (self.idf[item[0]] if rare else item[1], item[0])):
+                    rest += (x / norm) ** 2
+                    if math.sqrt(rest) >= self.low:
+                        prefix.add(w)
+        self.prefix = sorted(prefix)
+
+    def shares(self, words: Column) -> Column:
+        """Whether distinct ``words`` have so much of a template that they can match it."""
+        squares: dict[tuple[str, int], dict[str, float]] = {}
+        for license_, k, w, x in self.rows:
+            squares.setdefault((license_, k), {})[w] = x * x
+        mass = lambda held: F.aggregate(F.array_intersect(words, _strings(held)), F.lit(0.0), lambda sum_, w: sum_ + F.try_element_at(_literal_map(held), w))
+        return reduce(operator.or_, (mass(held) >= self.low**2 for held in squares.values()), F.lit(False))
+
+    def near(self, candidates: DataFrame) -> DataFrame:
+        """``(id, license, score)`` of the best template that reaches the threshold, for candidates
+        (id, text)."""
+        spark = candidates.sparkSession
+        words = candidates.select("id", F.explode(_words(F.col("text"))).alias("word")).where("word != ''").groupBy("id", "word").agg(F.count("*").alias("tf"))
+        known = spark.createDataFrame([(w, float(x)) for w, x in self.idf.items()], "word string, idf double")
+        weighted = words.join(F.broadcast(known), "word", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(self.unseen)))
+        norms = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+        unit = spark.createDataFrame(self.rows, "license string, template int, word string, unit double")
+        dots = weighted.join(F.broadcast(unit), "word").groupBy("id", "license", "template").agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"))
+        near = dots.join(norms, "id").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= self.threshold)
+        best = near.groupBy("id").agg(F.min(F.struct(-F.col("score"), "license")).alias("best"))
+        return best.select("id", F.col("best.license").alias("license"), (-F.col("best.col1")).alias("score"))
+
+
+def _strings(words) -> Column:
+    """An array literal; words have no blanks."""
+    words = list(words)
+    return F.split(F.lit(" ".join(words)), " ") if words else F.array().cast("array<string>")
+
+
+def _literal_map(values: Mapping[str, float]) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), "map<string,double>")
+
+
+def _runs(files: DataFrame, headers: _Templates) -> DataFrame:
+    """``(path, file, start, sizes, text, id)``: runs of lines that may match a header, with the
+    number of words in each line."""
+    cue = "(?i)(?<![a-z0-9])(?:" + "|".join(headers.prefix) + ")(?![a-z0-9])"
+    held = files.where(F.col("text").rlike(cue)).withColumn("file", F.monotonically_increasing_id())
+    lines = held.select("path", "file", F.posexplode(F.filter(F.split("text", "\n"), lambda x: x.rlike("[A-Za-z0-9]"))).alias("line", "text"))
+    lines = lines.withColumn("words", F.array_remove(_words(F.col("text")), ""))
+    most: dict[str, float] = {}
+    for _, _, w, x in headers.rows:
+        most[w] = max(most.get(w, 0.0), x * headers.idf[w])
+    total = lambda value: F.aggregate("words", F.lit(0.0), lambda sum_, w: sum_ + value(w))
+    gain = total(lambda w: F.coalesce(F.try_element_at(_literal_map(most), w), F.lit(0.0)))
+    cost = total(lambda w: F.coalesce(F.try_element_at(_literal_map({w: x * x for w, x in headers.idf.items()}), w), F.lit(headers.unseen**2)))
+    line = F.struct("text", F.size("words").alias("size"), F.col("text").rlike(cue).alias("cue"), gain.alias("gain"), cost.alias("cost"))
+    lines = lines.select("path", "file", "line", line.alias("own"))
+    ahead = Window.partitionBy("file").orderBy("line").rowsBetween(0, HEADER_LINES - 1)
+    starts = lines.withColumn("ahead", F.collect_list("own").over(ahead)).where("own.gain > 0")
+    runs = starts.select("path", "file", F.col("line").alias("start"), "ahead", F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("n"))
+    runs = runs.where("ahead[n - 1].gain > 0").withColumn("run", F.slice("ahead", 1, F.col("n")))
+    summed = lambda name: F.aggregate("run", F.lit(0.0), lambda sum_, x: sum_ + x[name])
+    may = F.exists("run", lambda x: x["cue"]) & (summed("gain") >= headers.low * F.sqrt(summed("cost")) * (1 - 1e-9))
+    text = F.array_join(F.transform("run", lambda x: x["text"]), "\n")
+    runs = runs.where(may).select("path", "file", "start", F.transform("run", lambda x: x["size"]).alias("sizes"), text.alias("text"))
+    return stored(runs.withColumn("id", F.monotonically_increasing_id()), "runs")
+
+
+def _headers(files: DataFrame, headers: _Templates) -> DataFrame:
+    """``(path, license, score, license_words)`` of files with a header."""
+    runs = _runs(files, headers)
+    hits = runs.drop("text").join(headers.near(runs), "id")
+    lines = hits.select("*", F.size("sizes").alias("n"), F.posexplode("sizes").alias("k", "size")).withColumn("line", F.col("start") + F.col("k"))
+    first = Window.partitionBy("file", "line").orderBy(F.desc("score"), "n", "start")
+    lines = lines.withColumn("best", F.row_number().over(first) == 1)
+    whole = F.min("best").over(Window.partitionBy("id"))
+    covered = lines.withColumn("counts", (F.col("n") == 1) | whole).groupBy("path", "line").agg(
+        F.min(F.struct(-F.col("score"), "license")).alias("best"), F.coalesce(F.max(F.when(F.col("counts"), F.col("size"))), F.lit(0)).alias("size")
+    )
+    found = covered.groupBy("path").agg(F.min("best").alias("best"), F.sum("size").alias("license_words"))
+    return found.select("path", F.col("best.license").alias("license"), (-F.col("best.col1")).alias("score"), "license_words")
+
+
+def _wholes(files: DataFrame, texts: _Templates) -> DataFrame:
+    """``(path, license, score)`` of files that are a licence text."""
+    words = _words(F.col("text"))
+    held = files.where(F.arrays_overlap(words, _strings(texts.prefix))).where(texts.shares(words))
+    held = stored(held.withColumn("id", F.monotonically_increasing_id()), "wholes")
+    hits = held.select("path", "id").join(texts.near(held), "id").groupBy("path").agg(F.min(F.struct(-F.col("score"), "license")).alias("best"))
+    return hits.select("path", F.col("best.license").alias("license"), (-F.col("best.col1")).alias("score"))
+
+
+def scanned(files: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD, full_texts: Mapping[str, list[str]] = TEXTS) -> DataFrame:
     """``(path, own_license, score, is_license_file, license, license_path)`` for every row of
     ``files`` (path, text).
 
-    ``own_license`` is that of the line of highest cosine (of equals: the first by name), with
-    ``score`` rounded to six digits. ``license`` is the own one, else the nearest inherited;
-    ``license_path`` is the file it comes from; of several licence files in a directory the one
-    of highest score counts, then the first path. Defined cases: a null or empty text has no
-    license of its own; a null path inherits nothing and gives nothing; repeated rows each give a
-    row, and rows with one path share the best of their lines; an empty table gives an empty
-    table; other columns are ignored.
+    ``own_license`` is that of the licence text which the whole file matches, else that of the
+    header of highest cosine (of equals: the first by name), with ``score`` rounded to six digits.
+    ``license`` is the own one, else the nearest inherited; ``license_path`` is the file it comes
+    from; of several licence files in a directory the one of highest score counts, then the first
+    path. Defined cases: a null or empty text has no license of its own; a null path inherits
+    nothing and gives nothing; repeated rows each give a row, and rows with one path share the best
+    of their lines; an empty table gives an empty table; other columns are ignored.
     """
-    spark = files.sparkSession
     files = files.select("path", "text")
-    vocabulary = sorted({w for texts in templates.values() for text in texts for w in _template_words(text)})
-    present = F.array_intersect(_words(F.col("text")), F.array(*map(F.lit, vocabulary)))
+    vocabulary = sorted({w for kind in (templates, full_texts) for texts in kind.values() for text in texts for w in _template_words(text)})
+    present = F.array_intersect(_words(F.col("text")), _strings(vocabulary))
     total = F.lit("")  # no word is empty: this entry counts the files
     seen = files.select(F.explode(F.array_append(F.coalesce(F.array_remove(present, ""), F.array().cast("array<string>")), total)).alias("word"))
     counts = {row["word"]: row["n"] for row in seen.groupBy("word").agg(F.count("*").alias("n")).collect()}
-    n = counts.get("", 0)
-    idf = {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
-    unseen = math.log(1 + n) + 1
-    rows, prefix = _weighted(templates, idf, threshold)
-
-    cue = "(?i)(?<![a-z0-9])(?:" + "|".join(prefix) + ")(?![a-z0-9])"
-    lines = files.where(F.col("text").rlike(cue)).select("path", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    lines = stored(lines.where(F.col("text").rlike(cue)).withColumn("id", F.monotonically_increasing_id()), "lines")
-    words = lines.select("id", F.explode(_words(F.col("text"))).alias("word")).where("word != ''").groupBy("id", "word").agg(F.count("*").alias("tf"))
-    known = spark.createDataFrame([(w, float(x)) for w, x in idf.items()], "word string, idf double")
-    weighted = words.join(known, "word", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
-    norms = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"), F.sum("tf").alias("n_words"))
-    unit = spark.createDataFrame(rows, "license string, template int, word string, unit double")
-    dots = weighted.join(unit, "word").groupBy("id", "license", "template").agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"))
-    near = dots.join(norms, "id").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
-    best = near.groupBy("id").agg(F.min(F.struct(-F.col("score"), "license", "n_words")).alias("best"))
-    hits = lines.join(best, "id").select("path", "line", F.col("best.license").alias("license"), (-F.col("best.col1")).alias("score"), F.col("best.n_words").alias("n_words"))
-    per_line = hits.groupBy("path", "line").agg(F.min(F.struct(-F.col("score"), "license")).alias("best"), F.max("n_words").alias("n_words"))
-    own = per_line.groupBy("path").agg(F.min("best").alias("best"), F.sum("n_words").alias("license_words"))
-    own = own.select("path", F.col("best.license").alias("own_license"), (-F.col("best.col1")).alias("score"), "license_words")
+
+    by_line = _headers(files, _Templates(templates, counts, threshold))
+    by_file = _wholes(files, _Templates(full_texts, counts, threshold, rare=True))
+    own = by_line.join(by_file.select("path", F.struct("license", "score").alias("whole")), "path", "full")
+    pick = lambda name: F.when(F.col("whole").isNotNull(), F.col(f"whole.{name}")).otherwise(F.col(name))
+    own = own.select("path", pick("license").alias("own_license"), pick("score").alias("score"), "license_words", F.col("whole").isNotNull().alias("whole"))
     hit_files = files.join(own, "path", "left_semi").select("path", F.size(F.array_remove(_words(F.col("text")), "")).alias("file_words"))
     hit_files = hit_files.groupBy("path").agg(F.max("file_words").alias("file_words"))
-    own = stored(own.join(hit_files, "path").withColumn("is_license_file", 2 * F.col("license_words") >= F.col("file_words")), "own")
+    by_lines = F.coalesce(2 * F.col("license_words") >= F.col("file_words"), F.lit(False))
+    own = stored(own.join(hit_files, "path").withColumn("is_license_file", F.col("whole") | by_lines).drop("whole"), "own")
 
     parent = F.regexp_replace("path", "/?[^/]*$", "")
     holders = own.where("is_license_file").groupBy(parent.alias("directory")).agg(F.min(F.struct(-F.col("score"), "path", "own_license")).alias("holder"))

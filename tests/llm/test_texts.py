@@ -185,3 +185,21 @@ def test_licenses(spark):
     assert by_path["a/c/d/e"]["license"] == "GPL-3.0"
     assert by_path["z/none"]["license"] is by_path["z/null"]["license"] is by_path[None]["license"] is None
     assert licenses.scanned(spark.createDataFrame([], "path string, text string")).collect() == []
+
+
+def test_license_headers_over_lines_and_licence_files(spark):
+    bsd = licenses.TEMPLATES["BSD-3-Clause"][0].replace("or without ", "or without\n")
+    gpl = licenses.TEMPLATES["GPL-3.0"][1].split()
+    noise = "\n".join(f"own{i} words{i} here{i}" for i in range(60))
+    mit = "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + licenses.TEXTS["MIT"][0]
+    files = [
+        ("h/bsd", noise + "\n" + bsd + "\n" + noise), ("h/gpl", noise + "\n# " + "\n#\n# ".join(" ".join(gpl[i : i + 4]) for i in range(0, len(gpl), 4)) + "\n" + noise),
+        ("h/short", "Released under the MIT License.\nof the " + noise), ("m/LICENSE", mit), ("m/code", noise), ("b/COPYING", "Copyright (c) X\nAll rights reserved.\n\n" + licenses.TEXTS["BSD-3-Clause"][0]), ("b/src/code", noise),
+        ("g/COPYING", licenses.TEXTS["GPL-3.0"][0]), ("g/code", noise), ("a/LICENSE", licenses.TEXTS["Apache-2.0"][0]), ("a/code", noise),
+    ]
+    got = {r["path"]: r for r in licenses.scanned(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert [got[p]["own_license"] for p in ("h/bsd", "h/gpl", "h/short")] == ["BSD-3-Clause", "GPL-3.0", "MIT"]
+    assert got["h/bsd"]["score"] == got["h/gpl"]["score"] == got["h/short"]["score"] == 1
+    assert not any(got[p]["is_license_file"] for p in got if p.startswith("h/"))
+    for code, path, license_ in [("m/code", "m/LICENSE", "MIT"), ("b/src/code", "b/COPYING", "BSD-3-Clause"), ("g/code", "g/COPYING", "GPL-3.0"), ("a/code", "a/LICENSE", "Apache-2.0")]:
+        assert got[path]["is_license_file"] and (got[code]["license"], got[code]["license_path"]) == (license_, path)
