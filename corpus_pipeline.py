@@ -53,10 +53,10 @@ def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in sequences of 2048 tokens."""
+    """Pieces of documents, with their token ids and their places in sequences of 2048 tokens."""
     _small_batches(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = packing.tokenised_pieces(docs, path, capacity=2048, end_id=0, keep_ids=False, remembered=REMEMBERED_WORDS)
+    pieces = packing.tokenised_pieces(docs, path, capacity=2048, end_id=0, remembered=REMEMBERED_WORDS)
     return packing.packed(pieces, capacity=2048)
 
 

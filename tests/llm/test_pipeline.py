@@ -1,12 +1,13 @@
 """The pipeline's stages, each against a plain version on its own input."""
 
 import itertools
+import struct
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tenureline.llm import pii
+from tenureline.llm import packing, pii
 from tenureline.llm.staging import stored
 
 from .test_groups import joined, plain_sets
@@ -67,6 +68,18 @@ def test_places_outlast_another_split_of_the_scan(spark, monkeypatch, tmp_path):
     assert sorted(r["doc_id"] for r in kept) == [0, *range(1, 200, 2)]
 
 
+def test_result_holds_the_training_sequences(spark):
+    data = [(i, "the owls watch the barn " * (i % 7 + 1), "en", "s", 30) for i in range(40)] + [(40, "barn owl " * 3000, "en", "s", 27000)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    placed = stored(corpus_pipeline.best_fit_packing(spark, docs, SMALL), "best-fit-packing")
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = {i: [*library.encode(text, add_special_tokens=False).ids, 0] for i, text, *_ in data}
+    pieces = {(r["sequence_id"], r["offset"]): ids[r["doc_id"]][r["start"] : r["start"] + r["length"]] for r in placed.collect()}
+    for r in packing.sequences(placed).collect():
+        own = [x for at in sorted(at for at in pieces if at[0] == r["sequence_id"]) for x in pieces[at]]
+        assert list(struct.unpack(f"<{r['length']}I", r["ids"])) == own
+
+
 def test_no_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
