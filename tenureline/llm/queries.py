@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, chat, langid, licenses, near_vectors, ngram_join, packing, pii, topk, urlfilter
+from . import alignment, bpe, chat, langid, licenses, near_vectors, ngram_join, packing, pii, topk, urlfilter, whitening
 
 #: Rules of the URL filter: host and path prefix, verdict.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -72,6 +72,10 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(_table(spark, sf_dir, "embeddings"), k=4, scale=256.0)
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     found = alignment.aligned(_table(spark, sf_dir, "documents"), *paths, digest=True).scored()
@@ -79,7 +83,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_byte_bpe, op3_language_id, op4_url_filter, op5_top_k, op6_packing, op7_license_scan, op8_chat_format, op9_ngram_join, op10_near_vectors, op13_token_alignment)
+    f.__name__: f for f in (op1_pii, op2_byte_bpe, op3_language_id, op4_url_filter, op5_top_k, op6_packing, op7_license_scan, op8_chat_format, op9_ngram_join, op10_near_vectors, op12_whitening, op13_token_alignment)
 }
 
 _USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
