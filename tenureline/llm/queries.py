@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, chat, langid, licenses, near_vectors, ngram_join, packing, pii, topk, urlfilter, whitening
+from . import alignment, bpe, chat, langid, licenses, near_vectors, ngram_join, packing, pii, quality, topk, urlfilter, whitening
 
 #: Rules of the URL filter: host and path prefix, verdict.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -72,6 +72,10 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(_table(spark, sf_dir, "embeddings"), k=4, scale=256.0)
 
@@ -83,7 +87,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_byte_bpe, op3_language_id, op4_url_filter, op5_top_k, op6_packing, op7_license_scan, op8_chat_format, op9_ngram_join, op10_near_vectors, op12_whitening, op13_token_alignment)
+    f.__name__: f for f in (op1_pii, op2_byte_bpe, op3_language_id, op4_url_filter, op5_top_k, op6_packing, op7_license_scan, op8_chat_format, op9_ngram_join, op10_near_vectors, op11_quality_rules, op12_whitening, op13_token_alignment)
 }
 
 _USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
@@ -154,6 +158,59 @@ _NEAR_VECTORS = f"""
     SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component AS component_id, vec_id = component AS kept
     FROM embeddings JOIN grouped ON node = vec_id"""
 
+#: CRC-32 of words, bit by bit for its table. The bound of the target is above the labels of this size.
+_QUALITY = r"""
+    WITH RECURSIVE bits(i, k, c) AS (
+        SELECT i, 0, i FROM range(256) AS t(i)
+        UNION ALL
+        SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+    crc_table AS (SELECT list(c ORDER BY i) AS steps FROM bits WHERE k = 8),
+    texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    lists AS (SELECT r, doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM texts),
+    words AS (SELECT r, doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM lists),
+    hashed AS (
+        SELECT word, xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(range(1, CAST(octet_length(encode(word)) AS BIGINT) + 1), lambda i: CAST('0x' || hex(encode(word))[2 * i - 1:2 * i] AS BIGINT))),
+                   lambda c, b: xor(c >> 8, steps[xor(c % 256, b) + 1]))) AS h
+        FROM (SELECT DISTINCT word FROM words), crc_table),
+    placed AS (
+        SELECT r, doc_id, place, word, h, lead(h) OVER own AS next_h, lead(word) OVER own AS w1, lead(word, 2) OVER own AS w2
+        FROM words JOIN hashed USING (word) WINDOW own AS (PARTITION BY r ORDER BY place)),
+    grams AS (
+        SELECT r, doc_id, h % 65536 AS bucket FROM placed
+        UNION ALL
+        SELECT r, doc_id, (h * 8191 + next_h) % 65536 FROM placed WHERE next_h IS NOT NULL),
+    trusted AS (
+        SELECT doc_id AS trusted_id FROM labels WHERE doc_id IS NOT NULL
+        GROUP BY doc_id HAVING min(quality) = 1 AND coalesce(max(toxic), 0) = 0),
+    id_bytes AS (
+        SELECT trusted_id, xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(range(1, len(CAST(trusted_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(trusted_id AS VARCHAR)[i]) AS BIGINT))),
+                   lambda c, b: xor(c >> 8, steps[xor(c % 256, b) + 1]))) % 10 = 0 AS held
+        FROM trusted, crc_table),
+    counts AS (
+        SELECT bucket, count(*) AS raw, count(trusted_id) AS good
+        FROM grams LEFT JOIN id_bytes ON doc_id = trusted_id AND NOT held GROUP BY bucket),
+    totals AS (SELECT sum(raw) + 65536.0 AS n_raw, sum(good) + 65536.0 AS n_good FROM counts),
+    weights AS (
+        SELECT bucket, CAST(round_even(65536 * ln(((good + 1.0::DOUBLE) / n_good::DOUBLE) / ((raw + 1.0::DOUBLE) / n_raw::DOUBLE)), 0) AS BIGINT) AS weight FROM counts, totals),
+    points AS (SELECT r, count(*) AS n_grams, CAST(sum(weight) AS BIGINT) AS points FROM grams JOIN weights USING (bucket) GROUP BY r),
+    again AS (SELECT r, unnest(list(place)) AS place FROM placed WHERE w2 IS NOT NULL GROUP BY r, word, w1, w2 HAVING count(*) > 1),
+    repeated AS (SELECT r, count(DISTINCT place + k) AS n_repeat_words FROM again, range(3) AS t(k) GROUP BY r),
+    lines AS (
+        SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+    measured AS (
+        SELECT doc_id, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars,
+               len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_grams, 0) AS n_grams, coalesce(points, 0) AS points,
+               len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed
+        FROM texts JOIN lists USING (r, doc_id) LEFT JOIN points USING (r) LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)),
+    edge AS (
+        SELECT quantile_disc(score, 0.01) AS least, quantile_disc(score, 0.5) AS usual
+        FROM (SELECT CAST(floor(points / n_grams) AS BIGINT) AS score FROM measured JOIN id_bytes ON doc_id = trusted_id AND held WHERE NOT base_failed))
+    SELECT measured.*, NOT base_failed AND coalesce(2 * points >= (3 * least - usual) * n_grams, true) AS kept FROM measured, edge"""
+
 #: Where SQL has no form (spans, tokens, language and URL models, packing, TF-IDF rounding),
 #: tests/llm compares with brute force, a library or held-out documents.
 ORACLE_SQL: dict[str, str] = {
@@ -161,4 +218,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_chat_format": _CHAT,
     "op9_ngram_join": _NGRAMS,
     "op10_near_vectors": _NEAR_VECTORS,
+    "op11_quality_rules": _QUALITY,
 }
