@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stored
+from .staging import release, stored
 
 PAIRS = "hi long, lo long"
 #: Thinned links that one task joins: 16 bytes each.
@@ -67,7 +67,7 @@ def connected_components(pairs: DataFrame) -> DataFrame:
     pairs = pairs.where(a != b).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
     pairs = stored(pairs.mapInArrow(_thinned, PAIRS).distinct(), "links")
     if pairs.count() <= TASK_LINKS:
-        return pairs.coalesce(1).mapInArrow(_joined, "node long, component long")
+        return _ended(pairs.coalesce(1).mapInArrow(_joined, "node long, component long"), pairs)
     state = None
     while True:
         both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
@@ -78,10 +78,18 @@ def connected_components(pairs: DataFrame) -> DataFrame:
         large = large.where("hi != lo").distinct()
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        before = pairs
         pairs = stored(small.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct(), "links")
+        release(before)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
     roots = pairs.select("lo").distinct().select(F.col("lo").alias("node"), F.col("lo").alias("component"))
-    return pairs.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
+    return _ended(pairs.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots), pairs)
+
+
+def _ended(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    found = stored(found, "components")
+    release(pairs)
+    return found

@@ -1,23 +1,28 @@
 """Documents whose sets of word n-grams are similar by Jaccard, by vertical partitioning.
 
-1. Documents with equal sets form a class; a class is known by a 64-bit digest of its set.
-2. A global order of the n-grams (by hash) puts those that recur often last. Two sets of similarity
-   t share an n-gram among the first n - ceil(t n) + 1 of each; so only those entries are shuffled,
-   and all others of the region, the first 1 - t of the order. The order is cut into fragments, and
-   a fragment finds the classes that share an entry (a bucket). An n-gram of the region that no
-   other class has is missing from every partner: of two similar classes the smaller one is strong,
-   with few such n-grams. Only strong classes and their partners stay in buckets.
-3. Candidate pairs come from the buckets. The sets of the candidates are cut into segments by
-   n-gram, the overlap of a pair is counted in every segment apart, and the counts are summed.
-4. Buckets of thousands of near copies are not turned into all their pairs: every member is
-   first paired with two pivots of its bucket; then only members of different components are
-   paired, which is exact, since a link within a component changes no component.
-5. A parity map of each set (bit i is the parity of its n-grams that hash to i) rules pairs out
+1. Documents with equal sets form a class; a class is known by a digest of its set, of 64 bits, or
+   by 64 other ones where two sets of the corpus share these.
+2. A global order of the n-grams puts those that recur often last, the others by hash. Two sets of
+   similarity t share an n-gram among the first n - ceil(t n) + 1 of each; so only those entries are
+   shuffled, and all others of the region, the first 1 - t of the order. The order is cut into
+   fragments, and a fragment finds the classes that share an entry (a bucket). An entry knows the
+   largest partner that may first be met there. n-grams of the region that no other class has are
+   missing from every partner: what is left of a set bounds its overlaps.
+3. Candidate pairs come from the buckets. First every member is paired with two pivots of its bucket;
+   components join what is found, and rounds of new pivots go on while buckets hold many pairs of
+   different components. Then all members of different components are paired, which is exact, since
+   a link within a component changes no component. A pair that has met in the n-gram just before in
+   both sets is not formed again.
+4. A parity map of each set (bit i is the parity of its n-grams that hash to i) rules pairs out
    before their sets are read: two maps differ in at most as many bits as the sets do in n-grams.
+5. The sets of the candidates are cut into fragments of the order. A task holds one fragment of the
+   sets of a block of pairs and counts their partial overlaps; the counts are summed per pair. A set
+   travels once per block, and pairs that hang together share a block up to its fixed size.
 
 The order only steers cost: any order that all tasks share gives the same links. Counted are
 n-grams that recur within a block of documents, over all documents; the most frequent
-``FREQUENT`` of them, a bound of the broadcast, are ordered by count.
+``FREQUENT`` of them, a bound of the broadcast, are ordered by count. Their entries need no
+fragment that looks for a second class, so no task gathers the entries of a frequent n-gram.
 """
 
 from __future__ import annotations
@@ -33,8 +38,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .kept import kept
-from .staging import stored
+from .kept import give_back, kept
+from .staging import release, stored
 from .vectors import small_batches
 
 #: Most frequent n-grams that the order knows by count; 16 bytes each in the broadcast.
@@ -45,20 +50,35 @@ BLOCK_NGRAMS = 500_000
 RECURRENT = 4
 #: Prefix entries of a fragment, entries packed at once, and bytes of text hashed at once.
 FRAGMENT_ENTRIES, BLOCK_ENTRIES, SLICE_BYTES = 500_000, 250_000, 500_000
-#: Segments that a candidate's set is cut into; longs of a parity map, and those used within buckets.
-SEGMENTS, MAP_LONGS, BUCKET_LONGS = 2, 8, 4
-#: Bits of the map of candidate classes: a fixed size; more classes cost reading, not results.
-MAP_BITS, MAP_CHUNK_BITS = 1 << 25, 1 << 16
-#: Pivots of a bucket, and n-grams per class whose buckets have pivots, about.
-PIVOTS, PIVOT_NGRAMS = 2, 16
-#: An entry: n-gram, class, set size, n-grams of the set in the region; -1 - that outside it.
-#: Within a fragment the low half of the n-gram's hash is kept: n-grams taken for one another add
-#: candidates, and lose none.
-_ENTRY = np.dtype([("h", "<u4"), ("c", "<i8"), ("n", "<i4"), ("r", "<i4")])
+#: Fragments that candidates' sets are cut into, and n-grams of the sets of a block of pairs.
+FRAGMENTS, PAIR_NGRAMS = 8, 16_000_000
+#: Longs of a parity map, and those used within buckets.
+MAP_LONGS, BUCKET_LONGS = 8, 4
+#: Bits per class of a map of classes, the most such a map has, and those of one of its chunks: a
+#: full map costs reading, not results.
+CLASS_BITS, MOST_BITS, MAP_CHUNK_BITS = 32, 1 << 28, 1 << 16
+#: Pivots of a bucket in a round, n-grams per class whose buckets have pivots in the first round,
+#: about, and the most rounds.
+PIVOTS, PIVOT_NGRAMS, ROUNDS = 2, 16, 8
+#: Rounds go on while members of different components make more pairs than so many per entry, and
+#: while the last one joined this share of the classes that are left.
+CROSSING, JOINED = 2, 0.02
+#: n-grams before the shared one in which a pair may have met already.
+BEFORE = 4
+#: Bits of a class's first digest.
+DIGEST_BITS = 64
+#: Classes that a task remembers to have seen.
+SEEN = 100_000
+#: An entry: n-gram, class, set size, n-grams of the set in the region (-1 - that outside it), and
+#: the largest set that may share it as its first n-gram. Within a fragment the low half of the
+#: n-gram's hash is kept: n-grams taken for one another add candidates, and lose none.
+_ENTRY = np.dtype([("h", "<u4"), ("c", "<i8"), ("n", "<i4"), ("r", "<i4"), ("t", "<i4")])
 #: Texts sent to Python at once.
 TEXT_ROWS = 1000
 #: Entries of one stored row of buckets.
 CHUNK_ENTRIES = 100_000
+#: Places in a word whose letters' codes are tabulated.
+_PLACES = 32
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -77,31 +97,37 @@ class NgramSets:
     def __init__(self, size: int):
         self.size = size
         self.base = np.uint64(0x9E3779B97F4A7C15 | 1)
-        self.inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
-        self.powers = self.inverses = np.ones(1, np.uint64)
         # 0 is a blank, so every other byte has one more than its own code
         self.kind = np.arange(1, 257, dtype=np.uint16)
         self.kind[65:91] += 32
         self.kind[[9, 10, 11, 12, 13, 32]] = 0
+        self.table = self._code(np.arange(_PLACES)[:, None], np.arange(257)[None, :])
 
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            with np.errstate(over="ignore"):
-                self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, self.base)]))
-                self.inverses = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, self.inverse)]))
+    @staticmethod
+    def _code(place: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """A number for every letter at every place of a word, without a pattern between places."""
+        with np.errstate(over="ignore"):
+            return _mixed(_mixed(place.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)) + letter.astype(np.uint64))
 
     def _words(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the words of ``raw``, bytes whose blanks part the words."""
-        self._grow(len(raw) + 1)
+        """Starts and hashes of the words of ``raw``, bytes whose blanks part the words: the mixed
+        sum of the codes of its letters at their places."""
         byte = self.kind[raw]
         solid = np.zeros(len(raw) + 2, np.int8)
         np.not_equal(byte, 0, out=solid[1:-1].view(bool))
         edges = np.diff(solid)
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        lengths = ends - starts
+        letters = byte[byte != 0].astype(np.int64)
+        first = np.cumsum(lengths) - lengths
+        place = np.arange(len(letters)) - np.repeat(first, lengths)
+        codes = self.table[np.minimum(place, _PLACES - 1), letters]
+        if (far := np.flatnonzero(place >= _PLACES)).size:
+            codes[far] = self._code(place[far], letters[far])
         with np.errstate(over="ignore"):
-            sums = np.zeros(len(raw) + 1, np.uint64)
-            np.cumsum(byte * self.powers[: len(raw)], out=sums[1:])
-            return starts, _mixed((sums[ends] - sums[starts]) * self.inverses[starts] + np.uint64(1))
+            sums = np.zeros(len(letters) + 1, np.uint64)
+            np.cumsum(codes, out=sums[1:])
+            return starts, _mixed(sums[first + lengths] - sums[first] + np.uint64(1))
 
     def of(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """Row and sorted distinct n-gram hashes of each text, in order."""
@@ -139,8 +165,27 @@ class NgramSets:
         return out[np.concatenate([[True], out[1:] != out[:-1]])] if len(out) else out
 
 
-def _digest(grams: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _digests(grams: np.ndarray) -> tuple[int, int]:
+    raw = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+    first, second = (int.from_bytes(raw[i : i + 8], "little", signed=True) for i in (0, 8))
+    return first & ((1 << DIGEST_BITS) - 1) if DIGEST_BITS < 64 else first, second
+
+
+def _class(grams: np.ndarray, clashing: frozenset[int]) -> int:
+    first, second = _digests(grams)
+    return second if first in clashing else first
+
+
+class _Seen(set):
+    """What a task has seen lately."""
+
+    def new(self, x: int) -> bool:
+        if x in self:
+            return False
+        if len(self) >= SEEN:
+            self.clear()
+        self.add(x)
+        return True
 
 
 def _parity(grams: np.ndarray) -> np.ndarray:
@@ -155,25 +200,22 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _classes(size: int):
-    """Task: rows (0, doc_id, set size, class, parity map), and (1, n-gram, recurrences in a block)."""
+    """Task: rows (0, doc_id, set size, both digests), and (1, n-gram, recurrences in a block)."""
+    names = ["kind", "id", "n", "class", "second"]
 
     def counted(block: list[np.ndarray]) -> pa.RecordBatch:
         grams, counts = np.unique(np.concatenate(block), return_counts=True)
         often = counts >= RECURRENT
         n = int(often.sum())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(n, np.int8)), pa.array(_signed(grams[often])), pa.array(counts[often].astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))],
-            names=["kind", "id", "n", "class", "map"],
-        )
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int8)), pa.array(_signed(grams[often])), pa.array(counts[often].astype(np.int32)), *[pa.nulls(n, pa.int64())] * 2], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, block, held, seen = kept("ngrams", size, lambda: NgramSets(size)), [], 0, set()
         for batch in batches:
-            sizes, classes, maps = [], [], []
+            sizes, classes = [], []
             for _, grams in sets.of(batch.column(1)):
                 sizes.append(len(grams))
-                maps.append(_parity(grams))
-                classes.append(_digest(grams))
+                classes.append(_digests(grams))
                 if len(grams) and classes[-1] not in seen:
                     seen.add(classes[-1])
                     block.append(grams)
@@ -181,12 +223,11 @@ def _classes(size: int):
                 if held >= BLOCK_NGRAMS:
                     yield counted(block)
                     block, held, seen = [], 0, set()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(sizes), np.int8)), batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(maps, pa.list_(pa.int64()))],
-                names=["kind", "id", "n", "class", "map"],
-            )
+            columns = [pa.array(np.zeros(len(sizes), np.int8)), batch.column(0), pa.array(sizes, pa.int32()), *(pa.array([x[i] for x in classes], pa.int64()) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
         if block:
             yield counted(block)
+        give_back()
 
     return run
 
@@ -200,9 +241,11 @@ def least_overlap(m, n, percent: int):
     return -(-percent * (m + n) // (100 + percent))
 
 
-def _entries(size: int, percent: int, frequent, fragments: int):
-    """Task: a row (fragment, packed entries) per block of documents and fragment."""
+def _entries(size: int, percent: int, frequent, clashing: frozenset[int], fragments: int):
+    """Task: a row (fragment, packed entries) per block of documents and fragment; entries of
+    frequent n-grams have fragments below 0, dealt by class."""
     edge = (1 << 64) * (100 - percent) // 100
+    spread = fragments // 4 + 1
 
     def packed(block: list[tuple]) -> pa.RecordBatch:
         out = np.empty(sum(len(x[0]) for x in block), _ENTRY)
@@ -210,6 +253,10 @@ def _entries(size: int, percent: int, frequent, fragments: int):
         out["c"] = np.concatenate([np.full(len(x[0]), x[2]) for x in block])
         out["n"] = np.concatenate([np.full(len(x[0]), x[3]) for x in block])
         out["r"] = np.concatenate([x[4] for x in block])
+        # the largest m of a pair n, m whose least overlap is n less the n-grams before this one
+        rank = np.concatenate([np.arange(len(x[0])) for x in block])
+        n = out["n"].astype(np.int64)
+        out["t"] = np.clip((100 + percent) * (n - rank) // percent - n, -1, (1 << 31) - 1)
         place = np.concatenate([x[1] for x in block])
         order = np.argsort(place, kind="stable")
         out, place = out[order], place[order]
@@ -222,12 +269,11 @@ def _entries(size: int, percent: int, frequent, fragments: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_of, counts_of = frequent.value
-        sets, block, held, seen = kept("ngrams", size, lambda: NgramSets(size)), [], 0, set()
+        sets, block, held, seen = kept("ngrams", size, lambda: NgramSets(size)), [], 0, _Seen()
         for batch in batches:
             for _, grams in sets.of(batch.column(0)):
-                if not len(grams) or (own := _digest(grams)) in seen:
+                if not len(grams) or not seen.new(own := _class(grams, clashing)):
                     continue
-                seen.add(own)
                 count = np.zeros(len(grams), np.int64)
                 if len(grams_of):
                     at = np.minimum(np.searchsorted(grams_of, grams), len(grams_of) - 1)
@@ -236,17 +282,19 @@ def _entries(size: int, percent: int, frequent, fragments: int):
                 r = int(region.sum())
                 order = np.argsort(count, kind="stable")
                 first = order[: max(prefix_length(n, percent), r)]
-                inside, first = region[first], grams[first]
+                inside, often, first = region[first], count[first] > 0, grams[first]
                 # equal cuts of the region; what lies beyond is spread over a few more fragments
                 near = ((first >> np.uint64(32)).astype(np.int64) * fragments) // (edge >> 32)
-                place = np.where(inside, np.minimum(near, fragments - 1), fragments + (_mixed(first) % np.uint64(fragments // 4 + 1)).astype(np.int64))
+                place = np.where(inside, np.minimum(near, fragments - 1), fragments + (_mixed(first) % np.uint64(spread)).astype(np.int64))
+                place = np.where(often, -1 - own % spread, place)
                 block.append((first, place, own, n, np.where(inside, r, -1 - r)))
                 held += len(first)
                 if held >= BLOCK_ENTRIES:
                     yield packed(block)
-                    block, held, seen = [], 0, set()
+                    block, held = [], 0
         if block:
             yield packed(block)
+        give_back()
 
     return run
 
@@ -257,28 +305,31 @@ def _buckets(percent: int):
     names = ["fragment", "entries", "class", "n", "region", "shared"]
 
     def run(table: pa.Table) -> pa.Table:
+        fragment = table.column("fragment")[0].as_py()
         entries = np.concatenate([np.frombuffer(x.as_buffer(), _ENTRY) for x in table.column("entries")])
         entries = entries[np.lexsort((entries["c"], entries["n"], entries["h"]))]
         again = (entries["h"][1:] == entries["h"][:-1]) & (entries["c"][1:] == entries["c"][:-1])
         entries = entries[np.concatenate([[True], ~again])]
         h, n = entries["h"], entries["n"].astype(np.int64)
-        # the next larger set of the bucket is not too large: both may have a partner
-        fits = (h[1:] == h[:-1]) & (100 * n[:-1] >= percent * n[1:])
-        keep = np.concatenate([fits, [False]]) | np.concatenate([[False], fits])
-        entries = entries[keep]
+        if fragment >= 0:
+            # the next larger set of the bucket is not too large: both may have a partner
+            fits = (h[1:] == h[:-1]) & (100 * n[:-1] >= percent * n[1:])
+            entries = entries[np.concatenate([fits, [False]]) | np.concatenate([[False], fits])]
+        c, first, which = np.unique(entries["c"], return_index=True, return_inverse=True)
+        sizes, region = entries["n"][first], entries["r"][first].astype(np.int64)
+        shared = np.bincount(which, entries["r"] >= 0, len(c)).astype(np.int32)
+        # beyond the prefix an entry is counted, but no pair first meets there
+        entries = entries[100 * entries["t"].astype(np.int64) >= percent * entries["n"].astype(np.int64)]
         h = entries["h"]
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[: len(h)])
-        cuts = starts[np.searchsorted(starts, np.arange(CHUNK_ENTRIES, len(h), CHUNK_ENTRIES)) - 1] if len(h) else starts
+        cuts = starts[np.searchsorted(starts, np.arange(CHUNK_ENTRIES, len(h), CHUNK_ENTRIES), "right") - 1] if len(h) else starts
         chunks = [x.tobytes() for x in np.split(entries, np.unique(cuts[cuts > 0])) if len(x)]
-        c, first, which = np.unique(entries["c"], return_index=True, return_inverse=True)
-        region = entries["r"][first].astype(np.int64)
-        shared = np.bincount(which, entries["r"] >= 0, len(c)).astype(np.int32)
         k = len(chunks)
         columns = [
-            pa.array(np.full(k + len(c), table.column("fragment")[0].as_py(), np.int32)),
+            pa.array(np.full(k + len(c), fragment, np.int32)),
             pa.array(chunks + [None] * len(c), pa.binary()),
             *(pa.concat_arrays([pa.nulls(k, kind), pa.array(x, kind)]) for x, kind in (
-                (c, pa.int64()), (entries["n"][first], pa.int32()), (np.where(region < 0, -1 - region, region), pa.int32()), (shared, pa.int32())
+                (c, pa.int64()), (sizes, pa.int32()), (np.where(region < 0, -1 - region, region), pa.int32()), (shared, pa.int32())
             )),
         ]
         return pa.table(columns, names=names)
@@ -287,32 +338,38 @@ def _buckets(percent: int):
 
 
 def _strong_buckets(percent: int, strong):
-    """Task: bucket rows (h, class, n) of strong classes and of larger classes in their buckets."""
+    """Task: bucket rows (h, class, n, top) of strong classes and of larger classes in their
+    buckets; all rows of frequent n-grams, whose buckets lie in many chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = strong.value
         for batch in batches:
             for fragment, chunk in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x = np.frombuffer(chunk, _ENTRY)
-                at = _bit(np.ascontiguousarray(x["c"])).astype(np.int64)
-                is_strong = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-                # by size within a bucket: the largest strong class up to each entry
-                n, rows = x["n"].astype(np.int64), np.arange(len(x))
-                start = np.flatnonzero(np.concatenate([[True], x["h"][1:] != x["h"][:-1]]))
-                bucket = np.repeat(start, np.diff(np.append(start, len(x))))
-                last = np.maximum.accumulate(np.where(is_strong, rows, -1))
-                partner = (last >= bucket) & (100 * n[np.maximum(last, 0)] >= percent * n)
-                keep = is_strong | partner
-                kept = keep & (np.add.reduceat(keep.astype(np.int64), start)[np.searchsorted(start, bucket)] > 1)
-                x = x[kept]
-                columns = [pa.array((fragment << 32) + x["h"].astype(np.int64)), pa.array(np.ascontiguousarray(x["c"])), pa.array(np.ascontiguousarray(x["n"]))]
-                yield pa.RecordBatch.from_arrays(columns, names=["h", "class", "n"])
+                if fragment >= 0:
+                    is_strong = _marked(bits, np.ascontiguousarray(x["c"]))
+                    # by size within a bucket: the largest strong class up to each entry
+                    n, rows = x["n"].astype(np.int64), np.arange(len(x))
+                    start = np.flatnonzero(np.concatenate([[True], x["h"][1:] != x["h"][:-1]]))
+                    bucket = np.repeat(start, np.diff(np.append(start, len(x))))
+                    last = np.maximum.accumulate(np.where(is_strong, rows, -1))
+                    partner = (last >= bucket) & (100 * n[np.maximum(last, 0)] >= percent * n)
+                    keep = is_strong | partner
+                    x = x[keep & (np.add.reduceat(keep.astype(np.int64), start)[np.searchsorted(start, bucket)] > 1)]
+                columns = [pa.array((max(fragment, -1) << 32) + x["h"].astype(np.int64)), *(pa.array(np.ascontiguousarray(x[name])) for name in "cnt")]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "class", "n", "top"])
 
     return run
 
 
-def _bit(digests: np.ndarray) -> np.ndarray:
-    return _mixed(digests.view(np.uint64)) % np.uint64(MAP_BITS)
+def _bit(digests: np.ndarray, bits: int) -> np.ndarray:
+    return (_mixed(digests.view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+
+
+def _marked(held: np.ndarray, digests: np.ndarray) -> np.ndarray:
+    """Which classes a map may hold; never false for one that it holds."""
+    at = _bit(digests, 8 * len(held))
+    return (held[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
 def _chunk(table: pa.Table) -> pa.Table:
@@ -321,156 +378,193 @@ def _chunk(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([table.column("chunk")[0].as_py()], pa.int32()), pa.array([np.packbits(chunk).tobytes()], pa.binary())], names=["chunk", "bits"])
 
 
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bits = np.unique(_bit(batch.column(0).to_numpy().astype(np.int64))).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array((bits // MAP_CHUNK_BITS).astype(np.int32)), pa.array(bits)], names=["chunk", "bit"])
+def _class_map(classes: DataFrame) -> np.ndarray:
+    """Bits for the classes, by their number up to a fixed size."""
+    bits = MAP_CHUNK_BITS
+    while bits < min(CLASS_BITS * classes.count(), MOST_BITS):
+        bits *= 2
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(_bit(batch.column(0).to_numpy().astype(np.int64), bits))
+            yield pa.RecordBatch.from_arrays([pa.array((at // MAP_CHUNK_BITS).astype(np.int32)), pa.array(at)], names=["chunk", "bit"])
 
-def _class_map(classes: DataFrame) -> np.ndarray:
-    """One bit for each class, of a fixed size."""
-    chunks = classes.mapInArrow(_bits, "chunk int, bit long").groupBy("chunk").applyInArrow(_chunk, "chunk int, bits binary")
-    out = np.zeros(MAP_BITS // 8, np.uint8)
-    for row in chunks.collect():
+    out = np.zeros(bits // 8, np.uint8)
+    for row in classes.mapInArrow(run, "chunk int, bit long").groupBy("chunk").applyInArrow(_chunk, "chunk int, bits binary").collect():
         at = row["chunk"] * MAP_CHUNK_BITS // 8
         out[at : at + MAP_CHUNK_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
     return out
 
 
-def _segments(size: int, wanted):
-    """Task: the sets of wanted classes, cut by n-gram into segments."""
+_SET = "class long, fragment int, grams binary, map array<long>"
+
+
+def _sets(size: int, wanted, clashing: frozenset[int]):
+    """Task: the sets of wanted classes, cut into fragments of the order; the first one of a class
+    is never missing and carries its parity map."""
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=["class", "fragment", "grams", "map"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, sets, seen = wanted.value, kept("ngrams", size, lambda: NgramSets(size)), set()
+        bits, sets, seen = wanted.value, kept("ngrams", size, lambda: NgramSets(size)), _Seen()
         for batch in batches:
-            classes, places, grams_out, held = [], [], [], 0
+            rows, held = [], 0
             for _, grams in sets.of(batch.column(0)):
                 if not len(grams):
                     continue
-                own = _digest(grams)
-                bit = int(_bit(np.array([own], np.int64))[0])
-                if own in seen or not bits[bit >> 3] >> (7 - (bit & 7)) & 1:
+                own = _class(grams, clashing)
+                if not _marked(bits, np.array([own], np.int64))[0] or not seen.new(own):
                     continue
-                seen.add(own)
-                cuts = np.searchsorted(grams >> np.uint64(63), np.arange(SEGMENTS + 1).astype(np.uint64))
-                for i in range(SEGMENTS):
-                    if cuts[i] < cuts[i + 1]:
-                        classes.append(own)
-                        places.append(i)
-                        grams_out.append(_signed(grams[cuts[i] : cuts[i + 1]]))
+                cuts = np.searchsorted((grams >> np.uint64(32)) * np.uint64(FRAGMENTS) >> np.uint64(32), np.arange(FRAGMENTS + 1).astype(np.uint64))
+                for i in range(FRAGMENTS):
+                    if not i or cuts[i] < cuts[i + 1]:
+                        rows.append((own, i, grams[cuts[i] : cuts[i + 1]].tobytes(), None if i else _parity(grams)))
                 held += len(grams)
                 if held >= BLOCK_ENTRIES:
-                    yield _segment_batch(classes, places, grams_out)
-                    classes, places, grams_out, held = [], [], [], 0
-            if classes:
-                yield _segment_batch(classes, places, grams_out)
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            if rows:
+                yield batch_of(rows)
+        give_back()
 
     return run
 
 
-def _segment_batch(classes: list, places: list, grams: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(classes, pa.int64()), pa.array(places, pa.int32()), pa.array(grams, pa.list_(pa.int64()))], names=["class", "segment", "grams"]
-    )
-
-
-def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b, na, nb)`` of the wanted similarity: overlaps per segment, summed per pair."""
-    split = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("segment"))
-    left = segments.select(F.col("class").alias("a"), "segment", F.col("grams").alias("x"))
-    right = segments.select(F.col("class").alias("b"), "segment", F.col("grams").alias("y"))
-    partial = split.join(left, ["a", "segment"]).join(right, ["b", "segment"])
-    partial = partial.select("a", "b", "na", "nb", F.size(F.array_intersect("x", "y")).alias("shared"))
+def _overlaps(table: pa.Table) -> pa.Table:
+    """Group: one fragment of the sets of a block, and its pairs: n-grams that each pair shares."""
+    is_set = table.column("grams").is_valid().to_numpy()
+    own, pairs = table.filter(pa.array(is_set)), table.filter(pa.array(~is_set))
+    names = ["a", "b", "na", "nb", "shared"]
+    a, b = (pairs.column(x).to_numpy() for x in ("a", "b"))
+    classes = own.column("a").to_numpy()
+    order = np.argsort(classes)
+    grams = [np.frombuffer(own.column("grams")[int(i)].as_buffer(), np.uint64) for i in order]
+    lengths = np.array([len(x) for x in grams], np.int64)
+    first = np.cumsum(lengths) - lengths
+    ids = np.unique(np.concatenate(grams), return_inverse=True)[1] if len(grams) else np.zeros(0, np.int64)
+    classes = classes[order]
+    shared = np.zeros(len(a), np.int64)
+    known = lambda x: np.searchsorted(classes, x).clip(max=max(len(classes) - 1, 0))
+    at_a, at_b = known(a), known(b)
+    there = (classes[at_a] == a) & (classes[at_b] == b) if len(classes) else np.zeros(len(a), bool)
+    by_b = np.flatnonzero(there)
+    by_b = by_b[np.argsort(at_b[by_b], kind="stable")]
+    mark = np.zeros(len(ids) + 1, bool)
+    for of_one in np.split(by_b, np.flatnonzero(np.diff(at_b[by_b])) + 1):
+        if not len(of_one):
+            continue
+        y = at_b[of_one[0]]
+        held = ids[first[y] : first[y] + lengths[y]]
+        mark[held] = True
+        x = at_a[of_one]
+        sizes = lengths[x]
+        places = np.repeat(first[x] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        hits = np.concatenate([[0], np.cumsum(mark[ids[places]])])
+        ends = np.cumsum(sizes)
+        shared[of_one] = hits[ends] - hits[ends - sizes]
+        mark[held] = False
+    return pa.table([pa.array(a), pa.array(b), pairs.column("na"), pairs.column("nb"), pa.array(shared)], names=names)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links ``(a, b)`` among ``pairs`` (a, b, na, nb): partial overlaps, summed per pair."""
+    clusters = connected_components(pairs).select(F.col("node").alias("a"), F.col("component").alias("cluster"))
+    weighed = pairs.join(clusters, "a")
+    weights = stored(weighed.groupBy("cluster").agg(F.sum(F.col("na").cast("long") + F.col("nb")).alias("grams")), "weights")
+    blocks = 1 + (weights.agg(F.sum("grams")).first()[0] or 0) // PAIR_NGRAMS
+    parts = F.ceil(F.col("grams") / PAIR_NGRAMS)
+    block = F.pmod(F.xxhash64("cluster", F.pmod(F.xxhash64("b"), parts)), F.lit(blocks))
+    blocked = stored(weighed.join(weights, "cluster").select("a", "b", "na", "nb", block.alias("block")), "blocked")
+    classes = blocked.select("block", F.explode(F.array("a", "b")).alias("class")).distinct()
+    nothing = lambda kind: F.lit(None).cast(kind)
+    held = sets.select("class", "fragment", "grams").join(classes, "class")
+    held = held.select("block", "fragment", F.col("class").alias("a"), nothing("long").alias("b"), nothing("int").alias("na"), nothing("int").alias("nb"), "grams")
+    asked = blocked.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)))).withColumn("grams", nothing("binary"))
+    partial = held.unionByName(asked).groupBy("block", "fragment").applyInArrow(_overlaps, "a long, b long, na int, nb int, shared long")
     total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared"))
-    return total.where(F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("shared")))
+    linked = total.where(F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("shared")))
+    found = stored(linked.select("a", "b"), "found")
+    release(weights, blocked)
+    return found
 
 
-def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(c, cn, d, dn)`` of fitting sizes, the smaller class first, without repeats."""
-    fitting = F.lit(100) * F.least("cn", "dn") >= F.lit(percent) * F.greatest("cn", "dn")
-    swap = F.col("c") > F.col("d")
-    pick = lambda x, y: F.when(swap, F.col(x)).otherwise(F.col(y))
-    pairs = pairs.where((F.col("c") != F.col("d")) & fitting)
-    return pairs.select(pick("d", "c").alias("a"), pick("c", "d").alias("b"), pick("dn", "cn").alias("na"), pick("cn", "dn").alias("nb")).distinct()
+def _apart(left: str, right: str, longs: int) -> Column:
+    return reduce(operator.add, (F.bit_count(F.col(f"{left}{i}").bitwiseXOR(F.col(f"{right}{i}"))) for i in range(longs)))
 
 
-def _strong(classes: DataFrame, percent: int) -> DataFrame:
-    """Classes that can be the smaller one of a similar pair."""
-    return classes.where(F.col("n") - F.col("lone") >= F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent) - 1e-6)).select("class")
+def _near(apart: Column, m: str, n: str, percent: int) -> Column:
+    """Similar sets differ in at most (100 - percent) / (100 + percent) of their summed sizes."""
+    return F.lit(100 + percent) * apart <= F.lit(100 - percent) * (F.col(m) + F.col(n))
 
 
-def _is_in(key: Column, keys: DataFrame) -> Column:
-    """Whether a long may be among ``keys``, by a map of fixed size; never false for one that is."""
-    held = keys.sparkSession.sparkContext.broadcast(_class_map(keys))
+def _may_link(percent: int) -> Column:
+    """What sizes, the n-grams that others have too, and places in the order allow of c and d."""
+    both = F.col("cn").cast("long") + F.col("dn")
+    enough = F.lit(100 + percent) * F.least("cu", "du").cast("long") >= F.lit(percent) * both
+    fitting = F.lit(100) * F.least("cn", "dn") >= F.lit(percent) * F.greatest("cn", "dn")
+    return fitting & enough & (F.col("cn") <= F.col("dtop")) & (F.col("dn") <= F.col("ctop"))
 
-    def run(x: pa.Array) -> pa.Array:
-        at = _bit(x.to_numpy().astype(np.int64)).astype(np.int64)
-        return pa.array((held.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
 
-    return F.arrow_udf(run, "boolean")(key)
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Pairs ``(a, b, na, nb)`` with the lower class first, without repeats."""
+    swap = F.col("c") > F.col("d")
+    pick = lambda x, y: F.when(swap, F.col(x)).otherwise(F.col(y))
+    return pairs.select(pick("d", "c").alias("a"), pick("c", "d").alias("b"), pick("dn", "cn").alias("na"), pick("cn", "dn").alias("nb")).distinct()
 
 
-def _apart(left: str, right: str, longs: int) -> Column:
-    return reduce(operator.add, (F.bit_count(F.col(f"{left}{i}").bitwiseXOR(F.col(f"{right}{i}"))) for i in range(longs)))
+def _plausible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs that the full parity maps allow."""
+    of = lambda key, name: maps.select(F.col("class").alias(key), *(F.col("map")[BUCKET_LONGS + i].alias(f"{name}{i}") for i in range(MAP_LONGS)))
+    both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
+    return both.where(_near(_apart("x", "y", MAP_LONGS), "na", "nb", percent)).select("a", "b", "na", "nb")
 
 
-def _near(apart: Column, m: str, n: str, percent: int) -> Column:
-    """Similar sets differ in at most (100 - percent) / (100 + percent) of their summed sizes."""
-    return F.lit(100 + percent) * apart <= F.lit(100 - percent) * (F.col(m) + F.col(n))
+def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    columns = {"class": "", "n": "n", "top": "top", "u": "u", "component": "c"} | {x: x for x in more}
+    return rows.select("h", *(F.col(x).alias(f"{name}{short}") for x, short in columns.items()))
 
 
-def _plausible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """Pairs that the full parity maps and the n-grams without partner allow."""
-    least = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent) - 1e-6)
-    enough = (F.col("na") - F.col("xu") >= least) & (F.col("nb") - F.col("yu") >= least)
-    of = lambda key, name: maps.select(F.col("class").alias(key), F.col("lone").alias(f"{name}u"), *(F.col("map")[BUCKET_LONGS + i].alias(f"{name}{i}") for i in range(MAP_LONGS)))
-    both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
-    return both.where(enough & _near(_apart("x", "y", MAP_LONGS), "na", "nb", percent)).select("a", "b", "na", "nb")
+def _pivot_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Members of each bucket with its pivot, where components differ; one global priority keeps
+    the pairs few. Every other turn draws a component first, so that small ones get pivots too."""
+    drawn = F.col("component") if turn % 2 else F.col("class")
+    priority = F.struct(F.xxhash64(drawn, F.lit(turn)).alias("priority"), F.xxhash64("class").alias("then"), "class", "n", "top", "u", "component")
+    pivots = rows.groupBy("h").agg(F.min(priority).alias("pivot")).select("h", "pivot.*").drop("priority", "then")
+    pairs = _side(rows, "c").join(_side(pivots, "d"), "h").where((F.col("cc") != F.col("dc")) & _may_link(percent))
+    return _ordered(pairs)
 
 
-def _pivot_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Every member with the bucket's pivot; one global priority keeps the pairs few."""
-    priority = F.struct(F.xxhash64(F.col("class"), F.lit(turn)).alias("priority"), "class", "n")
-    pivots = buckets.groupBy("h").agg(F.min(priority).alias("pivot"))
-    pairs = buckets.join(pivots, "h")
-    return _ordered(pairs.select(F.col("class").alias("c"), F.col("n").alias("cn"), F.col("pivot.class").alias("d"), F.col("pivot.n").alias("dn")), percent)
+def _mixed_buckets(buckets: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """Rows of buckets of several components, with ``component``."""
+    if not links:
+        rows = buckets.withColumn("component", F.col("class"))
+    else:
+        labels = connected_components(reduce(DataFrame.unionByName, links)).select(F.col("node").alias("class"), "component")
+        rows = buckets.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    ends = rows.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("h")
+    return stored(rows.join(ends, "h", "left_semi"), "mixed")
 
 
-def _crossing_pairs(buckets: DataFrame, links: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+def _crossing_pairs(mixed: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket that lie in different components and that small parity maps allow;
     members of the largest component of a bucket are only paired with the rest."""
-    labels = connected_components(links).select(F.col("node").alias("class"), "component")
     few = [F.col("map")[i].alias(f"m{i}") for i in range(BUCKET_LONGS)]
-    known = maps.join(labels, "class", "left").select("class", F.coalesce("component", "class").alias("component"), *few)
-    labelled = buckets.join(known, "class")
-    bucket = Window.partitionBy("h")
-    ends = labelled.withColumn("lo", F.min("component").over(bucket)).withColumn("hi", F.max("component").over(bucket))
-    mixed = stored(ends.where("lo != hi").drop("lo", "hi"), "mixed")
-    # an n-gram that only the own component has is missing from every partner outside
-    counts = mixed.groupBy("class").agg(F.count("*").alias("crossing"))
-    maps = stored(maps.join(counts, "class").withColumn("lone", F.col("region") - F.col("crossing")), "maps")
-    hot = mixed.where(_is_in(F.col("class"), _strong(maps, percent))).select("h")
-    buckets = mixed.where(_is_in(F.col("h"), hot))
-    sizes = buckets.groupBy("h", "component").agg(F.count("*").alias("size"))
-    major = sizes.groupBy("h").agg(F.max(F.struct("size", "component")).alias("major"))
-    minor = buckets.join(major, "h").where(F.col("component") != F.col("major.component"))
-    side = lambda rows, name: rows.select(
-        "h", F.col("class").alias(name), F.col("n").alias(f"{name}n"), F.col("component").alias(f"{name}c"), *(F.col(f"m{i}").alias(f"{name}{i}") for i in range(BUCKET_LONGS))
-    )
-    fitting = F.lit(100) * F.least("cn", "dn") >= F.lit(percent) * F.greatest("cn", "dn")
-    near = _near(_apart("c", "d", BUCKET_LONGS), "cn", "dn", percent)
-    pairs = _ordered(side(minor, "c").join(side(buckets, "d"), "h").where((F.col("cc") != F.col("dc")) & fitting & near), percent)
-    return _plausible(pairs, maps, percent)
-
-
-def _verified(pairs: DataFrame, text: DataFrame, size: int, percent: int) -> DataFrame:
-    """The links among ``pairs``; only the sets of their classes are read."""
-    spark = pairs.sparkSession
-    classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = spark.sparkContext.broadcast(_class_map(classes))
-    segments = text.mapInArrow(_segments(size, wanted), "class long, segment int, grams array<long>")
-    segments = stored(segments.dropDuplicates(["class", "segment"]), "segments")
-    return stored(_linked(pairs, segments, percent).select("a", "b"), "found")
+    # in the order of n-grams: whoever meets here and met before may link by what is known there too
+    before = Window.partitionBy("class").orderBy(F.desc("top"), "h")
+    rows = mixed.withColumn("before", F.array(*(F.lag("h", i).over(before) for i in range(1, BEFORE + 1))))
+    rows = rows.join(maps.select("class", *few), "class")
+    sizes = mixed.groupBy("h", "component").agg(F.count("*").alias("size"))
+    major = sizes.groupBy("h").agg(F.max(F.struct("size", "component"))["component"].alias("major"))
+    rows = rows.join(major, "h")
+    more = ["before", *(f"m{i}" for i in range(BUCKET_LONGS))]
+    c, d = _side(rows.where("component != major"), "c", *more), _side(rows.withColumn("is_major", F.col("component") == F.col("major")), "d", "is_major", *more)
+    once = F.col("dis_major") | (F.col("cc") < F.col("dc"))
+    near = _near(_apart("cm", "dm", BUCKET_LONGS), "cn", "dn", percent)
+    # nulls are no n-grams: a pair that has met before was formed there
+    met = F.coalesce(F.arrays_overlap("cbefore", "dbefore"), F.lit(False))
+    return _plausible(_ordered(c.join(d, (c["h"] == d["h"]) & (F.col("cc") != F.col("dc")) & once & _may_link(percent) & near & ~met)), maps, percent)
 
 
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -495,8 +589,12 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
 def _classes_and_links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows ``(doc_id, n_shingles, class)``, and links between classes that connect all that are similar."""
     spark = docs.sparkSession
-    first = stored(docs.mapInArrow(_classes(size), "kind byte, id long, n int, class long, map array<long>"), "classes")
-    rows = first.where("kind = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class"))
+    first = stored(docs.mapInArrow(_classes(size), "kind byte, id long, n int, class long, second long"), "classes")
+    # of 1e11 sets a few hundred pairs share 64 bits, as expected
+    clashing = first.where("kind = 0 AND n > 0").groupBy("class").agg(F.min("second").alias("lo"), F.max("second").alias("hi")).where("lo != hi")
+    clashing = frozenset(r["class"] for r in clashing.select("class").collect())
+    own = F.when(F.col("class").isin(list(clashing)), F.col("second")).otherwise(F.col("class")) if clashing else F.col("class")
+    rows = first.where("kind = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, own).alias("class"))
 
     often = first.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(FREQUENT).toPandas()
     often = often.assign(gram=often["id"].to_numpy(np.int64).view(np.uint64)).sort_values("gram")
@@ -505,22 +603,45 @@ def _classes_and_links(docs: DataFrame, size: int, percent: int) -> tuple[DataFr
     fragments = 8 + total * (100 - percent) // 100 // FRAGMENT_ENTRIES
 
     text = docs.select("text")
-    entries = text.mapInArrow(_entries(size, percent, frequent, fragments), "fragment int, entries binary")
+    entries = text.mapInArrow(_entries(size, percent, frequent, clashing, fragments), "fragment int, entries binary")
     shared = entries.groupBy("fragment").applyInArrow(_buckets(percent), "fragment int, entries binary, class long, n int, region int, shared int")
     shared = stored(shared, "shared")
-    lone = shared.where("entries IS NULL").groupBy("class").agg(F.max("n").alias("n"), F.max("region").alias("region"), (F.max("region") - F.sum("shared")).alias("lone"))
-    strong = spark.sparkContext.broadcast(_class_map(_strong(lone, percent)))
+    lone = shared.where("entries IS NULL").groupBy("class").agg(F.max("n").alias("n"), (F.max("region") - F.sum("shared")).alias("lone"))
+    use = stored(lone.select("class", (F.col("n") - F.col("lone")).cast("int").alias("u"), "n"), "use")
+    # classes that can be the smaller one of a similar pair
+    strong = spark.sparkContext.broadcast(_class_map(use.where(F.lit(100 + percent) * F.col("u") >= F.lit(2 * percent) * F.col("n").cast("long")).select("class")))
     with small_batches(spark, 8):
-        buckets = shared.where("entries IS NOT NULL").select("fragment", "entries").mapInArrow(_strong_buckets(percent, strong), "h long, class long, n int")
-        buckets = stored(buckets, "buckets")
-    maps = first.where("kind = 0 AND n > 0").select("class", "map").dropDuplicates(["class"])
-    maps = stored(maps.join(buckets.select("class").distinct(), "class", "left_semi").join(lone, "class"), "maps")
-
+        buckets = shared.where("entries IS NOT NULL").select("fragment", "entries").mapInArrow(_strong_buckets(percent, strong), "h long, class long, n int, top int")
+        buckets = stored(buckets.join(use.select("class", "u"), "class"), "buckets")
+    release(shared, use)
+    wanted = spark.sparkContext.broadcast(_class_map(buckets.select("class").distinct()))
+    sets = stored(text.mapInArrow(_sets(size, wanted, clashing), _SET).dropDuplicates(["class", "fragment"]), "sets")
+    maps = sets.where("map IS NOT NULL").select("class", "map")
+
+    links, tried = [], []
     # a set of n has n (100 - percent) / 100 n-grams in the region, evenly spread by hash
-    some = buckets.where(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") * F.col("n") < float((PIVOT_NGRAMS << 32) * 100 // (100 - percent)))
-    pairs = reduce(DataFrame.unionByName, (_pivot_pairs(some, turn, percent) for turn in range(PIVOTS))).distinct()
-    tried = stored(_plausible(pairs, maps, percent), "pairs")
-    links = _verified(tried, text, size, percent)
-    pairs = _crossing_pairs(buckets, links, maps, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    pairs = stored(pairs, "pairs")
-    return rows, links.unionByName(_verified(pairs, text, size, percent))
+    few = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") * F.col("n") < float((PIVOT_NGRAMS << 32) * 100 // (100 - percent))
+    mixed = _mixed_buckets(buckets, [])
+    release(buckets)
+    for turn in range(ROUNDS):
+        chosen = mixed if turn else mixed.where(few)
+        pairs = reduce(DataFrame.unionByName, (_pivot_pairs(chosen, PIVOTS * turn + i, percent) for i in range(PIVOTS))).distinct()
+        links.append(_tested(_plausible(pairs, maps, percent), tried, sets, percent))
+        left = mixed
+        mixed = _mixed_buckets(left.drop("component"), links)
+        release(left)
+        sizes = mixed.groupBy("h", "component").agg(F.count("*").alias("size")).groupBy("h").agg(F.sum("size").alias("size"), F.sum(F.col("size") * F.col("size")).alias("inner"))
+        n, pairs = sizes.agg(F.sum("size"), F.sum((F.col("size") * F.col("size") - F.col("inner")) / 2)).first()
+        if not n or pairs <= CROSSING * n or links[-1].count() < JOINED * mixed.select("class").distinct().count():
+            break
+    links.append(_tested(_crossing_pairs(mixed, maps, percent), tried, sets, percent))
+    release(mixed, sets, *tried)
+    return rows, reduce(DataFrame.unionByName, links)
+
+
+def _tested(pairs: DataFrame, tried: list[DataFrame], sets: DataFrame, percent: int) -> DataFrame:
+    """The links among pairs not in ``tried``, which then has them too."""
+    for before in tried:
+        pairs = pairs.join(before.select("a", "b"), ["a", "b"], "left_anti")
+    tried.append(stored(pairs, "pairs"))
+    return _verified(tried[-1], sets, percent)

@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from tenureline.sources.publish import fresh_path, remove, stage_at
 
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a local master may do without it, a cluster may not."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+#: Where tables that were stored and not yet released lie.
+_PLACES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet and read back: its rows are fixed and its lineage ends here."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written as Parquet and read back: its rows are fixed and its lineage ends here.
+
+    The files go with ``release``, or with an enclosing ``publish.scratch``.
+    """
+    path = fresh_path(df.sparkSession, f"llm-{name}")
+    out = stage_at(df, path)
+    _PLACES[out] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more; others are left alone."""
+    for df in tables:
+        if path := _PLACES.pop(df, None):
+            remove(df.sparkSession, path)
