@@ -65,6 +65,8 @@ PIVOTS, PIVOT_NGRAMS, ROUNDS = 2, 16, 8
 CROSSING, JOINED = 2, 0.02
 #: n-grams before the shared one in which a pair may have met already.
 BEFORE = 4
+#: Copies of a set that may be stored, and plausible partners of a class that are tried first.
+COPIES, NEAREST = 8, 2
 #: Bits of a class's first digest.
 DIGEST_BITS = 64
 #: Classes that a task remembers to have seen.
@@ -396,16 +398,16 @@ def _class_map(classes: DataFrame) -> np.ndarray:
     return out
 
 
-_SET = "class long, fragment int, grams binary, map array<long>"
+_SET = "class long, fragment int, grams binary, map array<long>, copied boolean"
 
 
-def _sets(size: int, wanted, clashing: frozenset[int]):
+def _sets(size: int, wanted, copied, clashing: frozenset[int]):
     """Task: the sets of wanted classes, cut into fragments of the order; the first one of a class
-    is never missing and carries its parity map."""
+    is never missing and carries its parity map. Marked are classes of many copies."""
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=["class", "fragment", "grams", "map"])
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.bool_()]
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=["class", "fragment", "grams", "map", "copied"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, sets, seen = wanted.value, kept("ngrams", size, lambda: NgramSets(size)), _Seen()
@@ -417,10 +419,11 @@ def _sets(size: int, wanted, clashing: frozenset[int]):
                 own = _class(grams, clashing)
                 if not _marked(bits, np.array([own], np.int64))[0] or not seen.new(own):
                     continue
+                many = bool(_marked(copied.value, np.array([own], np.int64))[0])
                 cuts = np.searchsorted((grams >> np.uint64(32)) * np.uint64(FRAGMENTS) >> np.uint64(32), np.arange(FRAGMENTS + 1).astype(np.uint64))
                 for i in range(FRAGMENTS):
                     if not i or cuts[i] < cuts[i + 1]:
-                        rows.append((own, i, grams[cuts[i] : cuts[i + 1]].tobytes(), None if i else _parity(grams)))
+                        rows.append((own, i, grams[cuts[i] : cuts[i + 1]].tobytes(), None if i else _parity(grams), many))
                 held += len(grams)
                 if held >= BLOCK_ENTRIES:
                     yield batch_of(rows)
@@ -438,13 +441,11 @@ def _overlaps(table: pa.Table) -> pa.Table:
     own, pairs = table.filter(pa.array(is_set)), table.filter(pa.array(~is_set))
     names = ["a", "b", "na", "nb", "shared"]
     a, b = (pairs.column(x).to_numpy() for x in ("a", "b"))
-    classes = own.column("a").to_numpy()
-    order = np.argsort(classes)
+    classes, order = np.unique(own.column("a").to_numpy(), return_index=True)
     grams = [np.frombuffer(own.column("grams")[int(i)].as_buffer(), np.uint64) for i in order]
     lengths = np.array([len(x) for x in grams], np.int64)
     first = np.cumsum(lengths) - lengths
     ids = np.unique(np.concatenate(grams), return_inverse=True)[1] if len(grams) else np.zeros(0, np.int64)
-    classes = classes[order]
     shared = np.zeros(len(a), np.int64)
     known = lambda x: np.searchsorted(classes, x).clip(max=max(len(classes) - 1, 0))
     at_a, at_b = known(a), known(b)
@@ -515,10 +516,11 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _plausible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """Pairs that the full parity maps allow."""
+    """Pairs that the full parity maps allow, with the bits in which these differ."""
     of = lambda key, name: maps.select(F.col("class").alias(key), *(F.col("map")[BUCKET_LONGS + i].alias(f"{name}{i}") for i in range(MAP_LONGS)))
     both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
-    return both.where(_near(_apart("x", "y", MAP_LONGS), "na", "nb", percent)).select("a", "b", "na", "nb")
+    both = both.select("a", "b", "na", "nb", _apart("x", "y", MAP_LONGS).alias("apart"))
+    return both.where(_near(F.col("apart"), "na", "nb", percent))
 
 
 def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
@@ -615,17 +617,19 @@ def _classes_and_links(docs: DataFrame, size: int, percent: int) -> tuple[DataFr
         buckets = stored(buckets.join(use.select("class", "u"), "class"), "buckets")
     release(shared, use)
     wanted = spark.sparkContext.broadcast(_class_map(buckets.select("class").distinct()))
-    sets = stored(text.mapInArrow(_sets(size, wanted, clashing), _SET).dropDuplicates(["class", "fragment"]), "sets")
-    maps = sets.where("map IS NOT NULL").select("class", "map")
+    copies = rows.where("class IS NOT NULL").groupBy("class").agg(F.count("*").alias("copies"))
+    copied = spark.sparkContext.broadcast(_class_map(copies.where(F.col("copies") > COPIES).select("class")))
+    # only sets of many copies move to become one: of the others a few may stay
+    found = stored(text.mapInArrow(_sets(size, wanted, copied, clashing), _SET), "sets")
+    sets = found.where("NOT copied").unionByName(found.where("copied").dropDuplicates(["class", "fragment"])).drop("copied")
+    maps = stored(sets.where("map IS NOT NULL").select("class", "map").dropDuplicates(["class"]), "maps")
 
     links, tried = [], []
     # a set of n has n (100 - percent) / 100 n-grams in the region, evenly spread by hash
     few = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") * F.col("n") < float((PIVOT_NGRAMS << 32) * 100 // (100 - percent))
-    mixed = _mixed_buckets(buckets, [])
-    release(buckets)
+    mixed = _mixed_buckets(buckets.where(few), [])
     for turn in range(ROUNDS):
-        chosen = mixed if turn else mixed.where(few)
-        pairs = reduce(DataFrame.unionByName, (_pivot_pairs(chosen, PIVOTS * turn + i, percent) for i in range(PIVOTS))).distinct()
+        pairs = reduce(DataFrame.unionByName, (_pivot_pairs(mixed, PIVOTS * turn + i, percent) for i in range(PIVOTS))).distinct()
         links.append(_tested(_plausible(pairs, maps, percent), tried, sets, percent))
         left = mixed
         mixed = _mixed_buckets(left.drop("component"), links)
@@ -634,14 +638,34 @@ def _classes_and_links(docs: DataFrame, size: int, percent: int) -> tuple[DataFr
         n, pairs = sizes.agg(F.sum("size"), F.sum((F.col("size") * F.col("size") - F.col("inner")) / 2)).first()
         if not n or pairs <= CROSSING * n or links[-1].count() < JOINED * mixed.select("class").distinct().count():
             break
-    links.append(_tested(_crossing_pairs(mixed, maps, percent), tried, sets, percent))
-    release(mixed, sets, *tried)
+    release(mixed)
+    mixed = _mixed_buckets(buckets, links)
+    release(buckets)
+    pairs = stored(_untried(_crossing_pairs(mixed, maps, percent), tried), "crossing")
+    release(mixed, maps, *tried)
+    nearest = NEAREST
+    while not pairs.isEmpty():
+        # the most alike first: what they join needs no other pair
+        by_class = [F.row_number().over(Window.partitionBy(x).orderBy("apart", "a", "b")) for x in ("a", "b")]
+        ranked = pairs.withColumn("of_a", by_class[0]).withColumn("of_b", by_class[1])
+        chosen = stored(ranked.where(F.least("of_a", "of_b") <= nearest).select(pairs.columns), "pairs")
+        links.append(_verified(chosen, sets, percent))
+        labels = connected_components(reduce(DataFrame.unionByName, links))
+        of = lambda key: labels.select(F.col("node").alias(key), F.col("component").alias(f"{key}_in"))
+        rest = _untried(pairs, [chosen]).join(of("a"), "a", "left").join(of("b"), "b", "left")
+        rest = rest.where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select(pairs.columns)
+        before, pairs = pairs, stored(rest, "crossing")
+        release(before, chosen, labels)
+        nearest *= 8
+    release(pairs, found)
     return rows, reduce(DataFrame.unionByName, links)
 
 
+def _untried(pairs: DataFrame, tried: list[DataFrame]) -> DataFrame:
+    return reduce(lambda rest, before: rest.join(before.select("a", "b"), ["a", "b"], "left_anti"), tried, pairs)
+
+
 def _tested(pairs: DataFrame, tried: list[DataFrame], sets: DataFrame, percent: int) -> DataFrame:
     """The links among pairs not in ``tried``, which then has them too."""
-    for before in tried:
-        pairs = pairs.join(before.select("a", "b"), ["a", "b"], "left_anti")
-    tried.append(stored(pairs, "pairs"))
+    tried.append(stored(_untried(pairs, tried), "pairs"))
     return _verified(tried[-1], sets, percent)
