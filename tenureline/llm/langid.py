@@ -40,10 +40,10 @@ class Letters:
     SPACE = 1
 
     def __init__(self):
-        points = np.arange(0x110000)
-        letter = np.array([chr(i).isalpha() for i in range(0x110000)])
+        points = np.arange(0x110000, dtype=np.int32)
+        letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
         # twelve bits, distinct for the first 4093 code points
-        self.table = np.where(letter, 2 + points % ((1 << BITS) - 3), 0).astype(np.int64)
+        self.table = np.where(letter, 2 + points % ((1 << BITS) - 3), 0).astype(np.uint16)
 
     def codes(self, text: str) -> np.ndarray:
         codes = self.table[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")]
@@ -56,8 +56,8 @@ class Letters:
         """Keys of the n-gram that ends at each character, the text padded with spaces."""
         codes = self.codes(text)
         if not len(codes):
-            return codes
-        padded = np.concatenate([np.full(ORDER - 1, self.SPACE), np.where(codes == 0, self.SPACE, codes)])
+            return codes.astype(np.int64)
+        padded = np.concatenate([np.full(ORDER - 1, self.SPACE), np.where(codes == 0, self.SPACE, codes)]).astype(np.int64)
         key = padded[: len(codes)]
         for i in range(1, ORDER):
             key = (key << BITS) | padded[i : i + len(codes)]

@@ -51,7 +51,7 @@ RECURRENT = 4
 #: Prefix entries of a fragment, entries packed at once, and bytes of text hashed at once.
 FRAGMENT_ENTRIES, BLOCK_ENTRIES, SLICE_BYTES = 500_000, 250_000, 500_000
 #: Fragments that candidates' sets are cut into, and n-grams of the sets of a block of pairs.
-FRAGMENTS, PAIR_NGRAMS = 8, 16_000_000
+FRAGMENTS, PAIR_NGRAMS = 8, 8_000_000
 #: Longs of a parity map, and those used within buckets.
 MAP_LONGS, BUCKET_LONGS = 8, 4
 #: Bits per class of a map of classes, the most such a map has, and those of one of its chunks: a
@@ -75,6 +75,17 @@ SEEN = 100_000
 #: the largest set that may share it as its first n-gram. Within a fragment the low half of the
 #: n-gram's hash is kept: n-grams taken for one another add candidates, and lose none.
 _ENTRY = np.dtype([("h", "<u4"), ("c", "<i8"), ("n", "<i4"), ("r", "<i4"), ("t", "<i4")])
+
+
+def _planes(entries: np.ndarray) -> bytes:
+    """Entries as planes of bytes: those of small numbers are empty and take no room in a shuffle."""
+    return entries.view(np.uint8).reshape(len(entries), _ENTRY.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(_ENTRY.itemsize, -1).T).view(_ENTRY).ravel()
+
+
 #: Texts sent to Python at once.
 TEXT_ROWS = 1000
 #: Entries of one stored row of buckets.
@@ -265,7 +276,7 @@ def _entries(size: int, percent: int, frequent, clashing: frozenset[int], fragme
         cuts = np.flatnonzero(np.diff(place)) + 1
         parts = np.split(out, cuts)
         return pa.RecordBatch.from_arrays(
-            [pa.array(place[np.concatenate([[0], cuts])].astype(np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())],
+            [pa.array(place[np.concatenate([[0], cuts])].astype(np.int32)), pa.array([_planes(x) for x in parts], pa.binary())],
             names=["fragment", "entries"],
         )
 
@@ -308,7 +319,7 @@ def _buckets(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         fragment = table.column("fragment")[0].as_py()
-        entries = np.concatenate([np.frombuffer(x.as_buffer(), _ENTRY) for x in table.column("entries")])
+        entries = np.concatenate([_from_planes(x.as_buffer()) for x in table.column("entries")])
         entries = entries[np.lexsort((entries["c"], entries["n"], entries["h"]))]
         again = (entries["h"][1:] == entries["h"][:-1]) & (entries["c"][1:] == entries["c"][:-1])
         entries = entries[np.concatenate([[True], ~again])]
@@ -325,7 +336,7 @@ def _buckets(percent: int):
         h = entries["h"]
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[: len(h)])
         cuts = starts[np.searchsorted(starts, np.arange(CHUNK_ENTRIES, len(h), CHUNK_ENTRIES), "right") - 1] if len(h) else starts
-        chunks = [x.tobytes() for x in np.split(entries, np.unique(cuts[cuts > 0])) if len(x)]
+        chunks = [_planes(x) for x in np.split(entries, np.unique(cuts[cuts > 0])) if len(x)]
         k = len(chunks)
         columns = [
             pa.array(np.full(k + len(c), fragment, np.int32)),
@@ -347,7 +358,7 @@ def _strong_buckets(percent: int, strong):
         bits = strong.value
         for batch in batches:
             for fragment, chunk in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x = np.frombuffer(chunk, _ENTRY)
+                x = _from_planes(chunk)
                 if fragment >= 0:
                     is_strong = _marked(bits, np.ascontiguousarray(x["c"]))
                     # by size within a bucket: the largest strong class up to each entry
@@ -398,6 +409,12 @@ def _class_map(classes: DataFrame) -> np.ndarray:
     return out
 
 
+def _is_in(key: Column, classes: DataFrame) -> Column:
+    """Whether a class may be among ``classes``."""
+    held = classes.sparkSession.sparkContext.broadcast(_class_map(classes))
+    return F.arrow_udf(lambda x: pa.array(_marked(held.value, x.to_numpy().astype(np.int64))), "boolean")(key)
+
+
 _SET = "class long, fragment int, grams binary, map array<long>, copied boolean"
 
 
@@ -480,7 +497,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     blocked = stored(weighed.join(weights, "cluster").select("a", "b", "na", "nb", block.alias("block")), "blocked")
     classes = blocked.select("block", F.explode(F.array("a", "b")).alias("class")).distinct()
     nothing = lambda kind: F.lit(None).cast(kind)
-    held = sets.select("class", "fragment", "grams").join(classes, "class")
+    # sets of other classes do not move
+    held = sets.where(_is_in(F.col("class"), classes.select("class"))).select("class", "fragment", "grams").join(classes, "class")
     held = held.select("block", "fragment", F.col("class").alias("a"), nothing("long").alias("b"), nothing("int").alias("na"), nothing("int").alias("nb"), "grams")
     asked = blocked.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)))).withColumn("grams", nothing("binary"))
     partial = held.unionByName(asked).groupBy("block", "fragment").applyInArrow(_overlaps, "a long, b long, na int, nb int, shared long")
@@ -501,11 +519,14 @@ def _near(apart: Column, m: str, n: str, percent: int) -> Column:
 
 
 def _may_link(percent: int) -> Column:
-    """What sizes, the n-grams that others have too, and places in the order allow of c and d."""
-    both = F.col("cn").cast("long") + F.col("dn")
-    enough = F.lit(100 + percent) * F.least("cu", "du").cast("long") >= F.lit(percent) * both
+    """What sizes and places in the order allow of c and d."""
     fitting = F.lit(100) * F.least("cn", "dn") >= F.lit(percent) * F.greatest("cn", "dn")
-    return fitting & enough & (F.col("cn") <= F.col("dtop")) & (F.col("dn") <= F.col("ctop"))
+    return fitting & (F.col("cn") <= F.col("dtop")) & (F.col("dn") <= F.col("ctop"))
+
+
+def _enough(u: str, v: str, m: str, n: str, percent: int) -> Column:
+    """n-grams that others have too bound the overlap."""
+    return F.lit(100 + percent) * F.least(u, v).cast("long") >= F.lit(percent) * (F.col(m).cast("long") + F.col(n))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -516,15 +537,15 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _plausible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """Pairs that the full parity maps allow, with the bits in which these differ."""
-    of = lambda key, name: maps.select(F.col("class").alias(key), *(F.col("map")[BUCKET_LONGS + i].alias(f"{name}{i}") for i in range(MAP_LONGS)))
+    """Pairs that n-grams without partner and full parity maps allow, with the bits in which these differ."""
+    of = lambda key, name: maps.select(F.col("class").alias(key), F.col("u").alias(f"{name}u"), *(F.col("map")[BUCKET_LONGS + i].alias(f"{name}{i}") for i in range(MAP_LONGS)))
     both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
-    both = both.select("a", "b", "na", "nb", _apart("x", "y", MAP_LONGS).alias("apart"))
+    both = both.where(_enough("xu", "yu", "na", "nb", percent)).select("a", "b", "na", "nb", _apart("x", "y", MAP_LONGS).alias("apart"))
     return both.where(_near(F.col("apart"), "na", "nb", percent))
 
 
 def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
-    columns = {"class": "", "n": "n", "top": "top", "u": "u", "component": "c"} | {x: x for x in more}
+    columns = {"class": "", "n": "n", "top": "top", "component": "c"} | {x: x for x in more}
     return rows.select("h", *(F.col(x).alias(f"{name}{short}") for x, short in columns.items()))
 
 
@@ -532,7 +553,7 @@ def _pivot_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     """Members of each bucket with its pivot, where components differ; one global priority keeps
     the pairs few. Every other turn draws a component first, so that small ones get pivots too."""
     drawn = F.col("component") if turn % 2 else F.col("class")
-    priority = F.struct(F.xxhash64(drawn, F.lit(turn)).alias("priority"), F.xxhash64("class").alias("then"), "class", "n", "top", "u", "component")
+    priority = F.struct(F.xxhash64(drawn, F.lit(turn)).alias("priority"), F.xxhash64("class").alias("then"), "class", "n", "top", "component")
     pivots = rows.groupBy("h").agg(F.min(priority).alias("pivot")).select("h", "pivot.*").drop("priority", "then")
     pairs = _side(rows, "c").join(_side(pivots, "d"), "h").where((F.col("cc") != F.col("dc")) & _may_link(percent))
     return _ordered(pairs)
@@ -556,17 +577,17 @@ def _crossing_pairs(mixed: DataFrame, maps: DataFrame, percent: int) -> DataFram
     # in the order of n-grams: whoever meets here and met before may link by what is known there too
     before = Window.partitionBy("class").orderBy(F.desc("top"), "h")
     rows = mixed.withColumn("before", F.array(*(F.lag("h", i).over(before) for i in range(1, BEFORE + 1))))
-    rows = rows.join(maps.select("class", *few), "class")
+    rows = rows.join(maps.select("class", "u", *few), "class")
     sizes = mixed.groupBy("h", "component").agg(F.count("*").alias("size"))
     major = sizes.groupBy("h").agg(F.max(F.struct("size", "component"))["component"].alias("major"))
     rows = rows.join(major, "h")
-    more = ["before", *(f"m{i}" for i in range(BUCKET_LONGS))]
+    more = ["before", "u", *(f"m{i}" for i in range(BUCKET_LONGS))]
     c, d = _side(rows.where("component != major"), "c", *more), _side(rows.withColumn("is_major", F.col("component") == F.col("major")), "d", "is_major", *more)
     once = F.col("dis_major") | (F.col("cc") < F.col("dc"))
     near = _near(_apart("cm", "dm", BUCKET_LONGS), "cn", "dn", percent)
     # nulls are no n-grams: a pair that has met before was formed there
     met = F.coalesce(F.arrays_overlap("cbefore", "dbefore"), F.lit(False))
-    return _plausible(_ordered(c.join(d, (c["h"] == d["h"]) & (F.col("cc") != F.col("dc")) & once & _may_link(percent) & near & ~met)), maps, percent)
+    return _plausible(_ordered(c.join(d, (c["h"] == d["h"]) & (F.col("cc") != F.col("dc")) & once & _may_link(percent) & _enough("cu", "du", "cn", "dn", percent) & near & ~met)), maps, percent)
 
 
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -614,15 +635,17 @@ def _classes_and_links(docs: DataFrame, size: int, percent: int) -> tuple[DataFr
     strong = spark.sparkContext.broadcast(_class_map(use.where(F.lit(100 + percent) * F.col("u") >= F.lit(2 * percent) * F.col("n").cast("long")).select("class")))
     with small_batches(spark, 8):
         buckets = shared.where("entries IS NOT NULL").select("fragment", "entries").mapInArrow(_strong_buckets(percent, strong), "h long, class long, n int, top int")
-        buckets = stored(buckets.join(use.select("class", "u"), "class"), "buckets")
-    release(shared, use)
+        buckets = stored(buckets, "buckets")
+    release(shared)
     wanted = spark.sparkContext.broadcast(_class_map(buckets.select("class").distinct()))
     copies = rows.where("class IS NOT NULL").groupBy("class").agg(F.count("*").alias("copies"))
     copied = spark.sparkContext.broadcast(_class_map(copies.where(F.col("copies") > COPIES).select("class")))
     # only sets of many copies move to become one: of the others a few may stay
     found = stored(text.mapInArrow(_sets(size, wanted, copied, clashing), _SET), "sets")
-    sets = found.where("NOT copied").unionByName(found.where("copied").dropDuplicates(["class", "fragment"])).drop("copied")
-    maps = stored(sets.where("map IS NOT NULL").select("class", "map").dropDuplicates(["class"]), "maps")
+    once = stored(found.where("copied").dropDuplicates(["class", "fragment"]), "sets")
+    sets = found.where("NOT copied").unionByName(once).drop("copied")
+    maps = stored(sets.where("map IS NOT NULL").select("class", "map").dropDuplicates(["class"]).join(use.select("class", "u"), "class"), "maps")
+    release(use)
 
     links, tried = [], []
     # a set of n has n (100 - percent) / 100 n-grams in the region, evenly spread by hash
@@ -657,7 +680,7 @@ def _classes_and_links(docs: DataFrame, size: int, percent: int) -> tuple[DataFr
         before, pairs = pairs, stored(rest, "crossing")
         release(before, chosen, labels)
         nearest *= 8
-    release(pairs, found)
+    release(pairs, found, once)
     return rows, reduce(DataFrame.unionByName, links)
 
 
