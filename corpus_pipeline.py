@@ -8,24 +8,18 @@ from pyspark.sql import functions as F
 
 from tenureline.llm import langid, ngram_join, packing, pii
 from tenureline.llm.staging import stored
+from tenureline.sources.publish import fresh_path, remove, scratch, stage_at
 
-#: Rows sent to Python at once: texts are long, and the tasks of an executor share its memory.
-ARROW_ROWS = 500
 #: Words whose ids a worker remembers: fewer than alone, as workers hold memory of earlier stages.
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 60_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; where ``lang`` is null, the predicted one fills it.
 
     Texts that are null, have no letter, or are nearer to noise than to any language go.
     """
-    _small_batches(spark)
     found = langid.identified(docs, docs.where(~langid.held_out() & F.col("doc_id").isNotNull()))
     return found.where("NOT rejected").withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
 
@@ -37,7 +31,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     so repeated rows and rows without doc_id are documents like any other; documents without words
     are all kept.
     """
-    _small_batches(spark)
     placed = stored(docs.withColumn("place", F.monotonically_increasing_id()), "placed")
     groups = ngram_join.similar_documents(placed.select(F.col("place").alias("doc_id"), "text"), size=5, percent=75)
     rows = groups.join(placed.select(F.col("place").alias("doc_id"), F.col("doc_id").alias("own_id")), "doc_id")
@@ -47,14 +40,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every span of personal data replaced by its kind; ``n_chars`` follows the new text."""
-    _small_batches(spark)
+    """Every span of personal data replaced by its kind; ``n_chars`` follows the new text.
+
+    A null text stays null, with null ``n_chars``; an empty one, and one without spans, stay as they
+    are; repeated rows and rows without doc_id are treated alike; an empty table stays empty.
+    """
     return docs.withColumn("text", pii.without_spans()).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents, with their token ids and their places in sequences of 2048 tokens."""
-    _small_batches(spark)
+    """Pieces of documents, with their token ids and their places in sequences of 2048 tokens.
+
+    A null or empty text has the end token alone; longer documents are cut; repeated rows are
+    packed like any others; a null doc_id stays null; an empty table gives no pieces.
+    """
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.tokenised_pieces(docs, path, capacity=2048, end_id=0, remembered=REMEMBERED_WORDS)
     return packing.packed(pieces, capacity=2048)
@@ -72,7 +71,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The last stage's rows. What a stage stores for itself goes when its result is written, and
+    that result when the next one is."""
+    docs, held = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        path = fresh_path(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            docs = stage_at(stage(spark, docs, sf_dir), path)
+        if held:
+            remove(spark, held)
+        held = path
+    return docs
