@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,32 +47,64 @@ def relationships(
     return keys.join(parents, "from_field", "left_anti")
 
 
-def counts_by_key(sources: Sequence[tuple[DataFrame, str, Mapping[str, Column]]]) -> DataFrame:
-    """Rows per value of a key that many tables share, one column per named condition.
+class Entry(NamedTuple):
+    """What rows of a table add to a shared count: ``source`` under a value of ``kind``.
 
-    All tables are counted in one shuffle of counts combined map-side, which then answers
-    uniqueness and references between any of them. Null is a value of its own.
+    Rows for which ``when`` does not hold add nothing.
     """
-    names = [name for _, _, conditions in sources for name in conditions]
-    parts = [
-        df.select(
-            F.col(column).alias("key_value"),
-            *[conditions.get(name, F.lit(False)).alias(name) for name in names],
-        )
-        for df, column, conditions in sources
-    ]
-    rows = reduce(DataFrame.unionByName, parts)
-    return rows.groupBy("key_value").agg(*[F.count_if(name).alias(name) for name in names])
+
+    kind: str
+    value: Column
+    source: str
+    when: Column | None = None
+
+
+def counts_of_entries(tables: Sequence[tuple[DataFrame, Sequence[Entry]]]) -> DataFrame:
+    """Entries per kind and value, one column per source: ``(kind, key_value, <sources>)``.
+
+    Every table is scanned once, whatever it is checked for, and all are counted in one shuffle of
+    counts combined map-side, which then answers row checks, uniqueness and references between any
+    of them. Values are compared as text; null is a value of its own.
+    """
+    sources = list(dict.fromkeys(entry.source for _, entries in tables for entry in entries))
+    parts = []
+    for df, entries in tables:
+        rows = []
+        for entry in entries:
+            row = F.struct(
+                F.lit(entry.kind).alias("kind"),
+                entry.value.cast("string").alias("key_value"),
+                F.lit(sources.index(entry.source)).alias("source"),
+            )
+            rows.append(row if entry.when is None else F.when(entry.when, row))
+        entered = df.select(F.explode(F.array(*rows)).alias("entry"))
+        parts.append(entered.where("entry IS NOT NULL").select("entry.*"))
+    counts = [F.count_if(F.col("source") == at).alias(name) for at, name in enumerate(sources)]
+    return reduce(DataFrame.unionByName, parts).groupBy("kind", "key_value").agg(*counts)
+
+
+def _of(kind: str) -> Column:
+    return F.col("kind") == kind
+
+
+def entered(kind: str, source: str) -> Column:
+    """How many entries of ``source`` there are under ``kind``."""
+    return F.coalesce(F.sum(F.when(_of(kind), F.col(source))), F.lit(0))
+
+
+def values(kind: str, source: str, above: int = 0) -> Column:
+    """How many values have more than ``above`` entries of ``source``, null among them."""
+    return F.count_if(_of(kind) & (F.col(source) > above))
 
 
-def repeated(count: str) -> Column:
-    """Of ``counts_by_key``: how many values but null occur more than once."""
-    return F.count_if(F.col("key_value").isNotNull() & (F.col(count) > 1))
+def repeated(kind: str, source: str) -> Column:
+    """How many values but null have more than one entry of ``source``."""
+    return F.count_if(_of(kind) & F.col("key_value").isNotNull() & (F.col(source) > 1))
 
 
-def orphans(child: str, parent: str) -> Column:
-    """Of ``counts_by_key``: how many child rows have a value that no parent has; null has none."""
-    lost = F.col("key_value").isNotNull() & (F.col(parent) == 0)
+def orphans(kind: str, child: str, parent: str) -> Column:
+    """How many entries of ``child`` have a value that no ``parent`` has; null has none."""
+    lost = _of(kind) & F.col("key_value").isNotNull() & (F.col(parent) == 0)
     return F.coalesce(F.sum(F.when(lost, F.col(child))), F.lit(0))
 
 
@@ -140,7 +173,7 @@ def overlapping_pairs(
     )
     ranking = ["first_day", "last_day", *(f"order_{at}" for at in range(len(order))), "end_date"]
     light, dense = route_by_density(intervals, key, dense_rows)
-    parts = [_pairs_in_task(light, key, ranking)]
+    parts = [] if light is None else [_pairs_in_task(light, key, ranking)]
     if dense is not None:
         parts.extend(_pairs_by_block(dense, key, ranking))
     return reduce(DataFrame.unionByName, parts).select(
@@ -308,7 +341,7 @@ def count_violations(df: DataFrame, predicates: Mapping[str, Column]) -> DataFra
 
 
 def count_by_key(counted: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
-    """Totals over ``counts_by_key``, one row per check."""
+    """Totals over ``counts_of_entries``, one row per check."""
     return as_report(counted.agg(*[total.alias(name) for name, total in totals.items()]))
 
 

@@ -144,9 +144,12 @@ def segment_candidates(
     df: DataFrame, spec: IntervalTable, dense_rows: int = DENSE_ROWS
 ) -> DataFrame:
     """Every segment with every interval of its key that contains it."""
-    light, dense = route_by_density(df.where(F.col(spec.key).isNotNull()), spec.key, dense_rows)
+    has_key = F.col(spec.key).isNotNull()
+    light, dense = route_by_density(df.where(has_key), spec.key, dense_rows, staged=True)
     columns = [spec.key, *SEGMENT, *(c for c in df.columns if c != spec.key)]
-    parts = [_candidates_of_light_keys(light, spec, None).select(columns)]
+    parts = []
+    if light is not None:
+        parts.append(_candidates_of_light_keys(light, spec, None).select(columns))
     if dense is not None:
         segments = atomic_segments(dense, spec.key, spec.start, spec.end)
         blocks = by_covering_block(dense, spec)
@@ -198,15 +201,15 @@ def winning_segments(
     spec: IntervalTable,
     dense_rows: int = DENSE_ROWS,
     partitions: int | None = None,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """The preferred interval of every segment, partitioned by key."""
+    """The preferred interval of every segment, partitioned by key; ``df`` is read once."""
     has_key = F.col(spec.key).isNotNull()
-    counted = None if counted is None else counted.where(has_key)
-    light, dense = route_by_density(df.where(has_key), spec.key, dense_rows, counted)
+    light, dense = route_by_density(df.where(has_key), spec.key, dense_rows, staged=True)
     columns = [spec.key, *SEGMENT, *spec.payload]
-    candidates = _candidates_of_light_keys(light, spec, partitions)
-    parts = [pick_winner(candidates, spec).select(columns)]
+    parts = []
+    if light is not None:
+        candidates = _candidates_of_light_keys(light, spec, partitions)
+        parts.append(pick_winner(candidates, spec).select(columns))
     if dense is not None:
         parts.append(_winners_of_dense_keys(dense, spec, partitions).select(columns))
     return _union(parts)
@@ -258,13 +261,9 @@ def resolve_intervals(
     spec: IntervalTable,
     dense_rows: int = DENSE_ROWS,
     partitions: int | None = None,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Overlapping closed intervals to one non-overlapping timeline per key.
-
-    ``counted`` has the same rows per key and is cheaper to count, see ``route_by_density``.
-    """
-    winners = winning_segments(df, spec, dense_rows, partitions, counted)
+    """Overlapping closed intervals to one non-overlapping timeline per key."""
+    winners = winning_segments(df, spec, dense_rows, partitions)
     marked = island_ids(mark_islands(winners, spec.key, spec.attributes), spec.key)
     return collapse_islands(marked, spec)
 
@@ -273,9 +272,8 @@ def resolve_subscriptions(
     cleaned: DataFrame,
     dense_rows: int = DENSE_ROWS,
     partitions: int | None = None,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
-    timeline = resolve_intervals(cleaned, SUBSCRIPTIONS, dense_rows, partitions, counted)
+    timeline = resolve_intervals(cleaned, SUBSCRIPTIONS, dense_rows, partitions)
     return timeline.select(
         "customer_id",
         "resolved_subscription_id",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,26 @@ from tenureline.functions.dates import (
     month_start,
     months_between,
 )
+from tenureline.operators.summary import (
+    SUMMARY_AGGREGATES,
+    describe_latest,
+    summary_aggregates,
+)
+
+
+class Horizon(NamedTuple):
+    """The day at which open intervals are cut; null when there is nothing billable."""
+
+    day: date | None
+
+
+def horizon_metrics() -> list[Column]:
+    """What a timeline shows of its horizon while it is stored; seeing a row twice changes nothing."""
+    billable = F.col("is_billable")
+    return [
+        F.max(F.when(billable, F.col("resolved_end_date"))).alias("last_end"),
+        F.max(F.when(billable, F.col("resolved_start_date"))).alias("last_start"),
+    ]
 
 
 def billable_intervals(timeline: DataFrame) -> DataFrame:
@@ -54,9 +77,15 @@ def month_windows(spine: DataFrame) -> DataFrame:
     )
 
 
-def apply_horizon(billable: DataFrame, horizon: DataFrame) -> DataFrame:
-    """Close open intervals at the horizon, which is read as a scalar."""
-    horizon_date = horizon.select("dataset_horizon_date").scalar()
+def _horizon_date(horizon: DataFrame | Horizon) -> Column:
+    if isinstance(horizon, Horizon):
+        return F.lit(horizon.day).cast("date")
+    return horizon.select("dataset_horizon_date").scalar()
+
+
+def apply_horizon(billable: DataFrame, horizon: DataFrame | Horizon) -> DataFrame:
+    """Close open intervals at the horizon, which is known or else read as a scalar."""
+    horizon_date = _horizon_date(horizon)
     return billable.select(
         "customer_id",
         "resolved_plan_id",
@@ -153,8 +182,10 @@ def mrr_monthly(timeline: DataFrame) -> DataFrame:
     return monthly_totals(prorated_months(billable, revenue_horizon(billable)))
 
 
-def mrr_monthly_of_resolved(timeline: DataFrame, clustered: bool = False) -> DataFrame:
-    """The same for a timeline without overlaps, which is read three times.
+def mrr_monthly_of_resolved(
+    timeline: DataFrame, clustered: bool = False, horizon: Horizon | None = None
+) -> DataFrame:
+    """The same for a timeline without overlaps, read twice, and once more for an unknown horizon.
 
     A month strictly inside an interval belongs to that interval alone, so it needs
     neither a shuffle nor an aggregation. Only first and last months can be shared:
@@ -162,7 +193,7 @@ def mrr_monthly_of_resolved(timeline: DataFrame, clustered: bool = False) -> Dat
     already), then unfolded and added up in place.
     """
     billable = billable_intervals(timeline)
-    closed = apply_horizon(billable, revenue_horizon(billable))
+    closed = apply_horizon(billable, horizon or revenue_horizon(billable))
     near = closed if clustered else closed.repartition("customer_id")
     shared = monthly_totals(prorate(clip_overlap(edge_months(near))))
     own = prorate(clip_overlap(inner_months(closed))).select(
@@ -187,9 +218,44 @@ def _or_zero(column: str) -> Column:
 
 def dim_customers(customers: DataFrame, summary: DataFrame, fact: DataFrame) -> DataFrame:
     """Every cleaned customer with its current state and lifetime value."""
-    joined = customers.join(summary, "customer_id", "left").join(
-        lifetime_value(fact), "customer_id", "left"
+    return described_customers(customers.join(summary, "customer_id", "left"), lifetime_value(fact))
+
+
+def customer_facts(timeline: DataFrame, plans: DataFrame, horizon: Horizon) -> DataFrame:
+    """Summary and lifetime value per customer of a timeline, shuffled once by customer.
+
+    Each interval gives a row without month, for the summary, and a row per month it earns in.
+    They are added up per customer and month, months are rounded, and then per customer, all in
+    the partitioning by customer.
+    """
+    start, end = F.col("resolved_start_date"), F.coalesce("resolved_end_date", _horizon_date(horizon))
+    months = F.when(
+        F.col("is_billable") & (start <= end), months_between(month_start(start), month_start(end))
+    )
+    month = F.explode(F.concat(F.expr("array(CAST(NULL AS DATE))"), F.coalesce(months, F.expr("CAST(array() AS array<date>)"))))
+    near = timeline.repartition("customer_id").withColumn("effective_end_date", end)
+    rows = near.withColumn("revenue_month", month)
+    active = inclusive_days(
+        F.greatest(start, F.col("revenue_month")),
+        F.least(F.col("effective_end_date"), F.last_day("revenue_month")),
+    )
+    earned = F.col("monthly_cost") * active.cast("double") / days_in_month("revenue_month").cast("double")
+    no_month = F.col("revenue_month").isNull()
+    per_month = rows.groupBy("customer_id", "revenue_month").agg(
+        F.round(F.sum(F.when(~no_month, earned)), 2).alias("mrr_amount"), *summary_aggregates()
     )
+    kept = [
+        F.first(F.when(no_month, F.col(name)), ignorenulls=True).alias(name)
+        for name in SUMMARY_AGGREGATES
+    ]
+    value = F.round(F.sum(F.when(~no_month, F.col("mrr_amount"))), 2).alias("total_lifetime_value")
+    facts = per_month.groupBy("customer_id").agg(value, *kept)
+    return describe_latest(facts, plans).drop("latest", "total_resolved_intervals")
+
+
+def described_customers(customers: DataFrame, facts: DataFrame) -> DataFrame:
+    """Every customer with what ``facts`` has on it, in the columns of the dimension."""
+    joined = customers.join(facts, "customer_id", "left")
     return joined.select(
         "customer_id",
         "customer_name",

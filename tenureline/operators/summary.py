@@ -46,7 +46,23 @@ def _history() -> list[Column]:
     ]
 
 
-def _describe_latest(df: DataFrame, plans: DataFrame) -> DataFrame:
+#: Names of ``summary_aggregates``.
+SUMMARY_AGGREGATES = (
+    "latest",
+    "first_subscription_start_date",
+    "latest_subscription_end_date",
+    "has_ever_billable_subscription",
+    "has_ever_cancelled",
+    "total_resolved_intervals",
+)
+
+
+def summary_aggregates() -> list[Column]:
+    """All that the summary needs of a customer's intervals, for ``describe_latest``."""
+    return [_latest(), *_history()]
+
+
+def describe_latest(df: DataFrame, plans: DataFrame) -> DataFrame:
     """Status always; plan, price and start only while the latest interval is open."""
     is_open = F.col("latest.resolved_end_date").isNull()
 
@@ -69,7 +85,7 @@ def _describe_latest(df: DataFrame, plans: DataFrame) -> DataFrame:
 
 def latest_interval(timeline: DataFrame, plans: DataFrame) -> DataFrame:
     latest = timeline.groupBy("customer_id").agg(_latest())
-    return _describe_latest(latest, plans).select(
+    return describe_latest(latest, plans).select(
         "customer_id",
         "current_subscription_status",
         "current_plan_id",
@@ -85,8 +101,8 @@ def subscription_history(timeline: DataFrame) -> DataFrame:
 
 def customer_subscription_summary(timeline: DataFrame, plans: DataFrame) -> DataFrame:
     """Latest interval and history in one aggregation, so the timeline is read once."""
-    both = timeline.groupBy("customer_id").agg(_latest(), *_history())
-    return _describe_latest(both, plans).select(
+    both = timeline.groupBy("customer_id").agg(*summary_aggregates())
+    return describe_latest(both, plans).select(
         "customer_id",
         "current_subscription_status",
         "current_plan_id",

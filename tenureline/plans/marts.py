@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
-from tenureline.operators.cleaning import (
-    clean_customers,
-    clean_subscriptions,
-    valid_subscriptions,
-)
+from tenureline.operators.cleaning import clean_customers, clean_subscriptions
 from tenureline.operators.density import DENSE_ROWS
 from tenureline.operators.intervals import resolve_subscriptions
-from tenureline.operators.revenue import dim_customers, mrr_monthly_of_resolved
+from tenureline.operators.revenue import (
+    Horizon,
+    customer_facts,
+    described_customers,
+    dim_customers,
+    horizon_metrics,
+    mrr_monthly_of_resolved,
+)
 from tenureline.operators.summary import customer_subscription_summary
-from tenureline.sources.publish import publish_table, publish_view, scratch, stage
+from tenureline.sources.publish import (
+    fresh_path,
+    publish_table,
+    publish_view,
+    scratch,
+    stage_at,
+)
 
 
 class RawTables(NamedTuple):
@@ -38,25 +47,33 @@ def timeline_of(
     dense_rows: int = DENSE_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
-    """The resolved timeline; rows per customer are counted before they meet the plans."""
-    cleaned = clean_subscriptions(subscriptions, plans)
-    counted = valid_subscriptions(subscriptions).select("customer_id")
-    return resolve_subscriptions(cleaned, dense_rows, partitions, counted)
+    """The resolved timeline; subscriptions are read once, and stored with their prices."""
+    return resolve_subscriptions(clean_subscriptions(subscriptions, plans), dense_rows, partitions)
+
+
+def observed_timeline(subscriptions: DataFrame, plans: DataFrame) -> tuple[DataFrame, Horizon]:
+    """The timeline, computed once and stored, and its horizon, seen while it was stored."""
+    spark, seen = subscriptions.sparkSession, Observation()
+    path = fresh_path(spark, "timeline")
+    with scratch(spark):
+        timeline = timeline_of(subscriptions, plans).observe(seen, *horizon_metrics())
+        timeline = stage_at(timeline, path)
+    return timeline, Horizon(seen.get["last_end"] or seen.get["last_start"])
 
 
 def staged_timeline(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    """The timeline has three readers, so it is computed once and stored."""
-    return stage(timeline_of(subscriptions, plans), "timeline")
+    return observed_timeline(subscriptions, plans)[0]
 
 
 def monthly_revenue(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    return mrr_monthly_of_resolved(staged_timeline(subscriptions, plans))
+    timeline, horizon = observed_timeline(subscriptions, plans)
+    return mrr_monthly_of_resolved(timeline, horizon=horizon)
 
 
 def customer_dimension(raw: RawTables) -> DataFrame:
-    timeline = staged_timeline(raw.subscriptions, raw.plans)
-    summary = customer_subscription_summary(timeline, raw.plans)
-    return dim_customers(clean_customers(raw.customers), summary, mrr_monthly_of_resolved(timeline))
+    timeline, horizon = observed_timeline(raw.subscriptions, raw.plans)
+    facts = customer_facts(timeline, raw.plans, horizon)
+    return described_customers(clean_customers(raw.customers), facts)
 
 
 def build_marts(
@@ -81,22 +98,26 @@ def build_marts(
         *(publish_table(df, root, "staging", name) for name, df in raw._asdict().items())
     )
     customers = publish_view(clean_customers(raw.customers), "intermediate", "customers_enriched")
+    seen = Observation()
     with scratch(spark):
         timeline = publish_table(
-            timeline_of(raw.subscriptions, raw.plans, dense_rows, buckets),
+            timeline_of(raw.subscriptions, raw.plans, dense_rows, buckets).observe(
+                seen, *horizon_metrics()
+            ),
             root,
             "intermediate",
             "subscriptions_resolved",
             database=f"{prefix}intermediate",
             **bucketing,
         )
+    horizon = Horizon(seen.get["last_end"] or seen.get["last_start"])
     summary = publish_view(
         customer_subscription_summary(timeline, raw.plans),
         "intermediate",
         "customer_subscription_summary",
     )
     fact = publish_table(
-        mrr_monthly_of_resolved(timeline, clustered=True),
+        mrr_monthly_of_resolved(timeline, clustered=True, horizon=horizon),
         root,
         "marts",
         "mrr_monthly",

@@ -72,40 +72,47 @@ def row_predicates() -> dict[str, dict[str, Column]]:
     return predicates
 
 
-def _keyed_checks(tables: dict[str, DataFrame]) -> list[DataFrame]:
-    """Uniqueness and references, of all tables that share a key at a time."""
-    open_billable = F.col("resolved_end_date").isNull() & F.col("is_billable")
-    keys: dict[str, list[tuple[str, str]]] = {}
-    for child, column, _, key in REFERENCES:
-        keys.setdefault(key, []).append((child, column))
+def _entries_and_totals() -> tuple[dict[str, list[checks.Entry]], dict[str, Column]]:
+    """What each table adds to the shared counts, and the checks read off them."""
+    entries: dict[str, list[checks.Entry]] = {}
+    totals: dict[str, Column] = {}
+    for table, predicates in row_predicates().items():
+        for name, predicate in predicates.items():
+            entries.setdefault(table, []).append(
+                checks.Entry("violation", F.lit(name), name, predicate)
+            )
+            totals[name] = checks.entered("violation", name)
+
+    keys = {(child, column): key for child, column, _, key in REFERENCES}
+    keys |= {(table, column): column for table, column in UNIQUE.items()}
+    for (table, column), key in keys.items():
+        entries[table].append(checks.Entry(key, F.col(column), f"{table}_{column}"))
     for table, column in UNIQUE.items():
-        if (table, column) not in keys.setdefault(column, []):
-            keys[column].append((table, column))
-    counts = []
-    for key, uses in keys.items():
-        conditions = {table: {table: F.lit(True)} for table, _ in uses}
-        totals = {
-            f"unique_{table}_{column}": checks.repeated(table)
-            for table, column in uses
-            if UNIQUE.get(table) == column
-        } | {
-            f"relationships_{child}_{column}": checks.orphans(child, parent)
-            for child, column, parent, parent_key in REFERENCES
-            if parent_key == key
-        }
-        if key == "customer_id":
-            conditions["timeline"]["open_billable"] = open_billable
-            totals["multiple_open_billable"] = F.count_if(F.col("open_billable") > 1)
-        sources = [(tables[table], column, conditions[table]) for table, column in uses]
-        counts.append(checks.count_by_key(checks.counts_by_key(sources), totals))
-    return counts
+        totals[f"unique_{table}_{column}"] = checks.repeated(column, f"{table}_{column}")
+    for child, column, parent, key in REFERENCES:
+        totals[f"relationships_{child}_{column}"] = checks.orphans(
+            key, f"{child}_{column}", f"{parent}_{key}"
+        )
+
+    open_billable = F.col("resolved_end_date").isNull() & F.col("is_billable")
+    unknown = ~F.col("resolved_status").isin(list(STATUS_PRECEDENCE))
+    months = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("customer_id", "revenue_month")]
+    entries["timeline"] += [
+        checks.Entry("customer_id", F.col("customer_id"), "open_billable", open_billable),
+        checks.Entry("status", F.col("resolved_status"), "unknown_status", unknown),
+    ]
+    entries["fact"].append(checks.Entry("customer_month", F.concat_ws(" ", *months), "months"))
+    totals["multiple_open_billable"] = checks.values("customer_id", "open_billable", 1)
+    totals["accepted_values_timeline_resolved_status"] = checks.values("status", "unknown_status")
+    totals["duplicate_customer_month"] = checks.values("customer_month", "months", 1)
+    return entries, totals
 
 
 def check_report(raw: RawTables, marts: Marts) -> DataFrame:
     """Every declared check with its number of failing rows.
 
-    Row checks of one table share a single scan of it; checks on a key share one shuffle of
-    counts per key value. Overlaps are counted per day, no pair is formed.
+    Each table is scanned once for its row checks, keys and values together; all of them share one
+    shuffle of counts. Overlaps are counted per day, no pair is formed.
     """
     tables = {
         "raw_customers": raw.customers,
@@ -113,20 +120,13 @@ def check_report(raw: RawTables, marts: Marts) -> DataFrame:
         "raw_plans": raw.plans,
         **marts._asdict(),
     }
-    counts = [
-        checks.count_violations(tables[name], predicates)
-        for name, predicates in row_predicates().items()
-    ]
-    counts += _keyed_checks(tables)
-    others = {
-        "accepted_values_timeline_resolved_status": checks.accepted_values(
-            marts.timeline, "resolved_status", list(STATUS_PRECEDENCE)
-        ),
-        "duplicate_customer_month": checks.unique_combination(
-            marts.fact, ["customer_id", "revenue_month"]
-        ),
-        "open_after_horizon": checks.opens_after_horizon(billable_intervals(marts.timeline)),
-    }
-    counts += [checks.count_rows(name, offending) for name, offending in others.items()]
-    counts.append(checks.count_records("overlaps", checks.overlap_counts(marts.timeline)))
-    return checks.report(counts)
+    entries, totals = _entries_and_totals()
+    counted = checks.counts_of_entries([(tables[name], own) for name, own in entries.items()])
+    late = checks.opens_after_horizon(billable_intervals(marts.timeline))
+    return checks.report(
+        [
+            checks.count_by_key(counted, totals),
+            checks.count_rows("open_after_horizon", late),
+            checks.count_records("overlaps", checks.overlap_counts(marts.timeline)),
+        ]
+    )

@@ -126,8 +126,8 @@ def test_light_keys_stay_light_beside_many_dense_ones(spark, monkeypatch, broadc
     limit = sorted(sizes.values())[len(sizes) // 4]
     seen = []
 
-    def watched(df, key, dense_rows, *more):
-        routed = density.route_by_density(df, key, dense_rows, *more)
+    def watched(df, key, dense_rows, **more):
+        routed = density.route_by_density(df, key, dense_rows, **more)
         seen.append({r[0] for r in routed.light.select(key).distinct().collect()})
         return routed
 

@@ -41,9 +41,16 @@ def test_relationships_ignore_nulls(spark, raw):
     twice = raw.unionByName(raw)
     found = checks.relationships(twice, "plan_id", plans(spark), "plan_id")
     assert rows_of(found) == [("lost",), ("lost",)]
-    sources = [(twice, "plan_id", {"child": F.lit(True)}), (plans(spark), "plan_id", {"parent": F.lit(True)})]
-    counted = checks.counts_by_key(sources)
-    totals = {"lost": checks.orphans("child", "parent"), "twice": checks.repeated("child")}
+    plan = F.col("plan_id")
+    sources = [
+        (twice, [checks.Entry("plan_id", plan, "child")]),
+        (plans(spark), [checks.Entry("plan_id", plan, "parent")]),
+    ]
+    counted = checks.counts_of_entries(sources)
+    totals = {
+        "lost": checks.orphans("plan_id", "child", "parent"),
+        "twice": checks.repeated("plan_id", "child"),
+    }
     assert rows_of(checks.count_by_key(counted, totals)) == [("lost", 2), ("twice", 2)]
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
 
 from conftest import SMALL, plan_of
-from tenureline.operators import checks, cleaning, intervals, revenue
+from tenureline.operators import checks, cleaning, density, intervals, revenue
 from tenureline.plans import marts
 from tenureline.plans.quality import row_predicates
 from tenureline.sources import publish
@@ -78,7 +80,7 @@ def test_row_checks_share_one_scan(spark):
 
 def test_report_counts_keys_together_and_forms_no_pairs(spark):
     plan = plan_of(queries()["check_report"](spark, SMALL))
-    assert plan.count("FileScan") <= 25 and plan.count("Exchange ") <= 28
+    assert plan.count("FileScan") <= 13 and plan.count("Exchange ") <= 14
     assert plan.count("Join") == 1 and "NestedLoop" not in plan
 
 
@@ -88,16 +90,54 @@ def test_overlap_check_uses_the_bucketing_of_the_timeline(spark, tmp_path):
     assert "hashpartitioning" not in plan
 
 
-def test_rows_are_counted_before_they_meet_the_plans(spark, monkeypatch):
-    from tenureline.operators import density
-    from tenureline.plans import marts
+def staged_plans(spark, monkeypatch, subscriptions, plans):
+    """Plans of all that is stored on the way to a timeline, and the timeline's own."""
+    seen = []
+
+    def watched(df, name):
+        seen.append(plan_of(df))
+        return publish.stage_at(df, publish.fresh_path(spark, name))
+
+    monkeypatch.setattr(density, "stage", watched)
+    timeline = marts.timeline_of(subscriptions, plans)
+    return [*seen, plan_of(timeline)]
+
+
+def test_subscriptions_are_read_once(spark, monkeypatch):
+    """With and without dense keys; what routes them needs no shuffle by key."""
+    for subscriptions in (bindings.raw_subscriptions, bindings.skewed_subscriptions):
+        raw = subscriptions(spark, SMALL)
+        routing, timeline = staged_plans(spark, monkeypatch, raw, bindings.raw_plans(spark))
+        assert routing.count("orders.parquet") == 1 and "orders.parquet" not in timeline
+        assert "hashpartitioning" not in routing and "CollectMetrics" in routing
+
 
-    counted = []
+def test_keys_with_a_share_of_all_rows_are_dense(spark):
+    rows = bindings.skewed_subscriptions(spark, SMALL)
+    light, dense = density.route_by_density(rows, "customer_id", 100)
+    assert [r[0] for r in dense.select("customer_id").distinct().collect()] == [1]
+    assert light.where("customer_id = 1").isEmpty()
+
+
+def test_all_keys_are_dense_where_the_mean_is_and_not_all_are_named(spark, monkeypatch):
+    rows = bindings.raw_subscriptions(spark, SMALL).where("customer_id IS NOT NULL")
+    every = density.route_by_density(rows, "customer_id", 0)
+    assert every.light.isEmpty() and every.dense.count() == rows.count()
+    monkeypatch.setattr(density, "NAMED_KEYS", 5)
+    every = density.route_by_density(rows, "customer_id", 0)
+    assert every.light is None and every.dense.count() == rows.count()
+
+
+def test_fact_with_a_known_horizon_reads_the_timeline_once_less(cleaned):
+    line = bindings.as_timeline(cleaned)
+    known = revenue.mrr_monthly_of_resolved(line, horizon=revenue.Horizon(date(1998, 12, 31)))
+    asked = revenue.mrr_monthly_of_resolved(line)
+    assert plan_of(known).count("FileScan") == 2 and "Subquery" not in plan_of(known)
+    assert plan_of(asked).count("FileScan") > 2 and "Subquery" in plan_of(asked)
 
-    def watched(df, path):
-        counted.append(plan_of(df))
-        return publish.stage_at(df, path)
 
-    monkeypatch.setattr(density, "stage_at", watched)
-    marts.timeline_of(bindings.raw_subscriptions(spark, SMALL), bindings.raw_plans(spark))
-    assert len(counted) == 1 and "Join" not in counted[0]
+def test_dimension_shuffles_the_timeline_once_by_customer(spark):
+    plan = plan_of(queries()["dim_customers"](spark, SMALL))
+    assert plan.count("FileScan") == 2  # customers and the timeline
+    by_customer = [line for line in plan.splitlines() if "Exchange hashpartitioning(customer_id" in line]
+    assert sum("REPARTITION_BY_COL" in line for line in by_customer) == 1 and len(by_customer) <= 2

@@ -86,7 +86,8 @@ def test_stage_reads_from_files(spark):
 def test_staged_folders_end_with_their_scratch(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(publish, "scratch_dir", lambda spark: str(tmp_path))
     raw = bindings.raw_tables(spark, SMALL)
-    marts.timeline_of(raw.subscriptions, raw.plans).count()
+    with publish.scratch(spark):
+        marts.timeline_of(raw.subscriptions, raw.plans).count()
     assert list((tmp_path / "tenureline").iterdir()) == []
     with publish.scratch(spark) as folder:
         fact = publish.publish_table(

@@ -43,17 +43,13 @@ def _timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.timeline_of(*_inputs(spark, sf_dir))
 
 
-def _staged_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.staged_timeline(*_inputs(spark, sf_dir))
-
-
 def _billable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue.billable_intervals(_timeline(spark, sf_dir))
 
 
 def _closed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    billable = revenue.billable_intervals(_staged_timeline(spark, sf_dir))
-    return revenue.apply_horizon(billable, revenue.revenue_horizon(billable))
+    timeline, horizon = marts.observed_timeline(*_inputs(spark, sf_dir))
+    return revenue.apply_horizon(revenue.billable_intervals(timeline), horizon)
 
 
 # -- sources and sinks ---------------------------------------------------------------
