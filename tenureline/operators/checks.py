@@ -14,6 +14,7 @@ from tenureline.functions.dates import closed_end
 from tenureline.functions.ranking import nulls_last, sort_key
 from tenureline.operators.density import DENSE_ROWS, route_by_density
 from tenureline.operators.revenue import apply_horizon, revenue_horizon
+from tenureline.sources.publish import stage
 
 
 def violates(df: DataFrame, predicate: Column) -> DataFrame:
@@ -218,6 +219,30 @@ def _pairs_in_task(light: DataFrame, key: str, ranking: Sequence[str]) -> DataFr
     return left.join(right, key).where(in_order & _share_a_day()).select(key, *_PAIR_COLUMNS)
 
 
+# Rows of one key and block on the left that one task may meet, and the most blocks that are
+# split beyond that: a bound of what is broadcast. A block with a larger share of all rows than
+# one part of so many is always split.
+BLOCK_ROWS, SPLIT_BLOCKS = 1_024, 10_000
+
+
+def _salted(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``salt``: the left rows of a large block are dealt over several salts, its
+    right rows are repeated for each. Blocks are counted, with counts combined map-side."""
+    sizes = stage(left.groupBy(key, "block").agg(F.count("*").alias("rows")), "block_sizes")
+    total = sizes.agg(F.sum("rows")).first()[0] or 0
+    part = max(BLOCK_ROWS, total // SPLIT_BLOCKS)
+    split = sizes.where(F.col("rows") > part)
+    split = split.select(key, "block", F.ceil(F.col("rows") / part).cast("int").alias("salts"))
+    split = F.broadcast(split)
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = F.pmod(F.xxhash64("left_rank"), salts)
+    every = F.explode(F.sequence(F.lit(0), salts - 1))
+    return (
+        left.join(split, [key, "block"], "left").withColumn("salt", dealt.cast("int")).drop("salts"),
+        right.join(split, [key, "block"], "left").withColumn("salt", every).drop("salts"),
+    )
+
+
 def _pairs_by_block(dense: DataFrame, key: str, ranking: Sequence[str]) -> list[DataFrame]:
     """For keys of any size: the later interval of a pair starts inside the earlier one.
 
@@ -233,8 +258,9 @@ def _pairs_by_block(dense: DataFrame, key: str, ranking: Sequence[str]) -> list[
     left = _side(folded, "left", key, "rank", "copies").withColumn("block", F.explode(covering))
     right = _side(folded, "right", key, "rank", "copies").withColumn("block", F.explode(enclosing))
     in_order = F.col("left_rank") < F.col("right_rank")
+    left, right = _salted(left, right, key)
     between_rows = (
-        left.join(right, [key, "block"])
+        left.join(right, [key, "block", "salt"])
         .where(in_order & _share_a_day())
         .withColumn("left_copy", F.explode(F.sequence(F.lit(1), F.col("left_copies"))))
         .withColumn("right_copy", F.explode(F.sequence(F.lit(1), F.col("right_copies"))))

@@ -88,6 +88,9 @@ def publish_table(
 ) -> DataFrame:
     """Rebuild ``<root>/<layer>/<name>`` in full and read it back.
 
+    The rows are written to a folder of their own, which takes the table's place once it is
+    complete: a write that fails leaves the table as it was.
+
     With ``bucket_by`` the table is bucketed in the session catalog, so later joins,
     windows and aggregations on that column need no shuffle. The catalog has one table of a
     name per database, ``layer`` unless ``database`` names another: pipelines with roots of
@@ -95,16 +98,52 @@ def publish_table(
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{layer}/{name}"
+    version = uuid.uuid4().hex
+    fresh = f"{root.rstrip('/')}/{layer}/.{name}-{version}"
     if bucket_by is None:
-        df.write.mode("overwrite").parquet(path)
+        with _removed_on_failure(spark, fresh):
+            df.write.parquet(fresh)
+        _take_place(spark, fresh, path)
         return spark.read.schema(df.schema).parquet(path)
-    table = f"`{database or layer}`.`{name}`"
-    location = f"{root.rstrip('/')}/{layer}".replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database or layer}` LOCATION '{location}'")
+    place = f"`{database or layer}`"
+    table, building = f"{place}.`{name}`", f"{place}.`{name}_{version}`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {place} LOCATION '{_quoted(path.rsplit('/', 1)[0])}'")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # One task per bucket, hence one file per bucket. No exchange is added when the
     # relation already arrives in this partitioning.
     clustered = df.repartition(buckets, bucket_by)
-    writer = clustered.write.mode("overwrite").format("parquet").option("path", path)
-    writer.bucketBy(buckets, bucket_by).saveAsTable(table)
+    writer = clustered.write.format("parquet").option("path", fresh)
+    with _removed_on_failure(spark, fresh):
+        writer.bucketBy(buckets, bucket_by).saveAsTable(building)
+    _take_place(spark, fresh, path)
+    # the files belong to the path, not to the catalog: dropping a table leaves them
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {building} RENAME TO {table}")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(path)}'")
+    spark.catalog.refreshTable(table)
     return spark.table(table)
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+@contextmanager
+def _removed_on_failure(spark: SparkSession, path: str) -> Iterator[None]:
+    try:
+        yield
+    except BaseException:
+        remove(spark, path)
+        raise
+
+
+def _take_place(spark: SparkSession, fresh: str, path: str) -> None:
+    """The folder ``fresh`` becomes ``path``; what was there goes when it has."""
+    place_of = spark._jvm.org.apache.hadoop.fs.Path
+    store = place_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    before = f"{fresh}-before"
+    if store.exists(place_of(path)):
+        store.rename(place_of(path), place_of(before))
+    store.rename(place_of(fresh), place_of(path))
+    spark.catalog.refreshByPath(path)
+    remove(spark, before)

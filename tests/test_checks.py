@@ -126,3 +126,26 @@ def test_invariants_of_the_marts(spark):
     fact = mrr_monthly_of_resolved(line)
     assert rows_of(fact) == rows_of(mrr_monthly(line))
     assert fact.where("active_days_in_month NOT BETWEEN 1 AND days_in_month").count() == 0
+
+
+def test_large_blocks_are_dealt_over_salts(spark, monkeypatch):
+    """No join key of the dense route holds much more than its share of the rows."""
+    timeline = bindings.as_timeline(
+        clean_subscriptions(
+            bindings.skewed_subscriptions(spark, SMALL), bindings.raw_plans(spark)
+        )
+    )
+    every = rows_of(checks.overlapping_pairs(timeline, dense_rows=0))
+    seen, salted = [], checks._salted
+
+    def watched(left, right, key):
+        sides = salted(left, right, key)
+        seen.append([side.groupBy(key, "block", "salt").count() for side in sides])
+        return sides
+
+    monkeypatch.setattr(checks, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(checks, "_salted", watched)
+    assert rows_of(checks.overlapping_pairs(timeline, dense_rows=0)) == every
+    left, right = seen[0]
+    assert left.agg(F.max("count")).first()[0] <= 3 * 8
+    assert right.where("salt > 0").count() > 0

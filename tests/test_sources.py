@@ -109,6 +109,21 @@ def test_table_is_rebuilt_in_full(spark, tmp_path):
     assert again.count() == 2
 
 
+def test_a_failed_rebuild_leaves_the_table(spark, tmp_path):
+    numbers, failing = spark.range(5).withColumnRenamed("id", "n"), "IF(id = 70, raise_error('lost'), id) AS n"
+    broken = spark.range(0, 100, 1, 8).selectExpr(failing)
+    for layers in ({}, {"bucket_by": "n", "buckets": 2, "database": "failing"}):
+        root = f"{tmp_path}/{len(layers)}"
+        publish_table(numbers, root, "marts", "numbers", **layers)
+        with pytest.raises(Exception, match="lost"):
+            publish_table(broken, root, "marts", "numbers", **layers)
+        assert spark.read.parquet(f"{root}/marts/numbers").count() == 5
+        assert not layers or spark.table("failing.numbers").count() == 5
+        assert [x.name for x in Path(f"{root}/marts").iterdir()] == ["numbers"]
+        again = publish_table(numbers.limit(3), root, "marts", "numbers", **layers)
+        assert again.count() == 3 and [x.name for x in Path(f"{root}/marts").iterdir()] == ["numbers"]
+
+
 def test_roots_may_hold_quotes_and_databases_keep_pipelines_apart(spark, tmp_path):
     numbers = spark.range(5).withColumnRenamed("id", "n")
     layers = {"bucket_by": "n", "buckets": 2}
