@@ -577,7 +577,8 @@ def _crossing_pairs(mixed: DataFrame, maps: DataFrame, percent: int) -> DataFram
     # in the order of n-grams: whoever meets here and met before may link by what is known there too
     before = Window.partitionBy("class").orderBy(F.desc("top"), "h")
     rows = mixed.withColumn("before", F.array(*(F.lag("h", i).over(before) for i in range(1, BEFORE + 1))))
-    rows = rows.join(maps.select("class", "u", *few), "class")
+    # there are about as many classes as documents that recur: their maps are never broadcast
+    rows = rows.join(maps.select("class", "u", *few).hint("merge"), "class")
     sizes = mixed.groupBy("h", "component").agg(F.count("*").alias("size"))
     major = sizes.groupBy("h").agg(F.max(F.struct("size", "component"))["component"].alias("major"))
     rows = rows.join(major, "h")
