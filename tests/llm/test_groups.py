@@ -122,13 +122,46 @@ def test_top_k_equals_full_scoring(spark, monkeypatch, block):
     for q in (i for i in ok if i % 20 == 0):
         best = sorted(((-int(ok[q] @ ok[c]), c) for c in ok if c != q))[:20]
         expected += [(q, k + 1, c, -s) for k, (s, c) in enumerate(best)]
-    twice = df.unionByName(df.where("vec_id = 20")).withColumn("rank", F.lit("x"))
-    got = [tuple(r) for r in topk.top_k(twice, F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score").collect()]
+    named = df.withColumn("rank", F.lit("x"))
+    got = [tuple(r) for r in topk.top_k(named, F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score").collect()]
+    assert sorted(got) == sorted(expected)
+    # rows that share a vec_id: other vectors, and an equal one
+    more = df.where("vec_id IN (40, 41, 42)").withColumn("vec_id", F.lit(7).cast("long"))
+    shared = df.unionByName(more).unionByName(df.where("vec_id IN (20, 7)")).unionByName(df.where("vec_id = 60").withColumn("vec_id", F.lit(20).cast("long")))
+    rows = [(r["vec_id"], np.floor(64 * np.array(list(r["embedding"]) + [0.0] * (16 - len(r["embedding"])))).astype(int)) for r in shared.collect() if r["vec_id"] in ok]
+    expected = []
+    for q in {i for i, _ in rows if i % 20 == 0}:
+        best = sorted((-int(x @ y), c) for i, x in rows if i == q for c, y in rows if c != q)[:20]
+        expected += [(q, k + 1, c, -s) for k, (s, c) in enumerate(best)]
+    got = [tuple(r) for r in topk.top_k(shared, F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score").collect()]
     assert sorted(got) == sorted(expected)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
     assert topk.top_k(df.where("vec_id = 20"), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_rows_under_one_vec_id_are_candidates(spark):
+    df = spark.createDataFrame([(20, [1.0, 0.0]), (1, [0.1, 0.0]), (1, [0.9, 0.0]), (2, [0.5, 0.0]), (None, [9.0, 0.0])], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(df, F.col("vec_id") == 20).select("vec_id", "score").collect()]
+    assert sorted(got, reverse=True) == [(2, 2048), (1, 3648), (1, 384)]
+
+
+def test_adding_stops_early_and_results_stay(spark):
+    draw = np.random.default_rng(4)
+    x = np.floor(64 * draw.normal(size=(4000, 32)) * 2.0 ** -np.arange(32))
+    ids, queries = np.arange(4000), x[:50]
+    blocks = [topk.ImpactIndex(ids[i : i + 1000], x[i : i + 1000]) for i in range(0, 4000, 1000)]
+    a, found, scores = topk.searched(blocks, queries, ids[:50], 20)
+    assert all(block.added < len(block.levels) for block in blocks)
+    for q in range(50):
+        best = sorted((-int(queries[q] @ x[c]), c) for c in range(4000) if c != q)[:20]
+        assert list(zip((-scores[a == q]).tolist(), found[a == q].tolist(), strict=True)) == best
+
+
+def test_scores_beyond_64_bits_raise():
+    with pytest.raises(OverflowError):
+        topk.ImpactIndex(np.arange(2), np.full((2, 4), 2.0**32)).best(np.full((1, 4), 2.0**32), np.array([9]), 1)
+
+
 def turns(spark):
     data = [(c, t, "user" if t % 2 == 0 else "assistant", f"turn {t}" if t < c % 4 else f"own {c} {t}") for c in range(30) for t in range(1 + c % 5)]
     data += [(50, 0, None, None), (50, 1, "assistant", None), (51, 0, "assistant", "<s>\\[/INST] [\\INST] < s>"), (51, 0, "assistant", "<s>\\[/INST] [\\INST] < s>"), (None, 0, "user", "turn 0"), *CONTROL_TURNS]
