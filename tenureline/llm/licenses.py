@@ -1,7 +1,7 @@
 """License scan: TF-IDF cosine of headers and files to templates, then inheritance along directories.
 
-Header candidates are the runs of 1 to ``HEADER_LINES`` consecutive lines of a file (lines without
-words do not count); they are compared with the notices ``TEMPLATES``. Whole files are compared
+Header candidates are runs of consecutive lines of a file (lines without words do not count), of up
+to twice the words of the longest notice, however many lines these take; they are compared with the notices ``TEMPLATES``. Whole files are compared
 with the licence texts ``TEXTS``. Words are runs of a-z and 0-9, lower-cased; a word weighs term
 frequency x idf, with document frequencies over all files; a word that no template of the kind has
 counts as one that no file has. A candidate whose cosine to a template reaches the threshold has
@@ -17,7 +17,8 @@ Only candidates that can reach it are expanded; no other is lost:
 A file is a licence file if it matches as a whole, or if half of its words lie in license lines:
 lines that match alone, and runs that no run overlapping them surpasses. Its license holds for its
 directory. A file without a license of its own takes that of the nearest directory above it.
-Only DataFrame functions.
+Besides, an SPDX line names a license by itself, known or not: it stands before notices, whose words
+differ too little between identifiers. Only DataFrame functions.
 """
 
 from __future__ import annotations
@@ -40,6 +41,14 @@ TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, version 3"],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License, version 2"],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License, version 3"],
+    "LGPL-2.1": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License, version 2.1"],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License, version 3"],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
     "All-Rights-Reserved": ["All rights reserved."],
@@ -47,8 +56,8 @@ TEMPLATES = {
 #: Full licence texts, with which whole files are compared: one file each, named by its license.
 TEXTS = {p.stem: [p.read_text("utf-8")] for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
 THRESHOLD = 0.75
-#: Lines of the longest header candidate.
-HEADER_LINES = 8
+#: An SPDX line and its first identifier.
+_SPDX = r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9][A-Za-z0-9.+-]*)"
 _APART = "[^a-z0-9]+"
 
 
@@ -78,6 +87,8 @@ class _Templates:
         # a little room for rounding
         self.low = (threshold - 1e-6) * (1 - 1e-9)
         self.threshold, self.rows, prefix = threshold, [], set()
+        #: Words of the longest template.
+        self.longest = max((len(_template_words(text)) for texts in templates.values() for text in texts), default=0)
         for license_, texts in templates.items():
             for k, text in enumerate(texts):
                 weights = {w: n * self.idf[w] for w, n in Counter(_template_words(text)).items()}
@@ -138,7 +149,9 @@ def _runs(files: DataFrame, headers: _Templates) -> DataFrame:
     cost = total(lambda w: F.coalesce(F.try_element_at(_literal_map({w: x * x for w, x in headers.idf.items()}), w), F.lit(headers.unseen**2)))
     line = F.struct("text", F.size("words").alias("size"), F.col("text").rlike(cue).alias("cue"), gain.alias("gain"), cost.alias("cost"))
     lines = lines.select("path", "file", "line", line.alias("own"))
-    ahead = Window.partitionBy("file").orderBy("line").rowsBetween(0, HEADER_LINES - 1)
+    before = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumn("before", F.sum("own.size").over(before) - F.col("own.size"))
+    ahead = Window.partitionBy("file").orderBy("before").rangeBetween(0, 2 * headers.longest)
     starts = lines.withColumn("ahead", F.collect_list("own").over(ahead)).where("own.gain > 0")
     runs = starts.select("path", "file", F.col("line").alias("start"), "ahead", F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("n"))
     runs = runs.where("ahead[n - 1].gain > 0").withColumn("run", F.slice("ahead", 1, F.col("n")))
@@ -164,6 +177,18 @@ def _headers(files: DataFrame, headers: _Templates) -> DataFrame:
     return found.select("path", F.col("best.license").alias("license"), (-F.col("best.col1")).alias("score"), "license_words")
 
 
+def _named(files: DataFrame, found: DataFrame) -> DataFrame:
+    """``found`` with files that have SPDX lines: of these the first identifier counts, with score 1."""
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(_SPDX))
+    tagged = files.where("path IS NOT NULL").where(F.contains("text", F.lit("SPDX-License-Identifier:"))).select("path", lines.alias("lines")).where(F.size("lines") > 0)
+    words = F.aggregate("lines", F.lit(0), lambda total, x: total + F.size(F.array_remove(_words(x), "")))
+    tagged = tagged.select("path", F.regexp_extract(F.get("lines", F.lit(0)), _SPDX, 1).alias("tag"), words.alias("tag_words"))
+    tagged = tagged.groupBy("path").agg(F.min("tag").alias("tag"), F.max("tag_words").alias("tag_words"))
+    both = found.join(tagged, "path", "full")
+    score = F.when(F.col("tag").isNotNull(), F.lit(1.0)).otherwise(F.col("score"))
+    return both.select("path", F.coalesce("tag", "license").alias("license"), score.alias("score"), F.greatest("license_words", "tag_words").cast("long").alias("license_words"))
+
+
 def _wholes(files: DataFrame, texts: _Templates) -> DataFrame:
     """``(path, license, score)`` of files that are a licence text."""
     words = _words(F.col("text"))
@@ -177,12 +202,13 @@ def scanned(files: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, th
     """``(path, own_license, score, is_license_file, license, license_path)`` for every row of
     ``files`` (path, text).
 
-    ``own_license`` is that of the licence text which the whole file matches, else that of the
-    header of highest cosine (of equals: the first by name), with ``score`` rounded to six digits.
+    ``own_license`` is that of the licence text which the whole file matches, else the identifier of
+    its first SPDX line, else that of the header of highest cosine (of equals: the first by name),
+    with ``score`` rounded to six digits.
     ``license`` is the own one, else the nearest inherited; ``license_path`` is the file it comes
     from; of several licence files in a directory the one of highest score counts, then the first
     path. Defined cases: a null or empty text has no license of its own; a null path inherits
-    nothing and gives nothing; repeated rows each give a row, and rows with one path share the best
+    nothing and gives nothing; very long texts are read whole; repeated rows each give a row, and rows with one path share the best
     of their lines; an empty table gives an empty table; other columns are ignored.
     """
     files = files.select("path", "text")
@@ -192,7 +218,7 @@ def scanned(files: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, th
     seen = files.select(F.explode(F.array_append(F.coalesce(F.array_remove(present, ""), F.array().cast("array<string>")), total)).alias("word"))
     counts = {row["word"]: row["n"] for row in seen.groupBy("word").agg(F.count("*").alias("n")).collect()}
 
-    by_line = _headers(files, _Templates(templates, counts, threshold))
+    by_line = _named(files, _headers(files, _Templates(templates, counts, threshold)))
     by_file = _wholes(files, _Templates(full_texts, counts, threshold, rare=True))
     own = by_line.join(by_file.select("path", F.struct("license", "score").alias("whole")), "path", "full")
     pick = lambda name: F.when(F.col("whole").isNotNull(), F.col(f"whole.{name}")).otherwise(F.col(name))

@@ -1,6 +1,8 @@
 """Operators on single texts: PII, byte-level BPE, language ID, packing, licenses."""
 
+import collections
 import hashlib
+import math
 import random
 import re
 import struct
@@ -203,3 +205,54 @@ def test_license_headers_over_lines_and_licence_files(spark):
     assert not any(got[p]["is_license_file"] for p in got if p.startswith("h/"))
     for code, path, license_ in [("m/code", "m/LICENSE", "MIT"), ("b/src/code", "b/COPYING", "BSD-3-Clause"), ("g/code", "g/COPYING", "GPL-3.0"), ("a/code", "a/LICENSE", "Apache-2.0")]:
         assert got[path]["is_license_file"] and (got[code]["license"], got[code]["license_path"]) == (license_, path)
+
+
+def plain_scores(text, files, templates):
+    """Cosines of one text to all templates, by dictionaries."""
+    n, cut = len(files), lambda x: re.findall("[a-z0-9]+", x.lower())
+    idf = lambda w: math.log((1 + n) / (1 + sum(w in cut(f or "") for f in files))) + 1
+    known = {w for texts in templates.values() for t in texts for w in cut(t)}
+    unseen = math.log(1 + n) + 1
+    out = {}
+    own = {w: c * (idf(w) if w in known else unseen) for w, c in collections.Counter(cut(text)).items()}
+    for name, texts in templates.items():
+        for t in texts:
+            other = {w: c * idf(w) for w, c in collections.Counter(cut(t)).items()}
+            dot = sum(own.get(w, 0) * x for w, x in other.items())
+            out[name] = max(out.get(name, 0), dot / math.sqrt(sum(x * x for x in own.values()) * sum(x * x for x in other.values())))
+    return out
+
+
+def test_license_scores_equal_the_unpruned_cosine(spark):
+    draw = random.Random(3)
+    notices = [t for texts in licenses.TEMPLATES.values() for t in texts]
+    texts = []
+    for notice in notices * 3:
+        words = notice.split()
+        for _ in range(draw.randint(0, len(words) // 3)):
+            words[draw.randrange(len(words))] = draw.choice(["the", "own", "software", "License", "other", "2.0", "and"])
+        cut = draw.randint(1, len(words))
+        texts.append(" ".join(words[:cut]) + "\n" + " ".join(words[cut:]))
+    files = spark.createDataFrame([(f"f/{i}/x", t) for i, t in enumerate(texts)], "path string, text string")
+    got = {r["path"]: r for r in licenses.scanned(files, full_texts={}).collect()}
+    for i, text in enumerate(texts):
+        candidates = [text, *text.split("\n")]
+        best = max((round(s, 6), name) for x in candidates if x for name, s in plain_scores(x, texts, licenses.TEMPLATES).items())
+        row = got[f"f/{i}/x"]
+        if best[0] >= licenses.THRESHOLD + 1e-5:
+            assert abs(row["score"] - best[0]) < 2e-6, (text, best, row)
+        elif best[0] < licenses.THRESHOLD - 1e-5:
+            assert row["own_license"] is None, (text, best, row)
+
+
+def test_more_licenses_and_spdx_lines(spark):
+    noise = "\n".join(f"own{i} words{i} here{i}" for i in range(30))
+    gpl, lgpl, mpl = (licenses.TEMPLATES[x][-1] for x in ("GPL-3.0", "LGPL-3.0", "MPL-2.0"))
+    files = [
+        ("a/lgpl", lgpl + "\n" + noise), ("a/spdx", "# SPDX-License-Identifier: MIT\n" + noise), ("a/odd", "// SPDX-License-Identifier: Zlib OR MIT"),
+        ("a/mpl", noise + "\n" + mpl), ("a/words", noise + "\n" + "\n".join(gpl.split()) + "\n" + noise), ("a/none", noise), ("a/none", noise),
+    ]
+    rows = licenses.scanned(spark.createDataFrame([(*f, "x", 1) for f in files], "path string, text string, license string, score int")).collect()
+    got = {r["path"]: r["own_license"] for r in rows}
+    assert got == {"a/lgpl": "LGPL-3.0", "a/spdx": "MIT", "a/odd": "Zlib", "a/mpl": "MPL-2.0", "a/words": "GPL-3.0", "a/none": None}
+    assert [r["license"] for r in rows if r["path"] == "a/none"] == ["Zlib"] * 2
