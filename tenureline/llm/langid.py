@@ -186,7 +186,8 @@ def identified(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
     """The columns of ``docs``, with ``lang_pred``, ``score``, ``cross_entropy``, ``rejected``.
 
     Only ``text`` is an input of a prediction. ``learn_from`` (doc_id, text, lang) is what models
-    learn from. Defined cases: a text that is null or has no letter is ``und`` with score 0 and
+    learn from. Defined cases: of languages with equal cross-entropy the first by name counts; very
+    long texts are scored whole; a text that is null or has no letter is ``und`` with score 0 and
     rejected; so is every text if nothing can be learned, but not rejected; rows without language
     or text teach nothing; repeated rows each give a row; an empty table gives an empty table;
     columns named like the new ones are replaced.

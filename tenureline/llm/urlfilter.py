@@ -120,7 +120,8 @@ def judged(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``(page_id, host, path, rule, verdict, score)`` for every row of ``pages`` (page_id, url).
 
     Defined cases: a null url, or one without ``://``, has an empty host and path and meets no
-    rule; a null or empty url scores 0; if no rule allows or none blocks any URL of the table, the
+    rule; a null or empty url scores 0; very long URLs are read whole; a score equal to the threshold
+    is allowed; if no rule allows or none blocks any URL of the table, the
     method has nothing to compare: scores and threshold are 0 and it allows; repeated rows each
     count and give a row; an empty table gives an empty table; other columns are ignored.
     """

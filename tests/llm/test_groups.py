@@ -89,6 +89,26 @@ def test_nul_is_a_letter_of_words(spark):
     assert got == {i: (len(sets[i]), groups[i]) for i in sets}
 
 
+def test_words_that_collide_in_polynomial_hashes(spark):
+    letters = "a"
+    for _ in range(10):
+        letters += letters.translate(str.maketrans("ab", "ba"))
+    other = letters.translate(str.maketrans("ab", "ba"))
+    texts = [f"one {x} two three four five" for x in (letters, other, letters.upper())]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_documents(spark.createDataFrame(rows(texts), DOCUMENTS)).collect()}
+    assert got == {0: 0, 1: 1, 2: 0}
+
+
+def test_classes_that_share_a_digest_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "DIGEST_BITS", 2)
+    docs = spark.createDataFrame(rows(near_copies()[:60]), DOCUMENTS)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    sets = {i: plain_sets(t) for i, t in texts.items()}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_documents(docs).collect()}
+    assert got == joined(links, sets)
+
+
 def vectors(spark):
     draw = np.random.default_rng(2)
     base = draw.normal(size=(25, 16))
