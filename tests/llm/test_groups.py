@@ -206,10 +206,35 @@ def test_chat_round_trip_and_tree(spark):
         while at["parent"] is not None:
             at = tree[at["parent"]]
             above.insert(0, (at["start"], at["start"] + at["length"]))
-        assert [tuple(x) for x in r["attends"]] == above
+        covered = []
+        for a, b in above:
+            chat._lengthened(covered, a, b)
+        assert [list(x) for x in r["attends"]] == covered
         assert r["position"] == sum(b - a for a, b in above) and r["depth"] == len(above)
 
 
+def test_chat_paths_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PATH_ROWS", 3)
+    test_chat_round_trip_and_tree(spark)
+
+
+def test_chat_of_a_long_conversation(spark):
+    # one conversation of 5000 turns, one that leaves it half way, one very long text
+    data = [(1, t, "user", f"t{t}") for t in range(5000)] + [(2, t, "user", f"t{t}" if t < 2500 else "x") for t in range(3000)] + [(3, 0, "assistant", "y" * 2_000_000)]
+    nodes, members = chat.formatted(spark.createDataFrame(data, "conv_id long, turn long, role string, text string"))
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in chat.conversations_of(nodes, members).collect()}
+    assert got == {1: (5000, 0), 2: (3000, 0), 3: (1, 2_000_000)}
+    most = nodes.agg(F.count("*").alias("n"), F.max(F.size("attends")).alias("most")).first()
+    assert (most["n"], most["most"]) == (5501, 2)
+
+
+def test_chat_reading_back_needs_the_intervals(spark):
+    nodes, members = chat.formatted(turns(spark)[0])
+    for wrong in (nodes.withColumn("start", F.col("start") + F.col("depth")), nodes.withColumn("position", F.col("position") + 1), nodes.withColumn("attends", F.slice("attends", 2, 100))):
+        with pytest.raises(Exception, match="attends to|has position"):
+            chat.conversations_of(wrong, members).collect()
+
+
 def test_chat_escapes():
     draw = random.Random(4)
     for _ in range(3000):
