@@ -4,8 +4,9 @@ Unit vectors of cosine c lie sqrt(2 - 2 c) apart: epsilon for the threshold. Vec
 by label and by their grid cells of width epsilon on the leading principal dimensions, and the
 sequence is cut into blocks. A block is joined with an interval of the sequence by halving it,
 skipping intervals whose labels or boxes in the principal dimensions are provably apart; two
-blocks that remain are compared by one matrix product. A block pair gives link counts and the
-links that span its groups, never a row per link.
+blocks that remain are compared by one matrix product. Block pairs that lie together in the square
+of the sequence share a cell and are compared in one task, so a block moves once per cell. A block
+pair gives link counts and the links that span its groups, never a row per link.
 """
 
 from __future__ import annotations
@@ -20,15 +21,18 @@ from pyspark.sql import functions as F
 
 from .components import connected_components, spanning_links
 from .staging import stored
-from .vectors import joined, longest, matrix, small_batches, usable
+from .vectors import joined, matrix, usable
 
 #: Vectors of a block, and most blocks of the sequence: beyond, blocks grow, so that the boxes
 #: of all blocks stay within about 4 MB.
 BLOCK_VECTORS, MOST_BLOCKS = 2048, 1 << 15
+#: Bytes of the vectors of a cell, the square of block pairs that is compared in one task.
+CELL_BYTES = 32 << 20
 #: Leading principal dimensions of the grid.
 GRID_DIMS = 4
 #: Rows of a block compared at once.
 TILE = 1024
+_FOUND = pa.schema([("kind", pa.int8()), ("class", pa.int64()), ("value", pa.int64())])
 _BLOCK = "block int, n int, labels array<long>, low array<double>, high array<double>, ids binary, label binary, copies binary, vectors binary"
 
 
@@ -154,39 +158,47 @@ def _block_pairs(intervals):
     return run
 
 
+def _cell_blocks(n_blocks: int, dims: int) -> int:
+    """Blocks on each side of a cell: as many as fit its bytes, fewer where cells would be few."""
+    return max(1, min(CELL_BYTES // (2 * BLOCK_VECTORS * 8 * max(dims, 1)), n_blocks // 8))
+
+
 def _compared(dims: int, threshold: float):
-    """Task: for each block pair, (0, class, linked vectors) and spanning links (1, class, class)."""
+    """Group: the blocks of one cell and its block pairs; gives (0, class, linked vectors) and
+    spanning links (1, class, class) of each pair."""
 
-    def block(batch: pa.RecordBatch, k: int, side: str) -> tuple:
-        raw = [batch.column(f"{side}_{x}")[k].as_buffer() for x in ("ids", "label", "copies", "vectors")]
+    def block(rows: pa.Table, k: int) -> tuple:
+        raw = [rows.column(x)[k].as_buffer() for x in ("ids", "label", "copies", "vectors")]
         ids, label, copies = (np.frombuffer(x, np.int64) for x in raw[:3])
         return ids, label, copies, np.frombuffer(raw[3], np.float64).reshape(len(ids), dims)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                same = batch.column("left")[k].as_py() == batch.column("right")[k].as_py()
-                a, b = block(batch, k, "l"), block(batch, k, "r")
-                counts = np.zeros(len(a[0]), np.int64), np.zeros(len(b[0]), np.int64)
-                links = []
-                for i in range(0, len(a[0]), TILE):
-                    for j in range(i if same else 0, len(b[0]), TILE):
-                        s, t = slice(i, i + TILE), slice(j, j + TILE)
-                        r, c = np.nonzero((a[3][s] @ b[3][t].T >= threshold) & (a[1][s, None] == b[1][None, t]))
-                        if same and i == j:
-                            r, c = r[r < c], c[r < c]
-                        if len(r):
-                            counts[0][s] += np.bincount(r, b[2][t][c], len(counts[0][s])).astype(np.int64)
-                            counts[1][t] += np.bincount(c, a[2][s][r], len(counts[1][t])).astype(np.int64)
-                            links.append(spanning_links(a[0][s][r], b[0][t][c]))
-                if not links:
-                    continue
-                hi, lo = spanning_links(*(np.concatenate(x) for x in zip(*links, strict=True)))
-                hit = [x > 0 for x in counts]
-                ids = np.concatenate([a[0][hit[0]], b[0][hit[1]], hi])
-                value = np.concatenate([counts[0][hit[0]], counts[1][hit[1]], lo])
-                kind = np.concatenate([np.zeros(len(ids) - len(hi), np.int8), np.ones(len(hi), np.int8)])
-                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(ids), pa.array(value)], names=["kind", "class", "value"])
+    def pair(a: tuple, b: tuple, same: bool) -> pa.RecordBatch | None:
+        counts = np.zeros(len(a[0]), np.int64), np.zeros(len(b[0]), np.int64)
+        links = []
+        for i in range(0, len(a[0]), TILE):
+            for j in range(i if same else 0, len(b[0]), TILE):
+                s, t = slice(i, i + TILE), slice(j, j + TILE)
+                r, c = np.nonzero((a[3][s] @ b[3][t].T >= threshold) & (a[1][s, None] == b[1][None, t]))
+                if same and i == j:
+                    r, c = r[r < c], c[r < c]
+                if len(r):
+                    counts[0][s] += np.bincount(r, b[2][t][c], len(counts[0][s])).astype(np.int64)
+                    counts[1][t] += np.bincount(c, a[2][s][r], len(counts[1][t])).astype(np.int64)
+                    links.append(spanning_links(a[0][s][r], b[0][t][c]))
+        if not links:
+            return None
+        hi, lo = spanning_links(*(np.concatenate(x) for x in zip(*links, strict=True)))
+        hit = [x > 0 for x in counts]
+        ids = np.concatenate([a[0][hit[0]], b[0][hit[1]], hi])
+        value = np.concatenate([counts[0][hit[0]], counts[1][hit[1]], lo])
+        kind = np.concatenate([np.zeros(len(ids) - len(hi), np.int8), np.ones(len(hi), np.int8)])
+        return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(ids), pa.array(value)], schema=_FOUND)
+
+    def run(rows: pa.Table) -> pa.Table:
+        held = {number: block(rows, k) for k, number in enumerate(rows.column("block").to_pylist())}
+        pairs = [(x["left"], x["right"]) for x in rows.column("pairs")[0].as_py()]
+        found = (pair(held[left], held[right], left == right) for left, right in pairs)
+        return pa.Table.from_batches([x for x in found if x is not None], schema=_FOUND)
 
     return run
 
@@ -222,12 +234,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     stacked = [np.array(boxes[c].tolist()) for c in ("labels", "low", "high")]
     intervals = spark.sparkContext.broadcast((boxes["block"].to_numpy(), *stacked, epsilon))
     pairs = blocks.select("block").repartition(max(1, min(n_blocks, 256))).mapInArrow(_block_pairs(intervals), "left int, right int")
-    parts = ("ids", "label", "copies", "vectors")
-    left = blocks.select(F.col("block").alias("left"), *(F.col(x).alias(f"l_{x}") for x in parts))
-    right = blocks.select(F.col("block").alias("right"), *(F.col(x).alias(f"r_{x}") for x in parts))
-    with small_batches(spark, 4):
-        facing = pairs.join(left, "left").join(right, "right")
-        found = stored(facing.mapInArrow(_compared(dims, threshold), "kind byte, class long, value long"), "near")
+    # a block travels once to each cell that needs it, and not once per pair
+    side = _cell_blocks(n_blocks, dims)
+    cell = [F.floor(F.col(x) / side).cast("int").alias(f"{x}_cell") for x in ("left", "right")]
+    cells = pairs.groupBy(*cell).agg(F.collect_list(F.struct("left", "right")).alias("pairs"))
+    needed = cells.withColumn("block", F.explode(F.array_union("pairs.left", "pairs.right")))
+    facing = needed.join(blocks.select("block", "ids", "label", "copies", "vectors"), "block")
+    found = facing.groupBy("left_cell", "right_cell").applyInArrow(_compared(dims, threshold), "kind byte, class long, value long")
+    found = stored(found, "near")
 
     counts = found.where("kind = 0").groupBy("class").agg(F.sum("value").alias("linked"))
     labels = connected_components(found.where("kind = 1").select("class", "value")).select(F.col("node").alias("class"), "component")

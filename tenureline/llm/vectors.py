@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,10 +17,6 @@ def usable(embedding: Column) -> Column:
     return embedding.isNotNull() & ~F.coalesce(odd, F.lit(False))
 
 
-def longest(df: DataFrame, column: str) -> int:
-    return df.agg(F.max(F.size(column))).first()[0] or 0
-
-
 def matrix(column: pa.ListArray, dims: int) -> np.ndarray:
     """Rows of a list column in double precision, filled with zeros up to ``dims``."""
     lengths = column.value_lengths().to_numpy().astype(np.int64)

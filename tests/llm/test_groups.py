@@ -133,6 +133,31 @@ def test_near_vectors_equal_all_pairs(spark, monkeypatch):
     assert near_vectors.near_duplicates(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("cell_bytes", [0, 1 << 16])
+def test_near_vectors_in_cells(spark, monkeypatch, cell_bytes):
+    # 30 blocks, alone in their cells and three on a side; one cluster over all of them, one label
+    monkeypatch.setattr(near_vectors, "BLOCK_VECTORS", 10)
+    monkeypatch.setattr(near_vectors, "CELL_BYTES", cell_bytes)
+    assert near_vectors._cell_blocks(30, 16) == (3 if cell_bytes else 1)
+    draw = np.random.default_rng(8)
+    center = draw.normal(size=16)
+    data = [(i, (center + draw.normal(size=16) * (0.05 if i % 2 else 0.25)).tolist(), 1) for i in range(300)]
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v, _ in data}
+    pairs = [(a, b) for a, b in itertools.combinations(unit, 2) if unit[a] @ unit[b] >= 0.93]
+    expected = joined(pairs, unit)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")).collect()}
+    assert len(pairs) > 5000 and got == {i: (sum(i in p for p in pairs), expected[i]) for i in unit}
+
+
+def test_near_vectors_of_odd_rows(spark):
+    # null ids, rows repeated under one id, vectors of different length
+    data = [(None, [1.0, 0.0], 1), (3, [2.0], 1), (4, [1.0, 0.0, 0.0], 1), (4, [1.0, 0.0, 0.0], 1), (5, [0.0, 1.0], 1), (None, [0.0, 1.0], 2), (6, [1.0, 0.0], None)]
+    rows = near_vectors.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")).collect()
+    none = lambda x: (x is None, x or 0)
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in rows), key=lambda r: (none(r[0]), r[1]))
+    assert got == [(3, 3, 3, True), (4, 3, 3, False), (4, 3, 3, False), (5, 0, 5, True), (6, 0, 6, True), (None, 0, None, False), (None, 3, 3, False)]
+
+
 @pytest.mark.parametrize("block", [16, 8192])
 def test_top_k_equals_full_scoring(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "BLOCK_ROWS", block)
