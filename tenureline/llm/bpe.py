@@ -31,8 +31,9 @@ from .texts import slices, strings
 TEXT_LEAF, BYTES_LEAF, IDS_LEAF = 4096, 48, 4096
 #: Characters that an alternative of the pattern may look at beyond the end of its match.
 LOOK_AHEAD = 2
-#: Pretokens that a Python worker remembers.
-MEMO = 500_000
+#: Pretokens that a Python worker remembers, and characters of the longest one remembered: together
+#: they bound the memory. Longer ones are encoded each time.
+MEMO, MEMO_CHARS = 500_000, 64
 
 
 def read_ranks(path: str) -> bytes:
@@ -139,17 +140,19 @@ class Pretokens:
 
 
 class Memo(dict):
-    """Packed ids of pretokens, of a bounded number of them."""
+    """Packed ids of pretokens, of a bounded number of short ones."""
 
     def __init__(self, pairs: BytePairs):
         super().__init__()
         self.pairs = pairs
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
         ids = self.pairs.whole(piece.encode())
-        packed = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= MEMO_CHARS:
+            if len(self) >= MEMO:
+                self.clear()
+            self[piece] = packed
         return packed
 
 

@@ -73,6 +73,15 @@ def test_bpe_equals_the_library(monkeypatch):
         assert pairs.whole(word.encode()) == library.encode_ordinary(word)
 
 
+def test_bpe_remembers_a_bounded_amount(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 10)
+    memo = bpe.Memo(bpe.BytePairs(bpe.read_ranks(RANKS)))
+    words = [f"word{i}" for i in range(100)] + ["x" * 5000, "y" * bpe.MEMO_CHARS]
+    for word in words * 2:
+        assert memo[word] == struct.pack(f"<{len(ids := memo.pairs.whole(word.encode()))}I", *ids)
+        assert len(memo) <= 10 and all(len(piece) <= bpe.MEMO_CHARS for piece in memo)
+
+
 def test_bpe_round_trip(corpus, no_documents):
     back = bpe.decoded(bpe.encoded(corpus, RANKS, public_tokenizers.PATTERN), RANKS).collect()
     texts = sorted((r["text"] or "").encode() for r in corpus.collect())
@@ -207,6 +216,17 @@ def test_license_headers_over_lines_and_licence_files(spark):
         assert got[path]["is_license_file"] and (got[code]["license"], got[code]["license_path"]) == (license_, path)
 
 
+def test_licenses_of_long_texts_and_ties(spark):
+    long = "\n".join(f"own{i} words{i} here{i}" for i in range(20_000))
+    mit, apache = licenses.TEMPLATES["MIT"][0], licenses.TEMPLATES["Apache-2.0"][0]
+    files = [("a/long", long + "\n" + mit), ("b/both", f"{mit}\n{apache}"), ("b/turned", f"{apache}\n{mit}")]
+    rows = licenses.scanned(spark.createDataFrame([(*f, "x", "x", "x") for f in files], "path string, text string, file string, word string, own_license string")).collect()
+    got = {r["path"]: (r["own_license"], r["score"]) for r in rows}
+    assert got["a/long"] == ("MIT", 1)
+    # two notices found whole: one of them, the same in either order
+    assert got["b/both"] == got["b/turned"] and got["b/both"][0] in ("MIT", "Apache-2.0") and got["b/both"][1] == 1
+
+
 def plain_scores(text, files, templates):
     """Cosines of one text to all templates, by dictionaries."""
     n, cut = len(files), lambda x: re.findall("[a-z0-9]+", x.lower())
