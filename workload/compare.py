@@ -6,6 +6,7 @@ import math
 import time
 from collections import Counter
 from datetime import datetime
+from pathlib import Path
 
 import duckdb
 from pyspark.sql import DataFrame
@@ -19,7 +20,10 @@ TABLES = (
 def duckdb_views(sf_dir: str, threads: int = 8) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect(config={"threads": threads})
     for name in TABLES:
-        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        path = Path(sf_dir, f"{name}.parquet")
+        if path.exists():
+            files = f"{path}/*.parquet" if path.is_dir() else path
+            connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     return connection
 
 
