@@ -73,8 +73,10 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
     """``(doc_id, piece, start, length, ids_crc32[, ids])``: every document's ids and ``end_id``.
 
     Only documents longer than ``capacity`` are cut. ``ids`` are packed little-endian 32-bit
-    integers. A null or empty text has ``end_id`` alone. ``remembered`` words per Python worker
-    are encoded once; it trades memory for time.
+    integers. A null or empty text has ``end_id`` alone; very long texts give many pieces; repeated
+    rows and rows with a null doc_id each give their pieces; an empty table gives an empty table;
+    other columns are ignored. ``remembered`` words per Python worker are encoded once; it trades
+    memory for time.
     """
     end = int(end_id).to_bytes(4, "little")
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids]
@@ -177,35 +179,43 @@ def packed(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """The columns of ``pieces``, with ``sequence_id`` and ``offset``, gapless from 0.
 
     ``pieces`` has a ``length`` from 1 to ``capacity`` in each row. Rows are never cut, dropped or
-    merged: repeated rows take a place each. An empty table gives an empty table.
+    merged: repeated rows take a place each. An empty table gives an empty table. Columns of
+    ``pieces`` named ``sequence_id`` or ``offset``, in any case, give way to the new ones; all others
+    stay, whatever their names.
     """
     spark = pieces.sparkSession
-    fixed = stored(pieces.withColumn("packing_row", F.monotonically_increasing_id()), "pieces")
+    pieces = pieces.drop("sequence_id", "offset")
+    fixed = stored(pieces.select(F.col("length").cast("long").alias("length"), F.struct(*pieces.columns).alias("piece"), F.monotonically_increasing_id().alias("row")), "pieces")
     total = fixed.count()
     ranked = max(1, -(-total // RANKED_ROWS))
-    group = Window.partitionBy("length", "packing_group")
-    rows = fixed.withColumn("packing_group", F.pmod(F.xxhash64("packing_row"), F.lit(ranked)))
-    counts = rows.groupBy("length", "packing_group").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("packing_group").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy("length", "dealt")
+    rows = fixed.withColumn("dealt", F.pmod(F.xxhash64("row"), F.lit(ranked)))
+    counts = rows.groupBy("length", "dealt").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("dealt").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    rows = rows.withColumn("own", F.row_number().over(group.orderBy("packing_row")) - 1)
-    rows = rows.join(counts.drop("n"), ["length", "packing_group"]).withColumn("packing_rank", F.col("before") + F.col("own"))
+    rows = rows.withColumn("own", F.row_number().over(group.orderBy("row")) - 1)
+    rows = rows.join(counts.drop("n"), ["length", "dealt"]).select("piece", (F.col("before") + F.col("own")).alias("rank"), "length")
 
-    histogram = {int(row[0]): row[1] for row in fixed.groupBy("length").agg(F.count("*")).collect()}
+    histogram = {row["length"]: row["n"] for row in fixed.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    if None in histogram:
+        raise ValueError("a length is null")
     if histogram and not 1 <= min(histogram) <= max(histogram) <= capacity:
         raise ValueError("lengths must be from 1 to the capacity")
     slots = np.array(sorted(Plan(histogram, capacity).slots), np.int64).reshape(-1, 4)
     plan = spark.sparkContext.broadcast(slots)
-    rows = rows.select(*pieces.columns, "packing_rank")
+    # by place, so that no name of the pieces meets one of these
+    rows = rows.select(*(F.col("piece").getField(name).alias(f"c{i}") for i, name in enumerate(pieces.columns)), "length", "rank")
+
+    names = [*pieces.columns, "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = plan.value
         keys = (slots[:, 0] << 44) + slots[:, 1]
         for batch in batches:
-            length, rank = (batch.column(x).to_numpy().astype(np.int64) for x in ("length", "packing_rank"))
+            length, rank = (x.to_numpy() for x in batch.columns[-2:])
             at = slots[np.searchsorted(keys, (length << 44) + rank, "right") - 1]
             values = [pa.array(at[:, 2] + rank - at[:, 1]), pa.array(at[:, 3])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *values], names=[*batch.schema.names[:-1], "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *values], names=names)
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes)
     return rows.mapInArrow(run, f"{schema}, sequence_id long, offset long")

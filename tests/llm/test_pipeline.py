@@ -4,6 +4,7 @@ import itertools
 import struct
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -80,6 +81,41 @@ def test_result_holds_the_training_sequences(spark):
         assert list(struct.unpack(f"<{r['length']}I", r["ids"])) == own
 
 
+def test_odd_rows(spark, corpus):
+    """Nulls in any column, empty and long texts, repeated rows, columns with the stages' own names."""
+    docs = corpus.unionByName(corpus.where("doc_id = 8")).withColumn("source", F.when(F.col("doc_id") > 3, "s"))
+    for name in ("place", "lang_pred", "rejected", "held_out", "piece", "sequence_id", "offset", "ids", "spans", "own_id"):
+        docs = docs.withColumn(name, F.lit("x"))
+    docs = stored(docs, "odd")
+    rows = docs.collect()
+    run = lambda i: [tuple(r) for r in stored(corpus_pipeline.STAGES[i][1](spark, docs, SMALL), "odd-out").collect()]
+    order = lambda xs: sorted(xs, key=repr)
+
+    kept = run(0)
+    assert order((r[0], r[1]) for r in kept) == order((r["doc_id"], r["text"]) for r in rows if any(x.isalpha() for x in r["text"] or "") and any(r["text"] == k[1] for k in kept))
+    assert all(any(k[1] == r["text"] for k in kept) for r in rows if len(r["text"] or "") > 200)
+
+    sets = {i: plain_sets(r["text"]) for i, r in enumerate(rows)}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    groups = {}
+    for i, group in joined(links, sets).items():
+        groups.setdefault(group, []).append(rows[i]["doc_id"])
+    first = [min(ids, key=lambda x: (x is None, x or 0)) for ids in groups.values()]
+    assert order(r[0] for r in run(1)) == order(first)
+
+    finder = pii.Finder()
+    plain = [(r["text"] if r["text"] is None else pii.masked(r["text"], finder.spans(r["text"]))) for r in rows]
+    assert order((r[0], r[1], r[4]) for r in run(2)) == order((r["doc_id"], text, text if text is None else len(text)) for r, text in zip(rows, plain, strict=True))
+
+    library, total = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), {}
+    for r in stored(corpus_pipeline.best_fit_packing(spark, docs, SMALL), "odd-packed").collect():
+        total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["length"]
+    wanted = {}
+    for r in rows:
+        wanted[r["doc_id"]] = wanted.get(r["doc_id"], 0) + len(library.encode(r["text"] or "", add_special_tokens=False).ids) + 1
+    assert total == wanted
+
+
 def test_no_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:

@@ -112,6 +112,20 @@ def test_packing_places_every_piece(corpus, no_documents):
     assert packing.packed(packing.tokenised_pieces(no_documents, WORD_PATH)).collect() == []
 
 
+def test_packing_keeps_columns_of_any_name(spark):
+    data = [(i, 1 + i % 5, "s", "o", "r", "g", "k", "w", "l", "p") for i in range(40)] * 2
+    names = ["doc_id", "length", "Sequence_ID", "offset", "row", "dealt", "rank", "own", "piece_length", "piece_rank"]
+    placed = packing.packed(spark.createDataFrame(data, names), capacity=7)
+    assert placed.columns == [*names[:2], *names[4:], "sequence_id", "offset"]
+    rows = placed.collect()
+    assert sorted(tuple(r)[:-2] for r in rows) == sorted((*x[:2], *x[4:]) for x in data)
+    taken = [(r["sequence_id"], r["offset"] + k) for r in rows for k in range(r["length"])]
+    assert len(taken) == len(set(taken)) == sum(x[1] for x in data)
+    assert len({r["sequence_id"] for r in rows}) == -(-len(taken) // 7)
+    with pytest.raises(ValueError):
+        packing.packed(spark.createDataFrame([(1, None)], "doc_id long, length long"), capacity=7)
+
+
 def test_special_tokens_are_those_of_the_library():
     words, library = packing.Words(WORD_PATH), Tokenizer.from_file(WORD_PATH)
     texts = ["x <|endoftext|> y", "<|startoftext|>", "X<|endoftext|>Y.\nZ", "<|ENDOFTEXT|> <|StartOfText|>", "a<|ENDOFTEXT|>b<|endoftext|>C", "<|endoftext|> <|ENDOFTEXT|> <|endoftext|>", "no<|endoftext |>", "<|endoftext|><|startoftext|>!"]
