@@ -151,6 +151,24 @@ def plain_best_fit(lengths, capacity):
     return sorted(bins)
 
 
+def test_plain_words_equal_the_library():
+    words, library = packing.Words(WORD_PATH, remembered=1 << 30), Tokenizer.from_file(WORD_PATH)
+    draw = random.Random(6)
+    known = [x for x in (x.removesuffix("</w>") for x in library.get_vocab()) if x.isascii() and x.isalpha()]
+    texts = [*known, *("".join(draw.choices(known, k=draw.randint(2, 4))) for _ in range(20_000))]
+    for letters in ("a", "ab", "aeéèàçñóßüöä", "ÀÉÖÞßþÿæ", "abcdefghijklmnopqrstuvwxyz"):
+        texts += ["".join(draw.choices(letters, k=draw.randint(1, 70))) for _ in range(2_000)]
+    texts += ["é" * 64, "é" * 65, "z" * 64, "z" * 5000]
+    plain = [x for x in texts if packing._PLAIN.fullmatch(x.encode())]
+    assert words.plain and len(plain) > 60_000
+    for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert words.ids(text) == struct.pack(f"<{len(found.ids)}I", *found.ids), text
+
+
+def test_other_tokenisers_have_no_plain_model():
+    assert packing.plain_model(public_tokenizers.path("byte_bpe_50k.json")) is None
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_plan_equals_packing_one_by_one(seed):
     draw = random.Random(seed)
