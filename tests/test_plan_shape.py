@@ -141,3 +141,19 @@ def test_dimension_shuffles_the_timeline_once_by_customer(spark):
     assert plan.count("FileScan") == 2  # customers and the timeline
     by_customer = [line for line in plan.splitlines() if "Exchange hashpartitioning(customer_id" in line]
     assert sum("REPARTITION_BY_COL" in line for line in by_customer) == 1 and len(by_customer) <= 2
+
+
+def test_rows_unfolded_into_blocks_are_never_broadcast(spark, cleaned):
+    """Their size is estimated before they are unfolded: small tables hide it, larger ones fail."""
+    def joins(df):
+        return [line for line in plan_of(df).splitlines() if "Join" in line and "block" in line]
+
+    found = [
+        joins(intervals.segment_candidates(cleaned, intervals.SUBSCRIPTIONS, dense_rows=0)),
+        joins(intervals._winners_of_dense_keys(cleaned, intervals.SUBSCRIPTIONS, None)),
+        joins(checks.overlapping_pairs(bindings.as_timeline(cleaned), dense_rows=0)),
+        joins(checks.overlap_counts(bindings.as_timeline(cleaned))),
+    ]
+    for lines in found:
+        meeting = [line for line in lines if "LeftOuter" not in line]
+        assert len(meeting) == 1 and "SortMergeJoin" in meeting[0]
