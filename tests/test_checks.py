@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL, rows_of
+from conftest import SMALL, plan_of, rows_of
 from frames import plans, subscriptions, timeline
 from tenureline.operators import checks
 from tenureline.operators.cleaning import STATUS_OF_CODE, clean_subscriptions
@@ -149,3 +149,35 @@ def test_large_blocks_are_dealt_over_salts(spark, monkeypatch):
     left, right = seen[0]
     assert left.agg(F.max("count")).first()[0] <= 3 * 8
     assert right.where("salt > 0").count() > 0
+
+
+def test_a_count_of_entries_is_as_wide_as_its_kinds_are(spark, raw):
+    """A value shuffles the counts of its own kind's sources, not those of all sources."""
+    entries = [checks.Entry(f"kind_{at}", F.lit(at), f"source_{at}") for at in range(20)]
+    entries.append(checks.Entry("kind_0", F.lit(0), "source_1"))
+    counted = checks.counts_of_entries([(raw, entries)])
+    n = raw.count()
+    found = {r.kind: r.asDict() for r in counted.collect()}
+    for at in range(20):
+        own = {f"source_{at}", "source_1"} if at == 0 else {f"source_{at}"}
+        expected = {f"source_{i}": n * (f"source_{i}" in own) for i in range(20)}
+        assert found[f"kind_{at}"] == {"kind": f"kind_{at}", "key_value": str(at), **expected}
+    exchange = plan_of(counted).split("Exchange hashpartitioning", 1)[1]
+    assert exchange.splitlines()[1].count("partial_count") == 2
+
+
+def test_only_intervals_that_may_hold_inverted_ones_become_blocks(spark, monkeypatch):
+    seen = []
+    blocks = checks.covering_blocks
+    monkeypatch.setattr(checks, "covering_blocks", lambda *x: (seen.append(1), blocks(*x))[1])
+    rows = [
+        (1, "a", "p", "active", "2024-01-01", "2024-01-31", "1.00", True),
+        (1, "b", "p", "active", "2024-01-20", "2024-01-10", "1.00", True),
+        (1, "c", "p", "active", "2024-03-01", None, "1.00", True),
+        (2, "d", "p", "active", "2024-01-01", "2024-01-31", "1.00", True),
+    ]
+    assert rows_of(checks.overlap_counts(timeline(spark, *rows))) == [(1, 1)]
+    assert rows_of(checks.overlap_counts(timeline(spark, rows[0], *rows[2:]))) == []
+    plan = plan_of(checks.overlap_counts(timeline(spark, *rows[2:])))
+    assert f"<= -{checks._NO_DAY}" in plan
+    assert len(seen) == 3
