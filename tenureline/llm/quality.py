@@ -8,9 +8,10 @@ do not depend on the order of rows, so every document meets the threshold in the
 run. The threshold is calibrated on a part of the trusted documents, held back from the target: as
 far below their first percentile as half the way from there to their median.
 
-The target is what the labels call good: at most ``TARGET_DOCS`` labelled documents, those first by
-hash of their id; only their ids are broadcast. The raw corpus is counted whole. Only DataFrame
-functions: higher-order functions on a text's array of words, and one aggregation by bucket.
+The target is every document that the labels call good, but those held back; the raw corpus is
+counted whole. Up to ``BROADCAST_IDS`` ids of the target are broadcast, more of them meet the texts by
+a shuffle. Only DataFrame functions: higher-order functions on a text's array of words, and one
+aggregation by bucket.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from .staging import stored
 BUCKETS, UNITS, SMOOTHING = 1 << 16, 1 << 16, 1.0
 #: A pair's hash is its first word's times this, plus its second word's.
 PAIR_FACTOR = 8191
-#: Labelled documents of the target, and every how many of them one is held back.
-TARGET_DOCS, HELD_BACK = 50_000, 10
+#: Every how many trusted documents one is held back, and up to how many ids are broadcast.
+HELD_BACK, BROADCAST_IDS = 10, 500_000
 #: Base rules: fewest words, and largest share of words (in percent) in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Words of a window that may repeat.
@@ -85,16 +86,23 @@ def _pair(first: Column, second: Column) -> Column:
 
 def trusted(labels: DataFrame) -> DataFrame:
     """``(trusted_id, held)``: documents that all labels call good and none toxic, and which of
-    them are held back; at most ``TARGET_DOCS``."""
+    them are held back."""
     rows = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("trusted_id"))
     good = rows.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")).where("quality = 1 AND coalesce(toxic, 0) = 0")
-    good = good.select("trusted_id").orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(TARGET_DOCS)
-    return good.withColumn("held", F.crc32(F.col("trusted_id").cast("string").cast("binary")) % HELD_BACK == 0)
+    return good.select("trusted_id").withColumn("held", F.crc32(F.col("trusted_id").cast("string").cast("binary")) % HELD_BACK == 0)
+
+
+def _ids(target: DataFrame, which: str) -> DataFrame:
+    """The ids of ``target`` that are ``which``, to be joined with rows of any size: those rows stay
+    in place, or are shuffled and, as only the ids are held, not sorted."""
+    ids = target.where(which).select("trusted_id")
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return ids.hint("broadcast" if few else "shuffle_hash")
 
 
 def bucket_counts(docs: DataFrame, target: DataFrame) -> DataFrame:
     """``(bucket, raw, target)``: n-grams of all documents, and of those of ``target``."""
-    ids = F.broadcast(target.where("NOT held").select("trusted_id"))
+    ids = _ids(target, "NOT held")
     rows = with_words(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("trusted_id"), "left"))
     # two hashes in a long, so that one array serves words and pairs; 0 follows the last word
     both = F.transform("hashes", lambda x, i: F.shiftleft(x, 32).bitwiseOR(F.coalesce(F.get("hashes", i + 1) + 1, F.lit(0))))
@@ -149,8 +157,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = measured(docs, weights(bucket_counts(docs, target)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     found = stored(found.withColumn("base_failed", failed), "measured")
-    ids = F.broadcast(target.where("held").select("trusted_id"))
-    held = found.where("NOT base_failed").join(ids, F.col("doc_id") == F.col("trusted_id"))
+    held = found.where("NOT base_failed").join(_ids(target, "held"), F.col("doc_id") == F.col("trusted_id"))
     held = held.select(F.floor(F.col("points") / F.col("n_grams")).alias("score"))
     least, usual = held.selectExpr("percentile_disc(0.01) WITHIN GROUP (ORDER BY score)", "percentile_disc(0.5) WITHIN GROUP (ORDER BY score)").first()
     kept = ~F.col("base_failed")

@@ -83,3 +83,22 @@ def test_plan_has_no_python(spark, corpus):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     plan = quality.measured(corpus, quality.weights(quality.bucket_counts(corpus, quality.trusted(labels))))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_good_label_is_trusted(spark):
+    """More of them than were taken once, whose ids meet the texts by a shuffle."""
+    n = 90_000
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "IF(id % 3 = 0, 1, 0) AS toxic")
+    assert quality.trusted(labels).count() == n - n // 3
+
+
+def test_ids_that_are_not_broadcast_give_the_same(spark, monkeypatch):
+    texts = corpus_of()
+    docs = spark.createDataFrame(rows(texts) + [(None, *rows(texts)[0][1:])], DOCUMENTS)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    few = sorted(map(tuple, quality.judged(docs, labels).collect()), key=repr)
+    monkeypatch.setattr(quality, "BROADCAST_IDS", 5)
+    counts = quality.bucket_counts(docs, quality.trusted(labels))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    assert sorted(map(tuple, quality.judged(docs, labels).collect()), key=repr) == few
